@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.checks import require_columns
 from ledgerloom.schemas import RAW, RAW_COLUMNS
+from ledgerloom.sources.workbooks import read_transactions_workbooks
 
 # File names looked for first, best first.
 PREFERRED_NAMES = (
@@ -31,40 +33,52 @@ def detect_format(path: str) -> str:
     return SUFFIX_FORMATS[suffix]
 
 
-def discover_raw_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Candidate files of a folder, best first by ``rank``.
+class RawSource(NamedTuple):
+    rank: int
+    name: str
+    format: str
+    path: str
 
-    Named candidates come in list order; other files follow by suffix, then by
-    name. Only the listing is read, never the contents.
+
+def discover_raw_files(spark: SparkSession, folder: str) -> list[RawSource]:
+    """Candidate sources of a folder, best first.
+
+    Named candidates come in list order; others follow by suffix, then by name.
+    A source may be one file or a folder of part files that carries the suffix.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.{xlsx,xls,csv,XLSX,XLS,CSV}")
-        .load(folder)
-        .select("path", "length")
-    )
-    name = F.element_at(F.split("path", "/"), -1)
-    suffix = F.concat(F.lit("."), F.lower(F.element_at(F.split(name, r"\."), -1)))
-    preferred = F.array_position(F.array(*map(F.lit, PREFERRED_NAMES)), name)
-    by_suffix = F.array_position(F.array(*map(F.lit, SUFFIX_ORDER)), suffix) + len(PREFERRED_NAMES)
-    return (
-        listing.withColumn("name", name)
-        .withColumn("format", F.when(suffix == ".csv", "csv").otherwise("workbook"))
-        .withColumn("rank", F.when(preferred > 0, preferred).otherwise(by_suffix).cast("int"))
-    )
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        suffix = "." + name.rsplit(".", 1)[-1].lower()
+        if suffix not in SUFFIX_FORMATS or name.startswith((".", "_")):
+            continue
+        if name in PREFERRED_NAMES:
+            rank = PREFERRED_NAMES.index(name)
+        else:
+            rank = len(PREFERRED_NAMES) + SUFFIX_ORDER.index(suffix)
+        found.append(RawSource(rank, name, SUFFIX_FORMATS[suffix], status.getPath().toString()))
+    return sorted(found)
 
 
 def read_transactions_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
-    """Header CSV in latin-1 with the declared schema."""
-    schema = RAW.add("_corrupt_record", "string") if keep_corrupt else RAW
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", "ISO-8859-1")
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    """Header CSV in latin-1; columns are found by name and typed as declared.
+
+    Only the header is looked at beforehand; a column without a declared type
+    stays text. With ``keep_corrupt`` a malformed line is kept in
+    ``_corrupt_record`` next to nulls.
+    """
+    reader = spark.read.option("header", True).option("encoding", "ISO-8859-1")
+    header = reader.csv(path).columns
+    types = {field.name: field.dataType for field in RAW.fields}
+    fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
+    if keep_corrupt:
+        fields.append(T.StructField("_corrupt_record", T.StringType()))
+    typed = reader.schema(T.StructType(fields)).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    return require_columns(typed.csv(path), RAW_COLUMNS, "raw data")
 
 
 def union_sources(parts: list[DataFrame]) -> DataFrame:
@@ -74,13 +88,10 @@ def union_sources(parts: list[DataFrame]) -> DataFrame:
 
 def load_raw(spark: SparkSession, folder: str) -> DataFrame:
     """The best raw file of a folder, with its required columns checked."""
-    best = discover_raw_files(spark, folder).orderBy("rank", "name").first()
-    if best is None:
+    candidates = discover_raw_files(spark, folder)
+    if not candidates:
         raise FileNotFoundError(f"no raw transaction file in {folder}")
-    if best["format"] == "csv":
-        raw = read_transactions_csv(spark, best["path"])
-    else:
-        from ledgerloom.sources.workbooks import read_transactions_workbooks
-
-        raw = read_transactions_workbooks(spark, best["path"])
+    best = candidates[0]
+    reader = read_transactions_csv if best.format == "csv" else read_transactions_workbooks
+    raw = reader(spark, best.path)
     return require_columns(raw, RAW_COLUMNS, "raw data")
