@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 UNITS_PER_ONE = 10_000
 
@@ -36,6 +37,10 @@ def money_sum(value: Column | str) -> Column:
     return from_units(F.coalesce(F.sum(money_units(value)), F.lit(0)))
 
 
+def money_sum_over(value: Column | str, window: WindowSpec) -> Column:
+    return from_units(F.sum(money_units(value)).over(window))
+
+
 def money_mean(value: Column | str) -> Column:
     """Aggregate: mean amount, null for a group without values."""
     return from_units(F.sum(money_units(value))) / F.nullif(F.count(nan_to_null(value)), F.lit(0))

@@ -34,15 +34,15 @@ def drop_cancelled(df: DataFrame) -> DataFrame:
 
 
 def drop_null_customer(df: DataFrame) -> DataFrame:
-    return df.where(~is_null_customer())
+    return df.where(F.col("CustomerID").isNotNull() & ~F.isnan(F.col("CustomerID").cast("double")))
 
 
 def drop_nonpositive_quantity(df: DataFrame) -> DataFrame:
-    return df.where(~is_nonpositive("Quantity"))
+    return df.where(F.col("Quantity").isNull() | (F.col("Quantity") > 0))
 
 
 def drop_nonpositive_price(df: DataFrame) -> DataFrame:
-    return df.where(~is_nonpositive("UnitPrice"))
+    return df.where(F.col("UnitPrice").isNull() | (F.col("UnitPrice") > 0))
 
 
 def parse_invoice_date(df: DataFrame) -> DataFrame:
@@ -71,8 +71,14 @@ def label_rows(df: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame) -> DataFrame:
-    kept = label_rows(df).where(F.col("drop_reason").isNull()).drop("drop_reason")
-    return cast_customer_id(add_total_price(kept))
+    """Rows that break no rule, typed, with their total.
+
+    The rules are separate filters, so those that the source understands
+    (quantity, price, customer, date) reach its scan.
+    """
+    require_columns(df, CLEAN_INPUT, "raw data")
+    kept = drop_nonpositive_price(drop_nonpositive_quantity(drop_null_customer(drop_cancelled(df))))
+    return cast_customer_id(add_total_price(parse_invoice_date(kept)))
 
 
 def clean_report(df: DataFrame) -> DataFrame:

@@ -96,19 +96,21 @@ def days_between_purchases(transactions: DataFrame) -> DataFrame:
     return dated.groupBy("CustomerID").agg(_mean_gap(day).alias("avg_days_between"))
 
 
-def _home_flag(home_country: str) -> Column:
-    return F.when(F.mode("Country", True) == home_country, 1).otherwise(0)
-
-
 def home_country_flag(transactions: DataFrame, home_country: str = "United Kingdom") -> DataFrame:
-    """1 for customers whose most frequent country (ties: smallest) is home."""
+    """1 for customers whose most frequent country (ties: smallest) is home.
+
+    Lines are counted per customer and country first; the choice then runs
+    over those counts.
+    """
     known = transactions.where(F.col("CustomerID").isNotNull())
-    return known.groupBy("CustomerID").agg(
-        F.mode("Country", True).alias("main_country"), _home_flag(home_country).alias("is_uk")
-    )
+    counts = known.groupBy("CustomerID", "Country").agg(F.count("Country").alias("n"))
+    ranked = F.when(F.col("Country").isNotNull(), F.struct(-F.col("n"), F.col("Country").alias("name")))
+    main = F.coalesce(F.min(ranked).getField("name"), F.lit("Unknown"))
+    chosen = counts.groupBy("CustomerID").agg(main.alias("main_country"))
+    return chosen.withColumn("is_uk", F.when(F.col("main_country") == home_country, 1).otherwise(0))
 
 
-def _behaviour_aggregates(home_country: str, basket: str) -> list[Column]:
+def _behaviour_aggregates(basket: str) -> list[Column]:
     if basket == "line":
         size = money_mean("TotalPrice")
     elif basket == "invoice":
@@ -119,17 +121,23 @@ def _behaviour_aggregates(home_country: str, basket: str) -> list[Column]:
         size.alias("avg_basket_size"),
         F.count_distinct("StockCode").alias("unique_products"),
         _mean_gap(F.col("InvoiceDate").cast("date")).alias("avg_days_between"),
-        _home_flag(home_country).alias("is_uk"),
     ]
 
 
+def _with_home_flag(per_customer: DataFrame, dated: DataFrame, home_country: str) -> DataFrame:
+    """Both sides are grouped by customer already, so the join moves no rows."""
+    flags = home_country_flag(dated, home_country).drop("main_country")
+    return per_customer.join(flags, "CustomerID", "left")
+
+
 def customer_behaviour(
     transactions: DataFrame, home_country: str = "United Kingdom", basket: str = "line"
 ) -> DataFrame:
     """Basket size, product variety, purchase gap and home flag per customer."""
     require_columns(transactions, BEHAVIOUR_INPUT, "transactions")
     dated = coerce_dates(transactions).where(F.col("CustomerID").isNotNull())
-    return dated.groupBy("CustomerID").agg(*_behaviour_aggregates(home_country, basket))
+    grouped = dated.groupBy("CustomerID").agg(*_behaviour_aggregates(basket))
+    return _with_home_flag(grouped, dated, home_country)
 
 
 def join_rfm_behaviour(rfm_table: DataFrame, behaviour: DataFrame) -> DataFrame:
@@ -171,10 +179,9 @@ def churn_training_table(
     else:
         require_columns(transactions, {*RFM_INPUT, *BEHAVIOUR_INPUT}, "transactions")
         dated = coerce_dates(transactions).where(F.col("CustomerID").isNotNull())
-        joined = (
-            dated.groupBy("CustomerID")
-            .agg(*_rfm_aggregates(), *_behaviour_aggregates(home_country, basket))
-            .withColumn("Recency", floor_days(_snapshot(dated, snapshot), "LastPurchase"))
+        grouped = dated.groupBy("CustomerID").agg(*_rfm_aggregates(), *_behaviour_aggregates(basket))
+        joined = _with_home_flag(grouped, dated, home_country).withColumn(
+            "Recency", floor_days(_snapshot(dated, snapshot), "LastPurchase")
         )
     filled = fill_churn_nulls(joined)
     features = [c for c in CHURN_FEATURES if c not in RFM_COLUMNS]

@@ -55,12 +55,15 @@ def chronological_split(
 
     fixed = [date_column, *[c for c in tie_break if c in df.columns]]
     rest = [c for c in df.columns if c not in fixed]
-    numbered = row_numbers(df.where(day == F.lit(edge)), [*fixed, *rest], name="_row")
+    # As timestamp ranges these conditions reach the scan.
+    when = F.col(date_column)
+    starts, ends = F.lit(edge).cast("timestamp_ntz"), F.date_add(F.lit(edge), 1).cast("timestamp_ntz")
+    numbered = row_numbers(df.where((when >= starts) & (when < ends)), [*fixed, *rest], name="_row")
     edge_rows = numbered.withColumn(
         "side", F.when(F.col("_row") <= in_edge, "reference").otherwise("current")
     ).drop("_row")
-    others = df.where(day.isNull() | (day != F.lit(edge))).withColumn(
-        "side", F.when(day < F.lit(edge), "reference").otherwise("current")
+    others = df.where(when.isNull() | (when < starts) | (when >= ends)).withColumn(
+        "side", F.when(when < starts, "reference").otherwise("current")
     )
     return others.unionByName(edge_rows)
 

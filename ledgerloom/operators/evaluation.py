@@ -26,41 +26,41 @@ def roc_curve(scored: DataFrame, label: str = "churned", score: str = "churn_pro
     )
 
 
-def auc_roc(scored: DataFrame, label: str = "churned", score: str = "churn_probability") -> DataFrame:
-    """Area under the curve: each positive against the negatives below it,
-    equal scores counting half. Null when a class is absent."""
-    ranked = _by_score(scored, label, score)
-    # Twice the pair count is a whole number, so the sum is exact.
-    all_neg = ranked.agg(F.sum("neg")).scalar()
-    twice = F.sum((F.col("pos") * (2 * (all_neg - F.col("run_neg")) + F.col("neg"))).cast("decimal(38,0)"))
-    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return ranked.agg(F.try_divide(twice.cast("double") / 2.0, pairs).alias("auc_roc"))
-
-
 def binary_metrics(
     scored: DataFrame,
     label: str = "churned",
     score: str = "churn_probability",
     cutoff: float = 0.5,
 ) -> DataFrame:
-    """AUC, accuracy, precision, recall and F1 in one row; 0 where undefined."""
-    actual, predicted = F.col(label) == 1, F.col(score) >= cutoff
-    counts = scored.agg(
-        F.count_if(actual & predicted).cast("double").alias("tp"),
-        F.count_if(~actual & predicted).cast("double").alias("fp"),
-        F.count_if(actual & ~predicted).cast("double").alias("fn"),
-        F.count(F.lit(1)).cast("double").alias("n_test"),
+    """AUC, accuracy, precision, recall and F1 in one row; 0 where undefined.
+
+    All of them follow from the counts per distinct score. For the area each
+    positive is set against the negatives below it, equal scores counting
+    half; it is null when a class is absent.
+    """
+    ranked = _by_score(scored, label, score)
+    chosen = F.col("score") >= cutoff
+    whole = "decimal(38,0)"
+    # Positives times negatives at or above them, less half of those at the
+    # same score, is what the area lacks. Doubled, it is a whole number.
+    twice_lost = F.sum(F.col("pos").cast(whole) * (2 * F.col("run_neg") - F.col("neg")).cast(whole))
+    counts = ranked.agg(
+        F.sum("pos").cast("double").alias("p"),
+        F.sum("neg").cast("double").alias("n"),
+        F.coalesce(F.sum(F.when(chosen, F.col("pos"))), F.lit(0)).cast("double").alias("tp"),
+        F.coalesce(F.sum(F.when(chosen, F.col("neg"))), F.lit(0)).cast("double").alias("fp"),
+        twice_lost.cast("double").alias("lost"),
     )
-    tp, fp, fn, n = (F.col(c) for c in ("tp", "fp", "fn", "n_test"))
+    p, n, tp, fp = (F.col(c) for c in ("p", "n", "tp", "fp"))
 
-    def ratio(part, whole):
-        return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
+    def ratio(part, among):
+        return F.coalesce(F.try_divide(part, among), F.lit(0.0))
 
     return counts.select(
-        auc_roc(scored, label, score).scalar().alias("auc_roc"),
-        ratio(n - fp - fn, n).alias("accuracy"),
+        (1.0 - F.try_divide(F.col("lost") / 2.0, p * n)).alias("auc_roc"),
+        ratio(n - fp + tp, p + n).alias("accuracy"),
         ratio(tp, tp + fp).alias("precision"),
-        ratio(tp, tp + fn).alias("recall"),
-        ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
-        "n_test",
+        ratio(tp, p).alias("recall"),
+        ratio(2 * tp, tp + fp + p).alias("f1"),
+        (p + n).alias("n_test"),
     )

@@ -220,11 +220,15 @@ def fit_forecaster(
 ) -> DataFrame:
     """One coefficient row per series; short series get their mean.
 
-    The window that finds a series' span already places and sorts the rows by
-    series, so the grouped solve needs no further shuffle. Days reach Python in
-    groups no longer than the calendar.
+    Rows move once, by series: the window that finds a series' span and the
+    grouped solve both keep that placement. Days reach Python in groups no
+    longer than the calendar.
     """
-    features = forecast_features(frame, spec).withColumns({"setting": F.lit(spec.name), "mode": F.lit(spec.mode)})
+    # A given number of partitions is kept by AQE, which would otherwise gather
+    # many series into few tasks because their rows are small.
+    tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = frame.repartition(tasks, "series_key")
+    features = forecast_features(spread, spec).withColumns({"setting": F.lit(spec.name), "mode": F.lit(spec.mode)})
     columns = ["series_key", "setting", "mode", "first_day", "last_day", "y", "trend_x", "seasonal_x"]
     solver = _solve_series(0.5 / spec.changepoint_prior_scale, spec.interval_width, min_days)
     return features.select(*columns).groupBy("series_key").applyInPandas(solver, MODEL_SCHEMA)

@@ -77,20 +77,27 @@ def row_numbers(
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, n) of several numeric columns in one scan, nulls left out."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), nan_to_null(c).alias("value")) for c in columns]
-    )
-    long = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+    typed = df.select(*[nan_to_null(c).alias(c) for c in columns])
+    long = typed.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def count_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, n, run_n): distinct values with their running counts."""
+    return running_totals(value_counts(df, columns), ["value"], ["n"], ["column"])
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """(column, p, value): linearly interpolated exact quantiles.
+    """(column, p, value): linearly interpolated exact quantiles."""
+    return quantiles_of(count_ranks(df, columns), probabilities)
+
+
+def quantiles_of(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Quantiles from running counts.
 
     Values are counted first, so repeated values cost one row; the ranks are
     then located in the running counts. Nothing is collected per column.
     """
-    counts = running_totals(value_counts(df, columns), ["value"], ["n"], ["column"])
     sizes = counts.groupBy("column").agg(F.max("run_n").alias("total"))
     points = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
     place = F.col("p") * (F.col("total") - 1)

@@ -7,14 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import money_sum, nan_to_null, share_pct
-from ledgerloom.operators.prefix import exact_quantiles, numeric_columns
+from pyspark.sql.window import Window
+
+from ledgerloom.functions.numbers import money_sum, money_sum_over, share_pct
+from ledgerloom.operators.prefix import count_ranks, numeric_columns, quantiles_of
 
 
 def share_of_total(df: DataFrame, value: str, name: str = "share_pct") -> DataFrame:
-    """Each value in percent of the column total, two decimals."""
-    whole = df.agg(money_sum(value)).scalar()
-    return df.withColumn(name, share_pct(value, whole))
+    """Each value in percent of the column total, two decimals.
+
+    For report tables (countries, months, a top list), whose rows are few
+    enough to be totalled next to each other; the input is computed once.
+    """
+    return df.withColumn(name, share_pct(value, money_sum_over(value, Window.partitionBy())))
 
 
 def revenue_by_country(transactions: DataFrame) -> DataFrame:
@@ -64,28 +69,33 @@ def sku_filtered_revenue(transactions: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles per column."""
+    """Count, mean, deviation, extremes and exact quartiles per column.
+
+    Everything is read off the counted distinct values, so the input is
+    scanned once.
+    """
     names = list(columns or numeric_columns(df))
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), nan_to_null(c).alias("value")) for c in names])
-    moments = (
-        df.select(F.inline(pairs))
-        .groupBy("column")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
+    counts = count_ranks(df, names)
+    n, value = F.col("n"), F.col("value")
+    means = counts.groupBy("column").agg(
+        F.sum("n").alias("count"),
+        (F.sum(n * value) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    # One row per described column.
+    off = value - F.col("mean")
+    spread = counts.join(F.broadcast(means), "column").groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(n * off * off), F.sum("n") - 1)).alias("std")
     )
     quartiles = (
-        exact_quantiles(df, names, (0.25, 0.5, 0.75))
+        quantiles_of(counts, (0.25, 0.5, 0.75))
         .groupBy("column")
         .pivot("p", [0.25, 0.5, 0.75])
         .agg(F.first("value"))
         .toDF("column", "p25", "p50", "p75")
     )
-    return moments.join(quartiles, "column", "left").select(
+    return means.join(spread, "column").join(quartiles, "column").select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
@@ -96,12 +106,12 @@ def trimmed_histogram(df: DataFrame, column: str, bins: int = 40, trim: float |
     Every bin is listed. The last one is closed on the right; a column with a
     single value gets bins of total width 1 around it.
     """
-    values = df.select(nan_to_null(column).alias("value")).where(F.col("value").isNotNull())
+    counts = count_ranks(df, [column])
     if trim is not None:
-        limit = exact_quantiles(values, ["value"], [trim]).select("value").first()
+        limit = quantiles_of(counts, [trim]).select("value").first()
         if limit is not None:
-            values = values.where(F.col("value") <= limit["value"])
-    ends = values.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
+            counts = counts.where(F.col("value") <= limit["value"])
+    ends = counts.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
     if ends["low"] is None:
         return df.sparkSession.createDataFrame([], "bin int, bin_low double, bin_high double, rows bigint")
     low, high = float(ends["low"]), float(ends["high"])
@@ -109,7 +119,7 @@ def trimmed_histogram(df: DataFrame, column: str, bins: int = 40, trim: float |
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
     place = F.floor((F.col("value") - low) / width).cast("int")
-    counted = values.groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counted = counts.groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.sum("n").alias("n"))
     spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return spine.join(counted, "bin", "left").select(
         "bin",
@@ -117,5 +127,3 @@ def trimmed_histogram(df: DataFrame, column: str, bins: int = 40, trim: float |
         (F.lit(low) + (F.col("bin") + 1) * width).alias("bin_high"),
         F.coalesce("n", F.lit(0)).alias("rows"),
     )
-
-

@@ -12,8 +12,9 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ledgerloom.functions.numbers import share_pct
+from ledgerloom.functions.numbers import money_mean, money_sum, share_pct
 from ledgerloom.operators.customers import fill_model_features
 from ledgerloom.schemas import SEGMENT_FEATURES
 
@@ -113,11 +114,10 @@ def model_centroids(spark: SparkSession, model: PipelineModel) -> DataFrame:
 def cluster_centroids(labelled: DataFrame) -> DataFrame:
     """Mean recency, frequency and monetary value per cluster label."""
     n = F.count(F.lit(1)).cast("double")
-    cents = F.sum(F.rint(F.col("Monetary") * 10_000).cast("bigint")).cast("double") / 10_000.0
     return labelled.groupBy("cluster").agg(
         (F.sum("Recency").cast("double") / n).alias("Recency"),
         (F.sum("Frequency").cast("double") / n).alias("Frequency"),
-        (cents / n).alias("Monetary"),
+        money_mean("Monetary").alias("Monetary"),
     )
 
 
@@ -128,33 +128,30 @@ def assign_personas(centroids: DataFrame) -> DataFrame:
     first free one; when none is free the name repeats. The centroids are at
     most k rows, so they are folded as one array.
     """
-    def at(column: str, p: float):
-        return F.percentile(column, p)
-
-    limits = centroids.agg(
-        F.struct(
-            at("Monetary", 0.75).alias("m75"),
-            at("Frequency", 0.75).alias("f75"),
-            at("Frequency", 0.5).alias("f50"),
-            at("Recency", 0.25).alias("r25"),
-            at("Recency", 0.75).alias("r75"),
-        )
-    ).scalar()
-    lim = {name: limits.getField(name) for name in ("m75", "f75", "f50", "r25", "r75")}
-    rich, often = F.col("Monetary") >= lim["m75"], F.col("Frequency") >= lim["f75"]
-    stale = F.col("Recency") >= lim["r75"]
-    first_choice = (
-        F.when(rich & often & (F.col("Recency") <= lim["r25"]), "Champions")
-        .when(rich & often, "Loyal Customers")
-        .when(rich & stale, "At Risk")
-        .when((F.col("Frequency") < lim["f50"]) & stale, "Hibernating")
-        .otherwise("Regular")
+    rows = F.array_sort(F.collect_list(F.struct("cluster", *SEGMENT_FEATURES)))
+    packed = centroids.agg(
+        rows.alias("rows"),
+        F.percentile("Monetary", 0.75).alias("m75"),
+        F.percentile("Frequency", 0.75).alias("f75"),
+        F.percentile("Frequency", 0.5).alias("f50"),
+        F.percentile("Recency", 0.25).alias("r25"),
+        F.percentile("Recency", 0.75).alias("r75"),
     )
-    wishes = centroids.select("cluster", first_choice.alias("wish"))
-    in_order = wishes.agg(F.array_sort(F.collect_list(F.struct("cluster", "wish"))).alias("wishes"))
     names = F.array(*[F.lit(name) for name in PERSONAS])
     nothing = F.array().cast("array<struct<cluster:int,persona:string>>")
 
+    def wish_of(row):
+        rich, often = row["Monetary"] >= F.col("m75"), row["Frequency"] >= F.col("f75")
+        fresh, stale = row["Recency"] <= F.col("r25"), row["Recency"] >= F.col("r75")
+        seldom = row["Frequency"] < F.col("f50")
+        return (
+            F.when(rich & often & fresh, "Champions")
+            .when(rich & often, "Loyal Customers")
+            .when(rich & stale, "At Risk")
+            .when(seldom & stale, "Hibernating")
+            .otherwise("Regular")
+        )
+
     def give(done, item):
         taken = F.transform(done, lambda d: d["persona"])
         free = F.filter(names, lambda name: ~F.array_contains(taken, name))
@@ -163,7 +160,8 @@ def assign_personas(centroids: DataFrame) -> DataFrame:
         given = F.struct(item["cluster"].cast("int").alias("cluster"), persona.alias("persona"))
         return F.concat(done, F.array(given))
 
-    return in_order.select(F.inline(F.aggregate("wishes", nothing, give)))
+    wishes = F.transform("rows", lambda row: F.struct(row["cluster"].alias("cluster"), wish_of(row).alias("wish")))
+    return packed.withColumn("wishes", wishes).select(F.inline(F.aggregate("wishes", nothing, give)))
 
 
 def label_personas(labelled: DataFrame, personas: DataFrame, numbered_default: bool = False) -> DataFrame:
@@ -194,23 +192,25 @@ def persona_order_join(summary: DataFrame) -> DataFrame:
 
 def persona_summary(labelled: DataFrame) -> DataFrame:
     n = F.count("CustomerID")
-    cents = F.sum(F.rint(F.col("Monetary") * 10_000).cast("bigint")).cast("double") / 10_000.0
     per_persona = labelled.groupBy("persona").agg(
         n.alias("n_customers"),
         (F.sum("Recency").cast("double") / n).alias("avg_recency"),
         (F.sum("Frequency").cast("double") / n).alias("avg_frequency"),
-        (cents / n).alias("avg_monetary"),
-        cents.alias("total_monetary"),
+        money_mean("Monetary").alias("avg_monetary"),
+        money_sum("Monetary").alias("total_monetary"),
     )
-    ordered = persona_order_join(per_persona)
-    everyone = ordered.agg(F.sum("n_customers")).scalar()
-    return ordered.withColumn("share_pct", share_pct("n_customers", everyone))
+    return _with_share(persona_order_join(per_persona), "n_customers")
+
+
+def _with_share(personas: DataFrame, count: str) -> DataFrame:
+    """Share of all customers; the rows are the personas."""
+    everyone = F.sum(count).over(Window.partitionBy())
+    return personas.withColumn("share_pct", share_pct(count, everyone))
 
 
 def persona_distribution(labelled: DataFrame) -> DataFrame:
-    counts = persona_order_join(labelled.groupBy("persona").agg(F.count(F.lit(1)).alias("customers")))
-    everyone = counts.agg(F.sum("customers")).scalar()
-    return counts.withColumn("share_pct", share_pct("customers", everyone))
+    counts = labelled.groupBy("persona").agg(F.count(F.lit(1)).alias("customers"))
+    return _with_share(persona_order_join(counts), "customers")
 
 
 def segment_headline(labelled: DataFrame) -> DataFrame:

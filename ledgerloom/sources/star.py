@@ -27,12 +27,12 @@ def star_transactions(spark: SparkSession, folder: str, columns: list[str] | Non
         parts = table(spark, folder, "part").select("p_partkey", "p_name")
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     if "Country" in wanted:
-        homes = table(spark, folder, "supplier").join(
-            table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left"
-        )
-        lines = lines.join(
-            homes.select("s_suppkey", "n_name"), F.col("l_suppkey") == F.col("s_suppkey"), "left"
-        )
+        # One after the other, so that each keeps its own size estimate and a
+        # small supplier table is broadcast instead of shuffling the lines.
+        suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+        nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
+        lines = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        lines = lines.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     returned = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
     odd_part = F.col("l_partkey") % 50 == 0
     number = F.col("l_orderkey").cast("string")
