@@ -10,12 +10,14 @@ pandas; forecasts are dot products on the JVM side again.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -52,6 +54,9 @@ HOLIDAYS = {
     ],
 }
 
+# The solver travels to the executors by value; the package need not be there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SPARE_DAYS = 14  # a series needs more than holdout + SPARE_DAYS days
 
 

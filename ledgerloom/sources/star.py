@@ -12,6 +12,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table by key when it offers fewer scan tasks than there are cores.
+
+    A small table in one file would keep a single core busy with all the work
+    that follows. A table of many files or row groups is left as it is.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks, key) if df.rdd.getNumPartitions() < tasks else df
+
+
 def star_transactions(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame:
     """Raw transaction lines from lineitem and its dimensions.
 
@@ -21,7 +31,7 @@ def star_transactions(spark: SparkSession, folder: str, columns: list[str] | Non
     from the keys.
     """
     wanted = list(columns or RAW_COLUMNS)
-    lines = table(spark, folder, "lineitem")
+    lines = spread_if_narrow(table(spark, folder, "lineitem"), "l_orderkey")
     lines = lines.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     if "Description" in wanted:
         parts = table(spark, folder, "part").select("p_partkey", "p_name")

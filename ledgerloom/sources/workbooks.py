@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.checks import require_columns
@@ -27,6 +29,9 @@ DAY_ZERO = datetime(1899, 12, 30)
 
 BATCH_ROWS = 10_000
 
+# The reader travels to the executors by value; the package need not be there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _texts(node: ElementTree.Element) -> str:
     return "".join(part.text or "" for part in node.iter(f"{MAIN}t"))
