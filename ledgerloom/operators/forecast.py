@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 
 from ledgerloom.checks import check_demand_args, check_positive, require_columns
 from ledgerloom.functions.retail import forecast_delta_pct
+from ledgerloom.session import cut_lineage
 
 # Built-in holidays per country.
 HOLIDAYS = {
@@ -302,7 +303,16 @@ def evaluate_forecaster(
     frame: DataFrame, spec: ForecastSpec = ForecastSpec(), holdout_days: int = 30
 ) -> DataFrame:
     """Fit on all but the tail of each long enough series, score the tail."""
-    marked = holdout_tail(frame, holdout_days).where(F.col("n_days") > holdout_days + SPARE_DAYS)
+    return _evaluate(_marked(frame, holdout_days), spec)
+
+
+def _marked(frame: DataFrame, holdout_days: int) -> DataFrame:
+    """The long enough series, written once: both sides of every fit read it."""
+    marked = holdout_tail(frame, holdout_days)
+    return cut_lineage(marked.where(F.col("n_days") > holdout_days + SPARE_DAYS))
+
+
+def _evaluate(marked: DataFrame, spec: ForecastSpec) -> DataFrame:
     train = marked.where(~F.col("is_test")).select("series_key", "ds", "y")
     test = marked.where("is_test").select("series_key", "ds", "y")
     models = fit_forecaster(train, spec, min_days=SPARE_DAYS)
@@ -329,6 +339,7 @@ GRID = [
 
 def forecast_grid(frame: DataFrame, base: ForecastSpec = ForecastSpec(), holdout_days: int = 30) -> DataFrame:
     """Holdout metrics of every grid setting and series, in one job."""
+    marked = _marked(frame, holdout_days)
     compared = None
     for yearly, order, mode in GRID:
         spec = replace(
@@ -339,7 +350,7 @@ def forecast_grid(frame: DataFrame, base: ForecastSpec = ForecastSpec(), holdout
             mode=mode,
             holidays_country=None,
         )
-        row = evaluate_forecaster(frame, spec, holdout_days).select(F.lit(spec.name).alias("setting"), "*")
+        row = _evaluate(marked, spec).select(F.lit(spec.name).alias("setting"), "*")
         compared = row if compared is None else compared.unionByName(row)
     return compared
 
