@@ -1,9 +1,8 @@
 """Running totals and exact quantiles without a single-task window.
 
 A window ordered over a whole table runs in one task. Here the rows are range
-partitioned on the order, the layout is made permanent with a reliable
-checkpoint (a partition id that was recomputed could differ), every partition
-is summed, and only the per-partition totals (at most one row per partition
+partitioned on the order, the layout is made permanent in a written table (a
+partition id that was recomputed could differ), every partition is summed, and only the per-partition totals (at most one row per partition
 and group) go through an ordered window.
 """
 
@@ -40,11 +39,10 @@ def running_totals(
     order column; ``prev_<c>`` then holds its value on the row before. The
     totals must be integers, so that they do not depend on the partitioning.
     """
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(name) for name in group]
-    placed = cut_lineage(
-        df.repartitionByRange(count, *keys, *_plain(order)).withColumn(PART, F.spark_partition_id())
-    )
+    keys = [*[F.col(name) for name in group], *_plain(order)]
+    # Without a number AQE joins neighbouring ranges that turn out small.
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    placed = cut_lineage(ranged.withColumn(PART, F.spark_partition_id()))
 
     extra = [F.max(previous).alias(f"_last_{previous}")] if previous else []
     totals = placed.groupBy(*group, PART).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums], *extra)

@@ -152,8 +152,7 @@ def load_raw(spark, folder):
 def read_stage(spark, folder):
     path = scratch_path(spark, "stage")
     stage_files.write_stage(cleaned(spark, folder), path, by_month=True)
-    back = stage_files.read_stage(spark, path)
-    return back.where("year = 1999 and month <= 6").drop("year", "month")
+    return stage_files.read_stage(spark, path).drop("year", "month")
 
 
 @query
@@ -282,8 +281,7 @@ def filter_country_dates(spark, folder):
 
 @query
 def drift_projection(spark, folder):
-    lines = cleaned(spark, folder, "Country").where("InvoiceNo like '1%'")
-    return drift.drift_projection(lines)
+    return drift.drift_projection(cleaned(spark, folder, "Country"))
 
 
 # Customers
@@ -306,7 +304,7 @@ def rfm_events(spark, folder):
 
 @query
 def sort_rfm(spark, folder):
-    return customers.sort_rfm(rfm_table(spark, folder)).limit(20)
+    return customers.sort_rfm(rfm_table(spark, folder))
 
 
 @query
@@ -355,18 +353,24 @@ def home_country_flag(spark, folder):
 @query
 def join_rfm_behaviour(spark, folder):
     lines = cleaned(spark, folder, "StockCode", "Country")
-    early = customers.customer_behaviour(lines.where("InvoiceDate < timestamp_ntz '1997-01-01 00:00:00'"), HOME)
-    return customers.join_rfm_behaviour(customers.rfm(lines), early)
+    return customers.join_rfm_behaviour(customers.rfm(lines), customers.customer_behaviour(lines, HOME))
+
+
+def _with_early_behaviour(spark: SparkSession, folder: str) -> DataFrame:
+    """All customers with their behaviour up to 1996, missing for later ones."""
+    lines = cleaned(spark, folder, "StockCode", "Country")
+    early = filters.filter_country_dates(lines, end=date(1996, 12, 31))
+    return customers.join_rfm_behaviour(customers.rfm(lines), customers.customer_behaviour(early, HOME))
 
 
 @query
 def fill_churn_nulls(spark, folder):
-    return customers.fill_churn_nulls(join_rfm_behaviour(spark, folder))
+    return customers.fill_churn_nulls(_with_early_behaviour(spark, folder))
 
 
 @query
 def fill_model_features(spark, folder):
-    return customers.fill_model_features(join_rfm_behaviour(spark, folder))
+    return customers.fill_model_features(_with_early_behaviour(spark, folder))
 
 
 @query
@@ -400,10 +404,9 @@ def daily_revenue_by_country(spark, folder):
 
 @query
 def calendar_spine(spark, folder):
-    sparse = daily.daily_revenue(
-        cleaned(spark, folder, "TotalPrice").where("InvoiceNo like '%7'"), fill_missing_days=False
-    )
-    return daily.calendar_spine(sparse)
+    """Per country, where many days have no sale."""
+    sparse = daily.daily_revenue(cleaned(spark, folder, "Country"), fill_missing_days=False, series=["Country"])
+    return daily.calendar_spine(sparse, ["Country"])
 
 
 @query

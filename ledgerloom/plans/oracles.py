@@ -367,7 +367,7 @@ AUC = """
 SPECS: dict[str, str] = {
     "read_transactions_csv": RAW_TEXT,
     "load_raw": RAW_TEXT,
-    "read_stage": "SELECT * FROM cleaned WHERE InvoiceDate >= TIMESTAMP '1999-01-01' AND InvoiceDate < TIMESTAMP '1999-07-01'",
+    "read_stage": "SELECT * FROM cleaned",
     "write_stage": "SELECT CAST(year(InvoiceDate) AS INTEGER) AS year, CAST(month(InvoiceDate) AS INTEGER) AS month, count(*) AS rows FROM cleaned GROUP BY 1, 2",
     "write_json_report": REPORT_ROW,
     "read_inventory_csv": "SELECT * FROM inventory",
@@ -403,14 +403,14 @@ SPECS: dict[str, str] = {
           AND InvoiceDate < TIMESTAMP '1999-04-01'""",
     "drift_projection": """
         SELECT InvoiceDate, Quantity, UnitPrice, TotalPrice, Country, CAST(hour(InvoiceDate) AS INTEGER) AS Hour,
-               CAST(isodow(InvoiceDate) - 1 AS INTEGER) AS DayOfWeek FROM cleaned WHERE InvoiceNo LIKE '1%'""",
+               CAST(isodow(InvoiceDate) - 1 AS INTEGER) AS DayOfWeek FROM cleaned""",
     "rfm": "SELECT * FROM rfm",
     "rfm_at_snapshot": rfm_of("cleaned", SNAPSHOT),
     "rfm_events": rfm_of(
         "(SELECT CAST(event_id AS VARCHAR) AS InvoiceNo, user_id AS CustomerID, ts AS InvoiceDate, value AS TotalPrice"
         " FROM events WHERE event_type = 'purchase')"
     ),
-    "sort_rfm": "SELECT * FROM rfm ORDER BY Monetary DESC, CustomerID LIMIT 20",
+    "sort_rfm": "SELECT * FROM rfm ORDER BY Monetary DESC, CustomerID",
     "align_by_key": f"SELECT r.*, b.unique_products, {even('b.avg_basket_size', 6)} AS avg_basket_size FROM rfm r JOIN behaviour b ON b.CustomerID = r.CustomerID",
     "rfm_means": f"""
         SELECT count(*) AS n_customers, CAST(SUM(Recency) AS DOUBLE) / count(*) AS mean_recency,
@@ -425,7 +425,9 @@ SPECS: dict[str, str] = {
         FROM (SELECT CustomerID, Country,
                      row_number() OVER (PARTITION BY CustomerID ORDER BY count(*) DESC, Country) AS r
               FROM cleaned GROUP BY CustomerID, Country) WHERE r = 1""",
-    "join_rfm_behaviour": "SELECT * FROM rfm_early",
+    "join_rfm_behaviour": """
+        SELECT r.*, b.avg_basket_size, b.unique_products, b.avg_days_between, b.is_uk
+        FROM rfm r LEFT JOIN behaviour b ON b.CustomerID = r.CustomerID""",
     "fill_churn_nulls": """
         SELECT CustomerID, Recency, Frequency, Monetary, FirstPurchase, LastPurchase,
                coalesce(avg_basket_size, Monetary / greatest(Frequency, 1)) AS avg_basket_size,
@@ -441,7 +443,7 @@ SPECS: dict[str, str] = {
     "churn_label": "SELECT CustomerID, CASE WHEN Recency > 120 THEN 1 ELSE 0 END AS churned FROM rfm",
     "daily_revenue": "SELECT * FROM daily",
     "daily_revenue_by_country": "SELECT * FROM daily_country",
-    "calendar_spine": daily_of("(SELECT * FROM cleaned WHERE InvoiceNo LIKE '%7')"),
+    "calendar_spine": "SELECT * FROM daily_country",
     "daily_resample": "SELECT InvoiceDate, Revenue FROM daily",
     "monthly_revenue": f"SELECT CAST(date_trunc('month', InvoiceDate) AS DATE) AS Month, {money_sum('TotalPrice')} AS Revenue FROM cleaned GROUP BY 1",
     "calendar_features": f"SELECT InvoiceDate, Revenue, {CALENDAR} FROM daily",
@@ -640,7 +642,7 @@ SPECS: dict[str, str] = {
                {even('sqrt(avg((y - yhat) * (y - yhat)))', 6)} AS rmse, count(*) AS holdout_days FROM naive GROUP BY series_key""",
     "forecast_headline": f"""
         SELECT f.series_key, {even('mean_forecast', 4)} AS mean_forecast, horizon_days, last_actual,
-               {even('(mean_forecast - last_actual) / last_actual * 100.0::DOUBLE', 4)} AS delta_pct
+               {even('CASE WHEN last_actual = 0 THEN 0 ELSE (mean_forecast - last_actual) / last_actual * 100.0::DOUBLE END', 4)} AS delta_pct
         FROM (SELECT series_key, avg(yhat) AS mean_forecast, count(*) AS horizon_days FROM naive GROUP BY series_key) f,
              (SELECT arg_max(Revenue, InvoiceDate) AS last_actual FROM daily WHERE InvoiceDate <= DATE '2001-06-30')""",
     "forecast_delta_pct": f"""

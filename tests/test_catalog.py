@@ -28,7 +28,7 @@ def test_every_sql_has_a_query():
 
 
 def test_entry(spark):
-    assert contract.entry(spark).count() == 20
+    assert contract.entry(spark).count() > 100
 
 
 @pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))
@@ -36,7 +36,7 @@ def test_query(spark, duck, name):
     frame = contract.queries()[name](spark, DATA)
     columns = sorted(frame.columns)
     rows = [tuple(r[c] for c in columns) for r in frame.collect()]
-    assert rows
+    assert rows or name in SQL
     if name in SQL:
         result = duck.execute(SQL[name])
         order = [d[0] for d in result.description]
