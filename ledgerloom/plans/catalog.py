@@ -726,6 +726,12 @@ def save_and_load_model(spark, folder):
 
 @query
 def feature_importance(spark, folder):
+    _, model = _churn_model(spark, folder)
+    return churn.feature_importance(model, spark)
+
+
+@query
+def importance_sort(spark, folder):
     _, model = _churn_model(spark, folder)
     return churn.importance_sort(churn.feature_importance(model, spark))
 

@@ -21,10 +21,6 @@ def floor_days(later: str, earlier: str) -> str:
     return f"CAST(floor((epoch_us({later}) - epoch_us({earlier})) / 86400000000) AS INTEGER)"
 
 
-def weighted(value: str, when: str) -> str:
-    return f"count(*) FILTER (WHERE {when})"
-
-
 RFM_SELECT = """
     SELECT CustomerID, {recency} AS Recency, Frequency, Monetary, FirstPurchase, LastPurchase
     FROM (SELECT CustomerID, max(InvoiceDate) AS LastPurchase, min(InvoiceDate) AS FirstPurchase,
@@ -477,7 +473,7 @@ SPECS: dict[str, str] = {
               FROM cleaned GROUP BY 1)""",
     "top_products": f"""
         SELECT StockCode, Description, Revenue,
-               {even(f"Revenue / ({money_sum('Revenue').replace('SUM(', 'SUM(').replace('), 0)', ') OVER (), 0)')}) * 100.0::DOUBLE", 2)} AS share_pct
+               {even(f"Revenue / ({money_sum('Revenue').replace('), 0)', ') OVER (), 0)')}) * 100.0::DOUBLE", 2)} AS share_pct
         FROM (SELECT StockCode, Description, {money_sum('TotalPrice')} AS Revenue FROM cleaned
               GROUP BY StockCode, Description ORDER BY Revenue DESC, StockCode, Description LIMIT 10)""",
     "country_rows_topn": 'SELECT Country, count(*) AS "count" FROM cleaned GROUP BY Country ORDER BY 2 DESC, 1 LIMIT 10',

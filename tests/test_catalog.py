@@ -10,7 +10,7 @@ DATA = "/root/testdata/sf0.001"
 SQL = contract.oracle_sql()
 # Covered end to end by the stage tests.
 SLOW = {"run_train", "run_promote", "fit_segmenter", "select_k", "score_segments", "fit_churn", "score_churn",
-        "save_and_load_model", "feature_importance", "compare_challenger"}
+        "save_and_load_model", "feature_importance", "importance_sort", "compare_challenger"}
 
 
 @pytest.fixture(scope="module")
