@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, html_extract, language_id, url_reputation
+from ledgerloom.llm import bpe, html_extract, jaccard_join, language_id, url_reputation
 from ledgerloom.llm.text import table
 
 VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -42,12 +42,16 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict_languages(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract_main_text(table(spark, folder, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_url_reputation, op7_bpe, op8_language_id, op10_html_extraction)
+    f.__name__: f for f in (op5_url_reputation, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction)
 }
 
 SQL: dict[str, str] = {}
