@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, html_extract, jaccard_join, language_id, line_dedup, sql, url_reputation
+from ledgerloom.llm import bpe, decontaminate, html_extract, jaccard_join, language_id, line_dedup, sql, url_reputation
 from ledgerloom.llm.text import table
 
 VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -33,6 +33,10 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return url_reputation.judge_urls(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
 
@@ -56,7 +60,7 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_line_dedup, op5_url_reputation, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction)
+    f.__name__: f for f in (op3_line_dedup, op4_decontamination, op5_url_reputation, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction)
 }
 
 SQL: dict[str, str] = {"op3_line_dedup": sql.OP3_LINE_DEDUP}
