@@ -30,3 +30,33 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   md5(coalesce(string_agg(line, chr(10) ORDER BY ln) FILTER (NOT gone), '')) AS text_md5
 FROM judged GROUP BY doc_id
 """
+
+OP1_QUALITY_RULES = r"""
+WITH base AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, i, words[i:i + 7] AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM base)
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + o) AS n
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS k FROM starts), range(8) AS r(o) WHERE k > 1 GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM base
+), dup AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM listed WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), plain AS (
+  SELECT doc_id, source, text, trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g')) AS p,
+    len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM listed
+), common AS (
+  SELECT source, p FROM plain JOIN (SELECT source, count(DISTINCT text) AS docs FROM base GROUP BY source) USING (source)
+  WHERE p <> '' GROUP BY source, p, docs HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.01 * docs
+), lost AS (
+  SELECT doc_id, sum(n) AS n FROM plain JOIN common USING (source, p) GROUP BY doc_id
+), stats AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
+    coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS boilerplate_words
+  FROM base LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN lost USING (doc_id)
+)
+SELECT *, base_failed = false AND n_words - boilerplate_words >= 20 AND n_words - boilerplate_words >= 0.3 * n_words AS kept
+FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM stats)
+"""
