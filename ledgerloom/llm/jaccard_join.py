@@ -6,9 +6,9 @@ shingles in any fixed order), so classes meet by prefix shingles. Shingles that
 a bounded sample shows to be common come last in the order; which ones these
 are changes the work, never the result.
 
-Keys with the same members are tried once. In a few rounds every member of a
-key is compared with one leader, which links large groups of near copies with
-few comparisons. Keys that still hold several components go through signature
+Keys with the same members are tried once. First every member of a key is
+compared with a few leaders, which links large groups of near copies with few
+comparisons. Keys that still hold several components go through signature
 trees: their members are dealt to cells of bounded size, every two cells of a
 key meet in some task, and a dual traversal gives the pairs of different
 components that bitmaps and sizes do not rule out. All pairs that either way
@@ -32,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
-from ledgerloom.llm.signature_tree import SignatureTree, bitmap, dual_join
+from ledgerloom.llm.signature_tree import FEWEST_BITS, SignatureTree, bitmap, dual_join, folded, pair_overlaps
 from ledgerloom.llm.text import WordHashes, byte_words, mixed, shingle_hashes
 from ledgerloom.session import cut_lineage
 
 CELL = 512  # rows of one side of a cell
 SAMPLE = 4000  # documents that show which shingles are common
 COMMON = 8  # documents of the sample that make a shingle common
-LEADER_ROUNDS = 3
+LEADERS = 3
 
 
 def token_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
@@ -58,20 +58,45 @@ def _signed(tokens: np.ndarray) -> pa.Array:
     return pa.array(tokens.view(np.int64))
 
 
-def profiles(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for the empty set) and bitmap of every document."""
+def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
+    """doc_id, n_shingles, set_id (null for the empty set), bitmap and prefix shingles of every document.
+
+    Copies of a text seen shortly before in the same task leave the keys out.
+    """
+
+    def prefix(tokens: np.ndarray, late: np.ndarray) -> np.ndarray:
+        if len(late):
+            last = late[np.minimum(np.searchsorted(late, tokens), len(late) - 1)] == tokens
+            tokens = np.concatenate([tokens[~last], tokens[last]])
+        return tokens[: len(tokens) - (percent * len(tokens) + 99) // 100 + 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            sets = (token_set(text.as_py(), size, hashes) for text in batch.column(1))
-            rows = [(len(s), set_id(s), bitmap(s)) if len(s) else (0, None, None) for s in sets]
-            n, ids, bits = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary())], names=["doc_id", "n_shingles", "set_id", "bitmap"]
-            )
+        hashes, late = WordHashes(), common.value
+        seen: set[int] = set()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                counts, ids, bits, keys, ends = [], [], [], [], [0]
+                for text in batch.column(1):
+                    tokens = token_set(text.as_py(), size, hashes)
+                    own = set_id(tokens) if len(tokens) else None
+                    first = np.empty(0, np.uint64)
+                    if own is not None and own not in seen:
+                        if len(seen) >= 1 << 17:
+                            seen.clear()
+                        seen.add(own)
+                        first = prefix(tokens, late)
+                    counts.append(len(tokens))
+                    ids.append(own)
+                    bits.append(bitmap(tokens) if len(tokens) else None)
+                    keys.append(first)
+                    ends.append(ends[-1] + len(first))
+                listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate(keys)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), listed], names=["doc_id", "n_shingles", "set_id", "bitmap", "keys"]
+                )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id bigint, bitmap binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id bigint, bitmap binary, keys array<bigint>")
 
 
 def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
@@ -90,38 +115,9 @@ def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
     return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
 
 
-def prefix_keys(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
-    """(key, set_id) for the prefix shingles of every set; copies within a task give theirs once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, late = WordHashes(), common.value
-        seen: set[int] = set()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                keys, ids = [], []
-                for text in batch.column(0).slice(at, 256):
-                    tokens = token_set(text.as_py(), size, hashes)
-                    n = len(tokens)
-                    if not n or (own := set_id(tokens)) in seen:
-                        continue
-                    if len(seen) >= 1 << 17:
-                        seen.clear()
-                    seen.add(own)
-                    if len(late):
-                        last = late[np.minimum(np.searchsorted(late, tokens), len(late) - 1)] == tokens
-                        tokens = np.concatenate([tokens[~last], tokens[last]])
-                    first = tokens[: n - (percent * n + 99) // 100 + 1]
-                    keys.append(first)
-                    ids.append(np.full(len(first), own, np.int64))
-                if keys:
-                    yield pa.record_batch([_signed(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "set_id"])
-
-    return docs.select("text").mapInArrow(run, "key bigint, set_id bigint")
-
-
-def _members(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
+def _members(profile: DataFrame) -> DataFrame:
     """(key, set_id) of keys with several sets; of keys with the same members only one."""
-    keys = prefix_keys(docs, size, percent, common)
+    keys = profile.select(F.explode("keys").alias("key"), "set_id")
     several = keys.groupBy("key").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a <> b").select("key")
     members = cut_lineage(keys.join(several, "key").distinct())
     named = members.groupBy("key").agg(
@@ -139,9 +135,13 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             m, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            x, y = _bitmaps(batch.column(4)), _bitmaps(batch.column(5))
-            overlap = np.minimum(m - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), n - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
-            fits = (100 + percent) * overlap >= percent * (m + n)
+            left, right = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            least = np.minimum([len(x) for x in left], [len(y) for y in right])
+            fits = np.zeros(len(m), bool)
+            for width in np.unique(least).tolist():
+                for rows in np.array_split(at := np.flatnonzero(least == width), len(at) * width // (1 << 24) + 1):
+                    x, y = folded([left[i] for i in rows], width), folded([right[i] for i in rows], width)
+                    fits[rows] = (100 + percent) * pair_overlaps(m[rows], n[rows], x, y) >= percent * (m[rows] + n[rows])
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(fits))
 
     sides = [classes.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("bitmap").alias(f"bits_{c}")) for c in "ab"]
@@ -149,10 +149,6 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _bitmaps(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
-
-
 def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the distinct pairs that are similar, by the whole sets. Only the texts they name are read into sets."""
 
@@ -174,7 +170,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, pe
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(fits, pa.bool_()))
 
     named = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    wanted = classes.join(named, "set_id").select("set_id", F.col("doc_id").alias("of"))
+    wanted = cut_lineage(classes.join(named, "set_id").select("set_id", F.col("doc_id").alias("of")))  # a few ids are broadcast, by their size
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
     sets = cut_lineage(texts.select("set_id", "text").mapInArrow(read, "set_id bigint, tokens binary").dropDuplicates(["set_id"]))
     sides = [sets.select(F.col("set_id").alias(c), F.col("tokens").alias(f"tokens_{c}")) for c in "ab"]
@@ -213,7 +209,7 @@ def _cell_pairs(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs within one cell (i = j), or between its two sides."""
     cell = cell.combine_chunks()
     own, ids, groups, sizes = (cell.column(c).to_numpy() for c in ("own", "set_id", "component", "n_shingles"))
-    bits = _bitmaps(cell.column("bitmap").combine_chunks())
+    bits = folded(cell.column("bitmap").to_pylist(), FEWEST_BITS // 8)
     if cell.column("i")[0].as_py() == cell.column("j")[0].as_py():
         sides = [np.arange(len(ids))] * 2
     else:
@@ -232,29 +228,23 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    profile = cut_lineage(profiles(docs, size))
+    common = spark.sparkContext.broadcast(common_shingles(docs, size, docs.count()))
+    profile = cut_lineage(profiles(docs, size, percent, common))
     classes = cut_lineage(
         profile.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"))
     )
-    common = spark.sparkContext.broadcast(common_shingles(docs, size, profile.count()))
-    members = _members(docs, size, percent, common)
-
-    links = None
-    known = spark.createDataFrame([], "node bigint, component bigint")
-    for turn in range(LEADER_ROUNDS + 1):
-        grouped = members.join(known.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-        if turn < LEADER_ROUNDS:
-            order = F.struct(F.xxhash64("set_id", F.lit(turn)).alias("x"), F.col("set_id").alias("leader"), F.col("component").alias("of"))
-            leaders = grouped.groupBy("key").agg(F.min(order).alias("l"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key", "l.leader", "l.of")
-            pairs = grouped.join(leaders, "key").where("component <> of").select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b")).distinct()
-        else:
-            pairs = _tree_pairs(grouped, classes, percent)
-        pairs = cut_lineage(_bounded(pairs, classes, percent) if turn < LEADER_ROUNDS else pairs)
-        if pairs.isEmpty():
-            continue
-        found = cut_lineage(_linked(pairs, docs, classes, size, percent))
-        links = found if links is None else links.union(found)
-        known = components(links)
+    members = _members(profile)
+
+    leaders = members.groupBy("key").agg(*[F.min_by("set_id", F.xxhash64("set_id", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)])
+    led = members.join(leaders, "key").select("set_id", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("leader")).where("set_id <> leader")
+    pairs = led.select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b")).distinct()
+    links = cut_lineage(_linked(cut_lineage(_bounded(pairs, classes, percent)), docs, classes, size, percent))
+    known = components(links)
+
+    grouped = members.join(known.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    pairs = cut_lineage(_bounded(_tree_pairs(grouped, classes, percent), classes, percent))
+    if not pairs.isEmpty():
+        known = components(links.union(_linked(pairs, docs, classes, size, percent)))
 
     least = known.join(classes.select(F.col("set_id").alias("node"), "doc_id"), "node")
     least = least.join(least.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select(F.col("node").alias("set_id"), "component_id")

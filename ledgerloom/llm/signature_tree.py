@@ -7,16 +7,28 @@ from collections.abc import Iterator
 import numpy as np
 
 LEAF = 16
-BITS = 1024
+FEWEST_BITS, MOST_BITS = 1 << 10, 1 << 17
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """One bit for each token's low bits."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[(tokens % np.uint64(BITS)).astype(np.int64)] = 1
+    """One bit for each token's low bits, in two to four bits a token within the limits above."""
+    size = min(MOST_BITS, max(FEWEST_BITS, 1 << (2 * len(tokens) - 1).bit_length()))
+    bits = np.zeros(size, np.uint8)
+    bits[(tokens & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
+def folded(bitmaps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps of ``size`` bytes or more (powers of two), each ORed down to that size, as rows of 64-bit words."""
+    parts = [np.frombuffer(b, np.uint64) if len(b) == size else np.bitwise_or.reduce(np.frombuffer(b, np.uint64).reshape(-1, size // 8)) for b in bitmaps]
+    return np.stack(parts)
+
+
+def pair_overlaps(m: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The largest overlap that bitmaps allow, for rows of pairs: tokens whose bit the other set lacks are not shared."""
+    return np.minimum(m - np.bitwise_count(x & ~y).sum(axis=-1, dtype=np.int64), n - np.bitwise_count(y & ~x).sum(axis=-1, dtype=np.int64))
+
+
 class SignatureTree:
     """Sets in order of size, halved down to leaves.
 
@@ -89,8 +101,7 @@ def dual_join(left: SignatureTree, right: SignatureTree, percent: int) -> Iterat
 def _leaf_pairs(left: SignatureTree, right: SignatureTree, a: tuple, b: tuple, percent: int, once: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     x, y = left.bitmaps[a[0] : a[1], None], right.bitmaps[None, b[0] : b[1]]
     m, n = left.sizes[a[0] : a[1], None], right.sizes[None, b[0] : b[1]]
-    overlap = np.minimum(m - np.bitwise_count(x & ~y).sum(axis=2, dtype=np.int64), n - np.bitwise_count(y & ~x).sum(axis=2, dtype=np.int64))
-    fits = ((100 + percent) * overlap >= percent * (m + n)) & (left.groups[a[0] : a[1], None] != right.groups[None, b[0] : b[1]])
+    fits = ((100 + percent) * pair_overlaps(m, n, x, y) >= percent * (m + n)) & (left.groups[a[0] : a[1], None] != right.groups[None, b[0] : b[1]])
     if once:
         fits &= np.triu(np.ones(fits.shape, bool), 1)
     p, q = np.nonzero(fits)

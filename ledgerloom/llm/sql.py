@@ -60,3 +60,32 @@ WITH base AS (
 SELECT *, base_failed = false AND n_words - boilerplate_words >= 20 AND n_words - boilerplate_words >= 0.3 * n_words AS kept
 FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM stats)
 """
+
+
+def op6_license_scan(templates: tuple[tuple[str, str], ...]) -> str:
+    """Every window of every length, without bands: shingles that windows and templates share are counted."""
+    values = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(templates))
+    return rf"""
+WITH template AS (
+  SELECT id, license, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS words FROM (VALUES {values}) AS v(id, license, t)
+), wanted AS (
+  SELECT DISTINCT id, license, n, words[i:i + 2] AS s FROM (SELECT id, license, words, len(words) AS n, unnest(range(1, len(words) - 1)) AS i FROM template)
+), sizes AS (
+  SELECT id, count(*) AS total FROM wanted GROUP BY id
+), shape AS (
+  SELECT id, license, n + CAST(ceil(n / 4) AS INT) AS size, greatest(1, n // 4) AS stride, total FROM (SELECT DISTINCT id, license, n FROM wanted) JOIN sizes USING (id)
+), doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS words FROM documents
+), placed AS (
+  SELECT doc_id, i - 1 AS p, words[i:i + 2] AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM doc)
+), hit AS (
+  SELECT doc_id, p, s, id FROM placed JOIN wanted USING (s)
+), windowed AS (
+  SELECT doc_id, id, s, (p // stride - k) * stride AS start, p, size FROM hit JOIN shape USING (id), range(64) AS r(k) WHERE k <= (size - 3) // stride + 1
+), counted AS (
+  SELECT doc_id, id, start, count(DISTINCT s) AS n FROM windowed WHERE start >= 0 AND p + 3 <= start + size GROUP BY doc_id, id, start
+), matched AS (
+  SELECT doc_id, license, start, n / total AS containment FROM counted JOIN shape USING (id) WHERE n / total >= 0.8
+)
+SELECT doc_id, license, max(containment) AS containment, arg_min(start, (-containment, start))::BIGINT AS start FROM matched GROUP BY doc_id, license
+"""
