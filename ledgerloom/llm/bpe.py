@@ -127,7 +127,6 @@ class _Cache(dict):
         return ids
 
 
-OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 _codecs: dict[int, BpeCodec] = {}
@@ -149,17 +148,20 @@ def _share(docs: DataFrame, vocabulary: str):
 
 
 def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id, ids (little-endian unsigned 32-bit integers) and the decoded text of every document."""
+    """All columns of ``docs`` (but those of these names) with ids, little-endian unsigned 32-bit integers, and the decoded text."""
     shared = _share(docs, vocabulary)
+    kept = [c for c in docs.columns if c not in ("ids", "decoded")]
+    at = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
-        for batch in batches:
-            for part in _parts(batch):
-                ids = [codec.encode(text) for text in part[1]]
-                yield pa.RecordBatch.from_arrays([part[0], pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())], schema=OUT)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                ids = [codec.encode(text.as_py() or "") for text in batch.column(at)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())], names=[*kept, "ids", "decoded"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids binary, decoded string")
+    return docs.select(*kept).mapInArrow(run, docs.select(*kept).schema.add("ids", "binary").add("decoded", "string"))
 
 
 def digest_documents(docs: DataFrame, vocabulary: str) -> DataFrame:

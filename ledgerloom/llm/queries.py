@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontaminate, html_extract, jaccard_join, language_id, license_scan, line_dedup, quality_rules, sql, url_reputation
+from ledgerloom.llm import bpe, decontaminate, html_extract, jaccard_join, language_id, license_scan, line_dedup, ngram_lm, quality_rules, sql, url_reputation
 from ledgerloom.llm.text import table
 
 VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -32,6 +32,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, folder, "documents"))
 
 
+def op2_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_lm.score_documents(table(spark, folder, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
@@ -68,7 +72,7 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_line_dedup, op4_decontamination, op5_url_reputation, op6_license_scan, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction)
+    f.__name__: f for f in (op1_quality_rules, op2_ngram_lm, op3_line_dedup, op4_decontamination, op5_url_reputation, op6_license_scan, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction)
 }
 
 SQL: dict[str, str] = {"op1_quality_rules": sql.OP1_QUALITY_RULES, "op3_line_dedup": sql.OP3_LINE_DEDUP, "op6_license_scan": sql.op6_license_scan(license_scan.TEMPLATES)}
