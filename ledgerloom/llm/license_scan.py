@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.text import let
+
 
 SHINGLE, BANDS, ROWS = 3, 20, 2
 MAX_TEMPLATES = 1000
@@ -50,8 +52,13 @@ def plain_words(text: Column) -> Column:
 
 def shingles(words: Column) -> Column:
     """Hash of the shingle that starts at each word."""
-    n = F.size(words) - SHINGLE + 1
-    return F.when(n < 1, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, SHINGLE))))
+
+    def of(listed: Column) -> Column:
+        n = F.size(listed) - SHINGLE + 1
+        hashed = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.xxhash64(F.slice(listed, i, SHINGLE)))
+        return F.when(n < 1, F.array().cast("array<bigint>")).otherwise(hashed)
+
+    return let(words, of)
 
 
 def band_hashes(window: Column) -> Column:
