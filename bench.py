@@ -9,7 +9,7 @@ import sys
 import time
 
 from ledgerloom.plans.catalog import QUERIES
-from ledgerloom.session import build_session
+from ledgerloom.session import build_session, ensure_local_shared_dir
 
 HEADLINE = (
     "clean_report validate_expectations rfm churn_training_table_single_pass daily_revenue_by_country "
@@ -34,6 +34,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("OFF")
+    ensure_local_shared_dir(spark)
     # Start the JVM, warm the code generator and a Python worker outside the timing.
     for name in ("clean_report", "rfm", "exact_quantiles", "evaluate_forecaster"):
         QUERIES[name](spark, folder).collect()

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,23 +34,19 @@ def build_session(app_name: str = "ledgerloom", master: str | None = None, **con
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints and intermediate tables.
+    """Folder for checkpoints and intermediate tables, named in ``spark.checkpoint.dir``; every executor must see it."""
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
+    return folder
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a temporary folder, because there every executor sees it.
-    """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-    local = tempfile.mkdtemp(prefix="ledgerloom-")
-    context.setCheckpointDir(local)
-    return local
+
+def ensure_local_shared_dir(spark: SparkSession) -> None:
+    """Where no folder is set and driver and executors are one process, take a temporary one."""
+    if spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir():
+        return
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -55,12 +54,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Owner of the tables that ``cut_lineage`` writes inside: they are removed at the end.
+
+    What the block returns must not depend on them; a result that does is
+    written by ``cut_lineage(..., outlive=True)``, which hands it to the scope
+    around this one. Without a scope a table stays until the folder is cleaned.
+    """
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        for path in own:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def cut_lineage(df: DataFrame, outlive: bool = False) -> DataFrame:
     """The rows as a table in the shared folder.
 
     Later stages reread it after an executor loss, and unlike a checkpoint of
     rows it is columnar: a stage that needs two columns reads two.
     """
     path = scratch_path(df.sparkSession, "table")
+    owners = _scopes[:-1] if outlive else _scopes
+    if owners:
+        owners[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
