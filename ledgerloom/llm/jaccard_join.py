@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.components import components
 from ledgerloom.llm.signature_tree import FEWEST_BITS, SignatureTree, bitmap, dual_join, folded, pair_overlaps
 from ledgerloom.llm.text import WordHashes, byte_words, mixed, shingle_hashes
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import cut_lineage, scratch_scope
 
 CELL = 512  # rows of one side of a cell
 SAMPLE = 4000  # documents that show which shingles are common
@@ -226,8 +226,12 @@ def _cell_pairs(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document."""
+    with scratch_scope(docs.sparkSession):
+        return cut_lineage(_components(docs.select("doc_id", "text"), size, percent), outlive=True)
+
+
+def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
     common = spark.sparkContext.broadcast(common_shingles(docs, size, docs.count()))
     profile = cut_lineage(profiles(docs, size, percent, common))
     classes = cut_lineage(

@@ -2,16 +2,20 @@
 
 Lines are compared without case and punctuation. Two lines are one word edit
 apart (a word put in, left out or changed) if they have a variant in common:
-the line itself, or the line without its i-th word. So every distinct line
-emits its deletion variants as hashed keys; equal keys meet in a join; the
-distance is then verified on the words, and the earliest line stays.
+the line itself, or the line without its i-th word. So distinct lines emit
+their deletion variants as hashed keys; equal keys meet in a join; the distance
+is then verified on the words, and the earliest line stays.
 
-Not every line needs variants. Of two lines within one edit, either the first
-or the last half of the words is the same, so only lines that share a half with
-another one emit any, and only those with the edit in the other half. Variants
-made by leaving out the same word position are all within one edit of each
-other, so each needs to be compared with the earliest of its key only: no
-pairs within a key are made, and keys are counted with partial sums.
+Not every line needs variants. Of two lines within one edit, three of four
+quarters are the same, so only lines that share three quarters with another one
+emit any, and only those without a word of the quarter left. Variants made by
+leaving out the same word position are all within one edit of each other, so
+each needs to be compared with the earliest of its key only: no pairs within a
+key are made, and keys are counted with partial sums.
+
+What is shuffled are hashes and places: lines are named by a 64-bit hash of
+their words, words by a 32-bit one. Texts move twice, once to look the words of
+the lines up that need variants and once to leave lines out.
 
 Lines are ordered by doc_id and line; a null id comes first, and a line that
 occurs twice in one document stays once. Lines below ``min_words`` words are
@@ -25,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.text import let
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import cut_lineage, scratch_scope
 
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -35,10 +39,16 @@ def line_words(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), NOT_WORD), lambda w: w != "")
 
 
-def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, digest of its text, line (from 0) and words of every line with enough words."""
+def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
+    """doc_id, digest of its text, line (from 0), id and three-quarter keys of every line with enough words."""
     exploded = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    return exploded.select("doc_id", "text_id", "line", line_words(F.col("raw")).alias("words")).where(F.size("words") >= min_words)
+
+    def named(words: Column) -> Column:
+        keys = F.when(F.size(words) >= near_words, _quarter_keys(words))
+        return F.struct(F.size(words).alias("n"), F.xxhash64(words).alias("id"), keys.alias("keys"))
+
+    lines = exploded.select("doc_id", "text_id", "line", let(F.transform(line_words(F.col("raw")), lambda w: F.hash(w)), named).alias("l")).where(F.col("l.n") >= min_words)
+    return lines.select("doc_id", "text_id", "line", "l.id", "l.keys")
 
 
 def _place() -> Column:
@@ -46,17 +56,36 @@ def _place() -> Column:
     return F.struct("doc_id", "text_id", "line")
 
 
-def _half_keys(words: Column) -> Column:
-    """Hashes of the first and last h words, for the shorter length of this line and any partner."""
+def _quarter_keys(words: Column) -> Column:
+    """(part, key) for each quarter: a hash of all words but those of the quarter.
+
+    Partners differ by one in length at most, so quarters are laid out for the
+    shorter length, which is this line's or one less: q words from the front
+    and q, 2q or 3q from the back count for quarters of the shorter length m.
+    """
     n = F.size(words)
 
-    def of(h: Column) -> list[Column]:
+    def of(m: Column) -> list[Column]:
+        q = F.floor(m / 4).cast("int")
+        front = [F.lit(0), q, 2 * q, 3 * q]
+        back = [m - q, m - 2 * q, m - 3 * q, F.lit(0)]
         return [
-            F.struct(F.lit(0).alias("side"), h.alias("h"), F.xxhash64(F.lit(0), h, F.slice(words, F.lit(1), h)).alias("half")),
-            F.struct(F.lit(1).alias("side"), h.alias("h"), F.xxhash64(F.lit(1), h, F.slice(words, n - h + 1, h)).alias("half")),
+            F.struct(F.lit(part).alias("part"), F.xxhash64(F.lit(part), m, F.slice(words, F.lit(1), front[part]), F.slice(words, n - back[part] + 1, back[part])).alias("key"))
+            for part in range(4)
         ]
 
-    return F.array_distinct(F.array(*of(F.floor(n / 2).cast("int")), *of(F.floor((n - 1) / 2).cast("int"))))
+    return F.array(*of(n), *of(n - 1))
+
+
+def _edited(n: Column, parts: Column) -> Column:
+    """Positions of the words that are outside of what the line shares with a partner, in any of its parts."""
+    def places(m: Column, part: Column) -> Column:
+        q = F.floor(m / 4).cast("int")
+        front = part * q
+        back = F.when(part == 3, F.lit(0)).otherwise(m - (part + 1) * q)
+        return F.sequence(front + 1, n - back)
+
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(parts, lambda part: F.concat(places(n, part), places(n - 1, part))))))
 
 
 def _without(words: Column, i: Column) -> Column:
@@ -75,28 +104,31 @@ def one_edit(a: Column, b: Column) -> Column:
     return (longest - least <= 1) & (front + back >= longest - 1)
 
 
+def _words_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id, first, parts and hashed words of the wanted lines, which come as (first, id, parts); texts are read once more."""
+    listed = wanted.groupBy(F.col("first.doc_id").alias("of"), F.col("first.text_id").alias("of_text")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "id", "parts")).alias("lines"))
+    joined = docs.select("doc_id", "text").join(listed, F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("of_text")))
+    each = joined.select("doc_id", F.col("of_text").alias("text_id"), F.split("text", "\n").alias("raw"), "lines").select("doc_id", "text_id", "raw", F.explode("lines").alias("l"))
+    words = F.transform(line_words(F.get("raw", F.col("l.line"))), lambda w: F.hash(w))
+    return each.select("l.id", F.struct("doc_id", "text_id", F.col("l.line").alias("line")).alias("first"), "l.parts", words.alias("words")).dropDuplicates(["id"])
+
+
 def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> DataFrame:
     """(doc_id, text_id, line) of the lines to drop."""
-    lines = lines_of(docs, min_words)
     # Lines are named by a hash of their words from here on; equal ones are settled by their first place.
-    named = lines.select(_place().alias("place"), F.xxhash64("words").alias("id"), F.when(F.size("words") >= near_words, F.col("words")).alias("words"))
-    firsts = cut_lineage(named.groupBy("id").agg(F.min("place").alias("first"), F.first("words").alias("words")))
-
-    long = firsts.where("words is not null")
-    halves = long.select("id", F.explode(_half_keys(F.col("words"))).alias("k")).select("id", "k.*")
-    shared = halves.groupBy("side", "h", "half").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("side", "h", "half")
-    # Partners that share the first half have the edit in the last one, and the other way round.
-    sides = halves.join(shared, ["side", "h", "half"]).groupBy("id").agg(F.max((F.col("side") == 0).cast("int")).alias("late"), F.max((F.col("side") == 1).cast("int")).alias("early"), F.min("h").alias("h"))
-    suspects = cut_lineage(long.join(sides, "id"))
-
-    n = F.size("words")
-    start = F.when(F.col("early") == 1, F.lit(1)).otherwise(F.col("h") + 1)
-    end = F.when(F.col("late") == 1, n).otherwise(n - F.col("h"))
-    hashed = suspects.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("w"), start.alias("start"), end.alias("end"))
+    named = cut_lineage(lines_of(docs, min_words, near_words))
+    firsts = named.groupBy("id").agg(F.min(_place()).alias("first"))
+
+    keys = named.where("keys is not null").select("id", F.explode("keys").alias("k")).select("id", "k.part", "k.key")
+    shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
+    parts = keys.join(shared, "key").groupBy("id").agg(F.collect_set("part").alias("parts"))
+    suspects = cut_lineage(_words_at(docs, firsts.join(parts, "id")))
+
+    positions = _edited(F.size("words"), F.col("parts"))
+    variant = F.transform(positions, lambda i: F.struct(i.alias("at"), F.xxhash64(_without(F.col("words"), i)).alias("key")))
     # The line itself is the variant at 0.
-    variant = F.transform(F.sequence("start", "end"), lambda i: F.struct(i.alias("at"), F.xxhash64(_without(F.col("w"), i)).alias("key")))
-    every = F.concat(F.array(F.struct(F.lit(0).alias("at"), F.xxhash64("w").alias("key"))), variant)
-    variants = hashed.select("id", F.explode(every).alias("v")).select("id", "v.at", "v.key")
+    every = F.concat(F.array(F.struct(F.lit(0).alias("at"), F.xxhash64("words").alias("key"))), variant)
+    variants = suspects.select("id", F.explode(every).alias("v")).select("id", "v.at", "v.key")
     several = variants.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
     meeting = cut_lineage(variants.join(several, "key").join(suspects.select("id", "first"), "id"))
 
@@ -114,8 +146,8 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) ->
     checked = pairs.join(texts, "id").join(texts.select(F.col("id").alias("other"), F.col("words").alias("other_words")), "other")
     near = checked.where(one_edit(F.col("words"), F.col("other_words"))).select("id", F.lit(True).alias("near")).distinct()
 
-    settled = firsts.select("id", "first").join(near, "id", "left")
-    dropped = named.select("place", "id").join(settled, "id").where(F.col("near") | (F.col("first") != F.col("place")))
+    settled = firsts.join(near, "id", "left")
+    dropped = named.select("id", _place().alias("place")).join(settled, "id").where(F.col("near") | (F.col("first") != F.col("place")))
     return dropped.select("place.*")
 
 
@@ -124,7 +156,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> Da
 
     Rows that repeat doc_id and text are one document, with one result for each row.
     """
-    gone = repeated_lines(docs, min_words, near_words).groupBy(F.col("doc_id").alias("of"), F.col("text_id").alias("of_text")).agg(F.collect_set("line").alias("gone"))
+    with scratch_scope(docs.sparkSession):
+        lines = repeated_lines(docs, min_words, near_words)
+        gone = cut_lineage(lines.groupBy(F.col("doc_id").alias("of"), F.col("text_id").alias("of_text")).agg(F.collect_set("line").alias("gone")), outlive=True)
     docs = docs.drop("n_lines", "n_dropped")
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("of_text")), "left")
     kept = let(F.split("text", "\n"), lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i)))
