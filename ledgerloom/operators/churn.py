@@ -43,15 +43,20 @@ def check_scoring_rows(batch: DataFrame) -> DataFrame:
     problem = F.lit(None).cast("string")
     for name in reversed(list(SCORING_COLUMNS)):
         value = F.col(name)
-        bad = value.isNull() | (value < 0)
+        bad = value.isNull() | F.isnan(value.cast("double")) | (value < 0)
         if name == "is_uk":
             bad = bad | ~value.isin(0, 1)
         problem = F.when(bad, F.lit(name)).otherwise(problem)
     return filled.withColumn("violation", problem)
 
 
+def broken_scoring_rows(batch: DataFrame) -> DataFrame:
+    """Rows of a scoring batch that cannot be scored, with the first broken limit: the quarantine of ``scoring_features``."""
+    return check_scoring_rows(batch).where(F.col("violation").isNotNull())
+
+
 def scoring_features(batch: DataFrame) -> DataFrame:
-    """A checked scoring batch under the feature names of the model."""
+    """A checked scoring batch under the feature names of the model; see ``broken_scoring_rows`` for the others."""
     good = check_scoring_rows(batch).where(F.col("violation").isNull()).drop("violation")
     names = {"recency": "Recency", "frequency": "Frequency", "monetary": "Monetary"}
     return good.withColumnsRenamed(names)

@@ -17,13 +17,17 @@ RFM_INPUT = ("CustomerID", "InvoiceNo", "InvoiceDate", "TotalPrice")
 BEHAVIOUR_INPUT = ("CustomerID", "InvoiceDate", "TotalPrice", "StockCode", "Country")
 
 
-def default_snapshot(df: DataFrame) -> Column:
-    """One day after the last transaction, as a scalar subquery."""
-    return df.agg(plus_days(F.max("InvoiceDate"), 1)).scalar()
+def _with_recency(customers: DataFrame, snapshot: datetime | str | None) -> DataFrame:
+    """Days from the last purchase to the snapshot.
 
-
-def _snapshot(df: DataFrame, snapshot: datetime | str | None) -> Column:
-    return default_snapshot(df) if snapshot is None else F.lit(snapshot).cast("timestamp_ntz")
+    Without one it is the day after the last transaction, which is the largest
+    last purchase: a maximum over customers, so lines are not read again.
+    """
+    if snapshot is not None:
+        at = F.lit(snapshot).cast("timestamp_ntz")
+        return customers.withColumn("Recency", floor_days(at, "LastPurchase"))
+    at = customers.agg(plus_days(F.max("LastPurchase"), 1)).scalar()
+    return customers.withColumn("Recency", floor_days(at, "LastPurchase"))
 
 
 def _distinct(column: Column | str, approximate: float | None) -> Column:
@@ -53,12 +57,8 @@ def rfm(
     require_columns(transactions, RFM_INPUT, "transactions")
     dated = coerce_dates(transactions).where(F.col("CustomerID").isNotNull())
     grouped = dated.groupBy("CustomerID").agg(*_rfm_aggregates(approximate))
-    recency = floor_days(_snapshot(dated, snapshot), "LastPurchase")
-    return (
-        grouped.withColumn("CustomerID", F.col("CustomerID").cast("bigint"))
-        .withColumn("Recency", recency)
-        .select(*RFM_COLUMNS)
-    )
+    named = grouped.withColumn("CustomerID", F.col("CustomerID").cast("bigint"))
+    return _with_recency(named, snapshot).select(*RFM_COLUMNS)
 
 
 def sort_rfm(table: DataFrame) -> DataFrame:
@@ -180,9 +180,7 @@ def churn_training_table(
         require_columns(transactions, {*RFM_INPUT, *BEHAVIOUR_INPUT}, "transactions")
         dated = coerce_dates(transactions).where(F.col("CustomerID").isNotNull())
         grouped = dated.groupBy("CustomerID").agg(*_rfm_aggregates(), *_behaviour_aggregates(basket))
-        joined = _with_home_flag(grouped, dated, home_country).withColumn(
-            "Recency", floor_days(_snapshot(dated, snapshot), "LastPurchase")
-        )
+        joined = _with_home_flag(_with_recency(grouped, snapshot), dated, home_country)
     filled = fill_churn_nulls(joined)
     features = [c for c in CHURN_FEATURES if c not in RFM_COLUMNS]
     return filled.withColumn("churned", churn_label("Recency", inactivity_days)).select(
@@ -199,25 +197,29 @@ MONETARY_EDGES = [0, 300, 800, 1500, 3000, 1e6]
 MONETARY_NAMES = ["<300", "300-800", "800-1500", "1500-3000", "3000+"]
 
 
-def rfm_crosstab(table: DataFrame) -> DataFrame:
+def rfm_crosstab(table: DataFrame, open_end: bool = True) -> DataFrame:
     """Customers per recency and frequency bucket, split by monetary bucket.
 
-    The margin row has ``All`` in both key columns. Customers outside every
-    bucket of one of the three measures are left out.
+    The margin row has ``All`` in both key columns. The last bucket of each
+    measure has no upper end unless ``open_end`` is false. Customers outside
+    the buckets of one of the measures have a row of their own, ``outside``.
     """
+    def sort_in(name: str, edges: list[float], names: list[str]) -> Column:
+        return bucket(name, [*edges[:-1], float("inf")] if open_end else edges, names)
+
     sorted_in = table.select(
-        bucket("Recency", RECENCY_EDGES, RECENCY_NAMES).alias("r"),
-        bucket("Frequency", FREQUENCY_EDGES, FREQUENCY_NAMES).alias("f"),
-        bucket("Monetary", MONETARY_EDGES, MONETARY_NAMES).alias("m"),
-    ).na.drop()
+        sort_in("Recency", RECENCY_EDGES, RECENCY_NAMES).alias("r"),
+        sort_in("Frequency", FREQUENCY_EDGES, FREQUENCY_NAMES).alias("f"),
+        sort_in("Monetary", MONETARY_EDGES, MONETARY_NAMES).alias("m"),
+    )
+    outside = F.col("r").isNull() | F.col("f").isNull() | F.col("m").isNull()
+    placed = sorted_in.select(*[F.when(outside, F.lit("outside")).otherwise(F.col(c)).alias(c) for c in "rfm"])
     cells = [F.count_if(F.col("m") == name).alias(name) for name in MONETARY_NAMES]
     r, f = F.col("r"), F.col("f")
-    grouped = sorted_in.groupingSets([[r, f], []], r, f).agg(*cells, F.count(F.lit(1)).alias("All"))
+    grouped = placed.groupingSets([[r, f], []], r, f).agg(*cells, F.count(F.lit(1)).alias("All"))
     return grouped.select(
         F.coalesce("r", F.lit("All")).alias("recency_bucket"),
         F.coalesce("f", F.lit("All")).alias("frequency_bucket"),
         *MONETARY_NAMES,
         "All",
     )
-
-

@@ -55,9 +55,8 @@ def running_totals(
     )
     inside = Window.partitionBy(*group, PART).orderBy(*_plain(order))
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    # The offsets have at most one row per range partition and group boundary,
-    # a number fixed by the partition count, hence the broadcast.
-    joined = placed.join(F.broadcast(offsets), [*group, PART])
+    # One row for each range partition and group in it; the optimizer broadcasts them where they are few.
+    joined = placed.join(offsets, [*group, PART])
     running = {f"run_{c}": F.sum(c).over(so_far) + F.col(f"_off_{c}") for c in sums}
     if previous:
         running[f"prev_{previous}"] = F.coalesce(F.lag(previous).over(inside), F.col("_carried"))

@@ -118,8 +118,11 @@ def trimmed_histogram(df: DataFrame, column: str, bins: int = 40, trim: float |
     if low == high:
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
-    place = F.floor((F.col("value") - low) / width).cast("int")
-    counted = counts.groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.sum("n").alias("n"))
+    # A value on an edge may divide to the bin beside it; the edges as listed decide.
+    guess = F.least(F.greatest(F.floor((F.col("value") - low) / width).cast("int"), F.lit(0)), F.lit(bins - 1))
+    edge = lambda i: F.lit(low) + i * F.lit(width)
+    place = F.when(F.col("value") < edge(guess), guess - 1).when(F.col("value") >= edge(guess + 1), guess + 1).otherwise(guess)
+    counted = counts.groupBy(F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)).alias("bin")).agg(F.sum("n").alias("n"))
     spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return spine.join(counted, "bin", "left").select(
         "bin",

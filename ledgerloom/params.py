@@ -34,7 +34,7 @@ class Params:
     drift_reference_fraction: float = 0.7
     drift_threshold: float = 0.1
     min_rows: int = 1
-    max_rows: int | None = 10_000_000
+    max_rows: int | None = None
     churn_trees: int = 200
     enable_challenger: bool = False
     seed: int = 42

@@ -41,10 +41,6 @@ from ledgerloom.sources.star import event_purchases, star_transactions, table
 
 HOME = "NATION_9"
 SNAPSHOT = "2001-09-01 11:30:00"
-# Model queries use fewer trees and restarts than the library defaults, since
-# each one is a chain of small jobs.
-TREES = 20
-RESTARTS = 2
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,7 +123,7 @@ def raw_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    df.write.options(**stage_files.STANDARD_CSV).option("encoding", "ISO-8859-1").csv(path)
 
 
 # Sources and sinks
@@ -322,12 +318,7 @@ def rfm_means(spark, folder):
 
 @query
 def rfm_crosstab(spark, folder):
-    return customers.rfm_crosstab(_in_bucket_range(rfm_table(spark, folder)))
-
-
-def _in_bucket_range(table_: DataFrame) -> DataFrame:
-    """The order tables trade in larger amounts than the buckets expect."""
-    return table_.withColumn("Monetary", F.col("Monetary") / 1000.0)
+    return customers.rfm_crosstab(rfm_table(spark, folder))
 
 
 @query
@@ -692,16 +683,10 @@ def stratified_split(spark, folder):
     return split.groupBy("churned", "is_test").agg(F.count(F.lit(1)).alias("customers"))
 
 
-_fitted: dict[tuple, tuple] = {}
-
-
 def _churn_model(spark: SparkSession, folder: str):
-    """Split table and fitted model, kept for the session's other queries."""
-    key = (spark.sparkContext.applicationId, folder, "churn")
-    if key not in _fitted:
-        split = churn.stratified_split(churn_table(spark, folder))
-        _fitted[key] = (split, churn.fit_churn(split.where(~F.col("is_test")), TREES))
-    return _fitted[key]
+    """Split table and fitted model."""
+    split = churn.stratified_split(churn_table(spark, folder))
+    return split, churn.fit_churn(split.where(~F.col("is_test")))
 
 
 @query
@@ -739,7 +724,7 @@ def importance_sort(spark, folder):
 @query
 def compare_challenger(spark, folder):
     split, model = _churn_model(spark, folder)
-    other = churn.fit_challenger(split.where(~F.col("is_test")), TREES)
+    other = churn.fit_challenger(split.where(~F.col("is_test")))
     return churn.compare_challenger({"gbt": model, "forest": other}, split)
 
 
@@ -772,10 +757,7 @@ def check_scoring_rows(spark, folder):
 
 
 def _segmenter(spark: SparkSession, folder: str):
-    key = (spark.sparkContext.applicationId, folder, "segments")
-    if key not in _fitted:
-        _fitted[key] = (segments.fit_segmenter(rfm_table(spark, folder), n_init=RESTARTS),)
-    return _fitted[key][0]
+    return segments.fit_segmenter(rfm_table(spark, folder))
 
 
 @query
@@ -955,18 +937,11 @@ def log_run(spark, folder):
     return runs.read_runs(spark, path).select("model", "run_id", F.explode("metrics").alias("metric", "value"))
 
 
-_layouts: dict[tuple, Layout] = {}
-
-
 def _staged(spark: SparkSession, folder: str, features: bool = False) -> Layout:
-    """Stage folders built once per session and input."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _layouts:
-        layout = Layout(scratch_path(spark, "stages"))
-        stages.run_data(spark, tx(spark, folder), layout)
-        _layouts[key] = layout
-    layout = _layouts[key]
-    if features and not stage_files.exists(spark, layout.at("timeseries_features")):
+    """Stage folders of this query alone."""
+    layout = Layout(scratch_path(spark, "stages"))
+    stages.run_data(spark, tx(spark, folder), layout)
+    if features:
         stages.run_features(spark, layout)
     return layout
 
@@ -993,9 +968,7 @@ def run_monitor(spark, folder):
 
 def _trained(spark: SparkSession, folder: str) -> Layout:
     layout = _staged(spark, folder, features=True)
-    if not stage_files.exists(spark, layout.at("runs")):
-        params = Params(home_country=HOME, n_init=1, churn_trees=TREES, enable_challenger=True)
-        stages.run_train(spark, layout, params)
+    stages.run_train(spark, layout, Params(home_country=HOME, enable_challenger=True))
     return layout
 
 

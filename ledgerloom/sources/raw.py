@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 from typing import NamedTuple
 
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.checks import require_columns
 from ledgerloom.schemas import RAW, RAW_COLUMNS
+from ledgerloom.sources.stages import STANDARD_CSV
 from ledgerloom.sources.workbooks import read_transactions_workbooks
 
 # File names looked for first, best first.
@@ -21,8 +23,9 @@ PREFERRED_NAMES = (
     "online_retail_II.csv",
     "online_retail_ii.csv",
 )
-SUFFIX_FORMATS = {".xlsx": "workbook", ".xls": "workbook", ".csv": "csv"}
-SUFFIX_ORDER = (".xlsx", ".xls", ".csv")
+SUFFIX_FORMATS = {".xlsx": "workbook", ".csv": "csv"}
+SUFFIX_ORDER = (".xlsx", ".csv")
+UNREADABLE = (".xls",)
 
 
 def detect_format(path: str) -> str:
@@ -54,6 +57,8 @@ def discover_raw_files(spark: SparkSession, folder: str) -> list[RawSource]:
     for status in fs.listStatus(root):
         name = status.getPath().getName()
         suffix = "." + name.rsplit(".", 1)[-1].lower()
+        if suffix in UNREADABLE:
+            warnings.warn(f"{name} is skipped: binary workbooks cannot be read", stacklevel=2)
         if suffix not in SUFFIX_FORMATS or name.startswith((".", "_")):
             continue
         if name in PREFERRED_NAMES:
@@ -64,20 +69,23 @@ def discover_raw_files(spark: SparkSession, folder: str) -> list[RawSource]:
     return sorted(found)
 
 
-def read_transactions_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+def read_transactions_csv(spark: SparkSession, path: str, keep_corrupt: bool = False, multi_line: bool = True) -> DataFrame:
     """Header CSV in latin-1; columns are found by name and typed as declared.
 
-    Only the header is looked at beforehand; a column without a declared type
-    stays text. With ``keep_corrupt`` a malformed line is kept in
-    ``_corrupt_record`` next to nulls.
+    Values may hold commas, doubled quotes and, with ``multi_line``, line
+    breaks; a file is then read by one task, so a large table should come as
+    many files, or without ``multi_line`` if no value has a line break. Only the
+    header is looked at beforehand; a column without a declared type stays
+    text. A malformed record raises, or is kept in ``_corrupt_record`` next to
+    nulls with ``keep_corrupt``.
     """
-    reader = spark.read.option("header", True).option("encoding", "ISO-8859-1")
+    reader = spark.read.options(**STANDARD_CSV).option("encoding", "ISO-8859-1").option("multiLine", multi_line)
     header = reader.csv(path).columns
     types = {field.name: field.dataType for field in RAW.fields}
     fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
     if keep_corrupt:
         fields.append(T.StructField("_corrupt_record", T.StringType()))
-    typed = reader.schema(T.StructType(fields)).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    typed = reader.schema(T.StructType(fields)).option("mode", "PERMISSIVE" if keep_corrupt else "FAILFAST").option("enforceSchema", False)
     return require_columns(typed.csv(path), RAW_COLUMNS, "raw data")
 
 

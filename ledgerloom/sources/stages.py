@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import INVENTORY
 
+# Quotes inside a quoted value are doubled.
+STANDARD_CSV = {"header": True, "quote": '"', "escape": '"'}
+
 
 def write_stage(df: DataFrame, path: str, by_month: bool = False, mode: str = "overwrite") -> None:
     """Parquet table; ``by_month`` lays it out by year and month.
@@ -49,15 +54,26 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def publish(spark: SparkSession, staging: str, path: str) -> None:
-    """Put a finished staging folder in the place of the published table."""
+    """Put a finished staging folder in the place of the published table.
+
+    The old table is moved aside first and removed at the end; if the new one
+    cannot take its place, it is moved back.
+    """
     fs, source = _file_system(spark, staging)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if fs.exists(target):
-        fs.delete(target, True)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old_{uuid.uuid4().hex}")
+    replaces = fs.exists(target)
+    if replaces:
+        if not fs.rename(target, aside):
+            raise OSError(f"could not move {path} aside")
     elif target.getParent() is not None:
         fs.mkdirs(target.getParent())
     if not fs.rename(source, target):
+        if replaces:
+            fs.rename(aside, target)
         raise OSError(f"could not publish {staging} as {path}")
+    if replaces:
+        fs.delete(aside, True)
 
 
 def write_json_report(report: DataFrame, path: str) -> None:
@@ -67,12 +83,12 @@ def write_json_report(report: DataFrame, path: str) -> None:
 
 def write_inventory_csv(table: DataFrame, path: str) -> None:
     columns = [field.name for field in INVENTORY.fields]
-    table.select(*columns).write.mode("overwrite").option("header", True).csv(path)
+    table.select(*columns).write.mode("overwrite").options(**STANDARD_CSV, emptyValue='""').csv(path)
 
 
 def read_inventory_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Declared types: an all-digit stock code stays text."""
-    return spark.read.schema(INVENTORY).option("header", True).csv(path)
+    """Declared types: an all-digit stock code stays text. An empty text is quoted, a null is not."""
+    return spark.read.schema(INVENTORY).options(**STANDARD_CSV, multiLine=True, nullValue="", emptyValue="", mode="FAILFAST").csv(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerloom.checks import require_columns
 from ledgerloom.functions.numbers import money_sum
 from ledgerloom.operators.cleaning import clean
-from ledgerloom.schemas import RAW
+from ledgerloom.schemas import RAW, RAW_COLUMNS
+from ledgerloom.sources.stages import STANDARD_CSV
 
 
-def read_transactions_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """New CSV files of a folder as raw transaction lines."""
-    reader = spark.readStream.schema(RAW).option("header", True).option("encoding", "ISO-8859-1")
-    return reader.csv(folder)
+def read_transactions_stream(spark: SparkSession, folder: str, header: list[str] | None = None) -> DataFrame:
+    """New CSV files of a folder as raw transaction lines, columns by name.
+
+    ``header`` gives the columns in file order; without it the files already in
+    the folder tell it. A later file with another header raises.
+    """
+    reader = spark.read.options(**STANDARD_CSV).option("encoding", "ISO-8859-1")
+    names = header or reader.csv(folder).columns
+    types = {field.name: field.dataType for field in RAW.fields}
+    schema = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in names])
+    stream = spark.readStream.schema(schema).options(**STANDARD_CSV, enforceSchema=False).option("encoding", "ISO-8859-1")
+    return require_columns(stream.csv(folder), RAW_COLUMNS, "raw data").select(*RAW_COLUMNS)
 
 
 def clean_stream(raw: DataFrame) -> DataFrame:

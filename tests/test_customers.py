@@ -105,5 +105,8 @@ def test_crosstab_edges(spark):
         [(10, 2, 300.0), (11, 3, 300.01), (10, 1, 0.0), (2000, 1, 5.0)], "Recency int, Frequency bigint, Monetary double"
     )
     got = {(r["recency_bucket"], r["frequency_bucket"]): r for r in customers.rfm_crosstab(table).collect()}
-    assert set(got) == {("<10", "1-2"), ("10-30", "3-5"), ("All", "All")}
-    assert got[("All", "All")]["All"] == 2 and got[("10-30", "3-5")]["300-800"] == 1
+    assert set(got) == {("<10", "1-2"), ("10-30", "3-5"), ("120+", "1-2"), ("outside", "outside"), ("All", "All")}
+    assert got[("All", "All")]["All"] == 4 and got[("10-30", "3-5")]["300-800"] == 1
+    assert got[("outside", "outside")]["All"] == 1 and got[("120+", "1-2")]["<300"] == 1
+    closed = {(r["recency_bucket"], r["frequency_bucket"]): r["All"] for r in customers.rfm_crosstab(table, open_end=False).collect()}
+    assert closed == {("<10", "1-2"): 1, ("10-30", "3-5"): 1, ("outside", "outside"): 2, ("All", "All"): 4}

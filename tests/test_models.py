@@ -15,35 +15,24 @@ def test_single_centroid_is_champion(spark):
     assert [tuple(r) for r in segments.assign_personas(one).collect()] == [(0, "Champions")]
 
 
-def personas_by_hand(rows):
-    frame = pd.DataFrame(rows, columns=["cluster", "Recency", "Frequency", "Monetary"]).set_index("cluster")
-    q = frame.quantile([0.25, 0.5, 0.75])
-    used, out = [], {}
-    for cluster, r in frame.sort_index().iterrows():
-        rich, often = r.Monetary >= q.Monetary[0.75], r.Frequency >= q.Frequency[0.75]
-        old = r.Recency >= q.Recency[0.75]
-        name = (
-            "Champions" if rich and often and r.Recency <= q.Recency[0.25]
-            else "Loyal Customers" if rich and often
-            else "At Risk" if rich and old
-            else "Hibernating" if r.Frequency < q.Frequency[0.5] and old
-            else "Regular"
-        )
-        if name in used:
-            name = next((p for p in segments.PERSONAS if p not in used), name)
-        used.append(name)
-        out[cluster] = name
-    return out
-
-
-@pytest.mark.parametrize("k, seed", [(2, 1), (4, 2), (5, 3), (7, 4), (8, 5)])
-def test_personas_in_id_order(spark, k, seed):
-    rng = np.random.default_rng(seed)
-    rows = [(i, *map(float, rng.integers(1, 50, 3))) for i in range(k)]
+PERSONA_TABLES = [
+    # One cluster for each rule. Quartiles: recency 20 and 100, frequency 10 (median) and 30, value 4500.
+    (
+        [(0, 5.0, 40.0, 5000.0), (1, 50.0, 30.0, 4500.0), (2, 100.0, 10.0, 4500.0), (3, 200.0, 2.0, 100.0), (4, 20.0, 5.0, 200.0)],
+        ["Champions", "Loyal Customers", "At Risk", "Hibernating", "Regular"],
+    ),
+    # Two clusters, the best and the worst.
+    ([(0, 10.0, 20.0, 5000.0), (1, 100.0, 3.0, 300.0)], ["Champions", "Hibernating"]),
+    # Equal clusters meet the first rule; each takes the next free name, and then the first rule's again.
+    ([(i, 50.0, 5.0, 100.0) for i in range(7)], ["Champions", "Loyal Customers", "Regular", "At Risk", "Hibernating", "Champions", "Champions"]),
+]
+
+
+@pytest.mark.parametrize("rows, names", PERSONA_TABLES)
+def test_personas_in_id_order(spark, rows, names):
     frame = spark.createDataFrame(rows, "cluster int, Recency double, Frequency double, Monetary double")
     got = {r["cluster"]: r["persona"] for r in segments.assign_personas(frame).collect()}
-    assert got == personas_by_hand(rows)
-    assert len(set(got.values())) == min(k, 5)
+    assert got == dict(enumerate(names))
 
 
 @pytest.fixture(scope="module")
