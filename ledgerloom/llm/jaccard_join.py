@@ -6,9 +6,9 @@ shingles in any fixed order), so classes meet by prefix shingles. Shingles that
 a bounded sample shows to be common come last in the order; which ones these
 are changes the work, never the result.
 
-Keys with the same members are tried once. First every member of a key is
-compared with a few leaders, which links large groups of near copies with few
-comparisons. Keys that still hold several components go through signature
+Keys with the same members are tried once. In two rounds every member of a key
+is compared with a few leaders of other components, which links large groups of
+near copies with few comparisons. Keys that still hold several components go through signature
 trees: their members are dealt to cells of bounded size, every two cells of a
 key meet in some task, and a dual traversal gives the pairs of different
 components that bitmaps and sizes do not rule out. All pairs that either way
@@ -39,7 +39,7 @@ from ledgerloom.session import cut_lineage, scratch_scope
 CELL = 512  # rows of one side of a cell
 SAMPLE = 4000  # documents that show which shingles are common
 COMMON = 8  # documents of the sample that make a shingle common
-LEADERS = 3
+LEADERS, LEADER_ROUNDS = 3, 2
 
 
 def token_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
@@ -127,6 +127,18 @@ def _members(profile: DataFrame) -> DataFrame:
     return cut_lineage(members.join(single, "key"))
 
 
+def _may_link(m: np.ndarray, n: np.ndarray, left: list[bytes], right: list[bytes], percent: int) -> np.ndarray:
+    """Which pairs of sets their sizes and whole bitmaps do not rule out; the longer bitmap is folded to the shorter."""
+    widths = np.minimum([len(x) for x in left], [len(y) for y in right])
+    fits = np.zeros(len(m), bool)
+    for width in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == width)
+        for rows in np.array_split(at, len(at) * width // (1 << 24) + 1):
+            x, y = folded([left[i] for i in rows], width), folded([right[i] for i in rows], width)
+            fits[rows] = (100 + percent) * pair_overlaps(m[rows], n[rows], x, y) >= percent * (m[rows] + n[rows])
+    return fits
+
+
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and bitmaps do not rule the similarity out."""
 
@@ -134,14 +146,8 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            m, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            left, right = batch.column(4).to_pylist(), batch.column(5).to_pylist()
-            least = np.minimum([len(x) for x in left], [len(y) for y in right])
-            fits = np.zeros(len(m), bool)
-            for width in np.unique(least).tolist():
-                for rows in np.array_split(at := np.flatnonzero(least == width), len(at) * width // (1 << 24) + 1):
-                    x, y = folded([left[i] for i in rows], width), folded([right[i] for i in rows], width)
-                    fits[rows] = (100 + percent) * pair_overlaps(m[rows], n[rows], x, y) >= percent * (m[rows] + n[rows])
+            sizes = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            fits = _may_link(*sizes, batch.column(4).to_pylist(), batch.column(5).to_pylist(), percent)
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(fits))
 
     sides = [classes.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("bitmap").alias(f"bits_{c}")) for c in "ab"]
@@ -149,8 +155,11 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the distinct pairs that are similar, by the whole sets. Only the texts they name are read into sets."""
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, sets: DataFrame | None, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Those of the distinct pairs that are similar, by the whole sets, and the sets read so far.
+
+    Only the texts that pairs name are read into sets, each once.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -169,12 +178,24 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, pe
                 fits.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(fits, pa.bool_()))
 
-    named = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    named = pairs.select(F.col("a").alias("set_id")).union(pairs.select(F.col("b").alias("set_id"))).distinct()
+    if sets is not None:
+        named = named.join(sets.select("set_id"), "set_id", "left_anti")
     wanted = cut_lineage(classes.join(named, "set_id").select("set_id", F.col("doc_id").alias("of")))  # a few ids are broadcast, by their size
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
-    sets = cut_lineage(texts.select("set_id", "text").mapInArrow(read, "set_id bigint, tokens binary").dropDuplicates(["set_id"]))
+    more = cut_lineage(texts.select("set_id", "text").mapInArrow(read, "set_id bigint, tokens binary").dropDuplicates(["set_id"]))
+    sets = more if sets is None else sets.union(more)
     sides = [sets.select(F.col("set_id").alias(c), F.col("tokens").alias(f"tokens_{c}")) for c in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(check, "u bigint, v bigint")
+    links = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(check, "u bigint, v bigint")
+    return cut_lineage(links), sets
+
+
+def _leader_pairs(members: DataFrame, salts: range) -> DataFrame:
+    """Each member of a key with the key's leaders (the least by hash) of other components."""
+    least = [F.min_by(F.struct("set_id", "component"), F.xxhash64("set_id", F.lit(salt))) for salt in salts]
+    leaders = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.array(*least).alias("leaders")).where("low <> high")
+    led = members.join(leaders.select("key", "leaders"), "key").select("set_id", "component", F.explode("leaders").alias("l")).where("component <> l.component")
+    return led.select(F.least("set_id", "l.set_id").alias("a"), F.greatest("set_id", "l.set_id").alias("b")).distinct()
 
 
 def _tree_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -209,7 +230,8 @@ def _cell_pairs(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs within one cell (i = j), or between its two sides."""
     cell = cell.combine_chunks()
     own, ids, groups, sizes = (cell.column(c).to_numpy() for c in ("own", "set_id", "component", "n_shingles"))
-    bits = folded(cell.column("bitmap").to_pylist(), FEWEST_BITS // 8)
+    whole = cell.column("bitmap").to_pylist()
+    bits = folded(whole, FEWEST_BITS // 8)
     if cell.column("i")[0].as_py() == cell.column("j")[0].as_py():
         sides = [np.arange(len(ids))] * 2
     else:
@@ -220,7 +242,9 @@ def _cell_pairs(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     left = SignatureTree(sizes[sides[0]], bits[sides[0]], groups[sides[0]])
     right = left if sides[0] is sides[1] else SignatureTree(sizes[sides[1]], bits[sides[1]], groups[sides[1]])
     for p, q in dual_join(left, right, percent):
-        a, b = ids[sides[0][p]], ids[sides[1][q]]
+        p, q = sides[0][p], sides[1][q]
+        fits = _may_link(sizes[p], sizes[q], [whole[i] for i in p], [whole[i] for i in q], percent)
+        a, b = ids[p[fits]], ids[q[fits]]
         yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
@@ -239,16 +263,19 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     )
     members = _members(profile)
 
-    leaders = members.groupBy("key").agg(*[F.min_by("set_id", F.xxhash64("set_id", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)])
-    led = members.join(leaders, "key").select("set_id", F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("leader")).where("set_id <> leader")
-    pairs = led.select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b")).distinct()
-    links = cut_lineage(_linked(cut_lineage(_bounded(pairs, classes, percent)), docs, classes, size, percent))
-    known = components(links)
-
-    grouped = members.join(known.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    pairs = cut_lineage(_bounded(_tree_pairs(grouped, classes, percent), classes, percent))
-    if not pairs.isEmpty():
-        known = components(links.union(_linked(pairs, docs, classes, size, percent)))
+    links, sets = None, None
+    known = spark.createDataFrame([], "node bigint, component bigint")
+    for turn in range(LEADER_ROUNDS + 1):
+        grouped = members.join(known.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+        if turn < LEADER_ROUNDS:
+            pairs = _bounded(_leader_pairs(grouped, range(turn * LEADERS, (turn + 1) * LEADERS)), classes, percent)
+        else:
+            pairs = _tree_pairs(grouped, classes, percent)
+        pairs = cut_lineage(pairs)
+        if not pairs.isEmpty():
+            found, sets = _linked(pairs, docs, classes, sets, size, percent)
+            links = found if links is None else links.union(found)
+            known = components(links)
 
     least = known.join(classes.select(F.col("set_id").alias("node"), "doc_id"), "node")
     least = least.join(least.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select(F.col("node").alias("set_id"), "component_id")
