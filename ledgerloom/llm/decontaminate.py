@@ -205,4 +205,4 @@ def _find_block(docs: DataFrame, shared) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall: float = 0.99) -> DataFrame:
     """The documents in which no item occurs. Rows that share a doc_id with such a document go too."""
     named = find_items(docs, benchmark, max_edits, recall).select(F.col("doc_id").alias("of")).distinct()
-    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("of")), "left_anti")
+    return docs.alias("d").join(named.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.of")), "left_anti")

@@ -160,9 +160,10 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> Da
         lines = repeated_lines(docs, min_words, near_words)
         gone = cut_lineage(lines.groupBy(F.col("doc_id").alias("of"), F.col("text_id").alias("of_text")).agg(F.collect_set("line").alias("gone")), outlive=True)
     docs = docs.drop("n_lines", "n_dropped")
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("of_text")), "left")
-    kept = let(F.split("text", "\n"), lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i)))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    columns = [text.alias(c) if c == "text" else F.col(c) for c in docs.columns]
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
-    return joined.select(*columns, n_lines.cast("bigint").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint").alias("n_dropped"))
+    match = F.col("d.doc_id").eqNullSafe(F.col("g.of")) & (F.xxhash64("d.text") == F.col("g.of_text"))
+    joined = docs.alias("d").join(gone.alias("g"), match, "left")
+    kept = let(F.split("d.text", "\n"), lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("g.gone")), lambda i: F.get(lines, i)))
+    text = F.when(F.col("g.gone").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
+    columns = [text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns]
+    n_lines = F.when(F.col("d.text").isNull(), 0).otherwise(F.size(F.split("d.text", "\n")))
+    return joined.select(*columns, n_lines.cast("bigint").alias("n_lines"), F.when(F.col("g.gone").isNull(), 0).otherwise(F.size("g.gone")).cast("bigint").alias("n_dropped"))
