@@ -244,9 +244,8 @@ def _dot(left: Column, right: Column) -> Column:
     return F.aggregate(F.zip_with(left, right, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
 
-def forecast_days(days: DataFrame, models: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
-    """Forecast the given (series_key, ds) rows."""
-    known = days.join(models, "series_key")
+def _with_forecast(known: DataFrame, spec: ForecastSpec, kept: Sequence[str]) -> DataFrame:
+    """Forecast rows that have a day next to the coefficients of their series."""
     t = scaled_time(F.col("ds"), F.col("first_day"), F.col("last_day"))
     level = _dot(F.array(*trend_terms(t, spec)), F.col("beta"))
     season = _dot(F.array(*seasonal_terms(F.col("ds"), spec)), F.col("gamma"))
@@ -255,10 +254,15 @@ def forecast_days(days: DataFrame, models: DataFrame, spec: ForecastSpec = Forec
         known.withColumn("yhat", yhat)
         .withColumn("yhat_lower", F.col("yhat") + F.col("resid_low"))
         .withColumn("yhat_upper", F.col("yhat") + F.col("resid_high"))
-        .select(*days.columns, "yhat", "yhat_lower", "yhat_upper")
+        .select(*kept, "yhat", "yhat_lower", "yhat_upper")
     )
 
 
+def forecast_days(days: DataFrame, models: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
+    """Forecast the given (series_key, ds) rows."""
+    return _with_forecast(days.join(models, "series_key"), spec, days.columns)
+
+
 def future_days(models: DataFrame, horizon_days: int) -> DataFrame:
     following = F.sequence(F.date_add("last_day", 1), F.date_add("last_day", horizon_days))
     return models.select("series_key", F.explode(following).alias("ds"))
@@ -274,10 +278,9 @@ def predict_demand(
     check_demand_args(horizon_days)
     first = F.col("first_day") if include_history else F.date_add("last_day", 1)
     span = F.sequence(first, F.date_add("last_day", horizon_days))
-    days = models.select("series_key", (F.explode(span)).alias("ds"), F.col("last_day").alias("_last"))
-    days = days.select("series_key", "ds", (F.col("ds") <= F.col("_last")).alias("is_history"))
-    forecast = forecast_days(days, models, spec)
-    return forecast if include_history else forecast.drop("is_history")
+    # The coefficients go with each day, so that a series is fitted once.
+    days = models.withColumn("ds", F.explode(span)).withColumn("is_history", F.col("ds") <= F.col("last_day"))
+    return _with_forecast(days, spec, ["series_key", "ds", *(["is_history"] if include_history else [])])
 
 
 def forecast_tail(forecast: DataFrame, history: DataFrame, horizon_days: int = 30) -> DataFrame:

@@ -252,3 +252,9 @@ def test_best_run_rules(spark, tmp_path):
         runs.log_run(spark, path, model, run, metrics, {"p": 1}, {"t": "x"})
     got = {r["model"]: r["run_id"] for r in runs.promote_best(runs.read_runs(spark, path)).collect()}
     assert got == {"forecasting": "f2", "churn": "c2"}
+
+
+def test_forecast_fits_each_series_once(spark):
+    models = forecast.fit_forecaster(series(spark), forecast.ForecastSpec())
+    plan = forecast.predict_demand(models, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapGroupsInPandas") == 1
