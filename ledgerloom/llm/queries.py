@@ -46,7 +46,8 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
-    return url_reputation.judge_urls(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
+    judged = url_reputation.judge_urls(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,4 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_ngram_lm, op3_line_dedup, op4_decontamination, op5_url_reputation, op6_license_scan, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction)
 }
 
-SQL: dict[str, str] = {"op1_quality_rules": sql.OP1_QUALITY_RULES, "op3_line_dedup": sql.OP3_LINE_DEDUP, "op6_license_scan": sql.op6_license_scan(license_scan.TEMPLATES)}
+SQL: dict[str, str] = {
+    "op1_quality_rules": sql.OP1_QUALITY_RULES,
+    "op3_line_dedup": sql.OP3_LINE_DEDUP,
+    "op5_url_reputation": sql.op5_url_reputation(URL_RULES, url_reputation.TWO_PART_SUFFIXES),
+    "op6_license_scan": sql.op6_license_scan(license_scan.TEMPLATES),
+}

@@ -89,3 +89,53 @@ WITH template AS (
 )
 SELECT doc_id, license, max(containment) AS containment, arg_min(start, (-containment, start))::BIGINT AS start FROM matched GROUP BY doc_id, license
 """
+
+
+def op5_url_reputation(rules: tuple[tuple[str, str, str], ...], suffixes: tuple[str, ...]) -> str:
+    """Rates per host, domain and suffix with the same estimates, as one statement."""
+    ordered = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
+    fits = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{v}:{h}{p}'" for v, h, p in ordered)
+    listed = ", ".join(f"'{s}'" for s in suffixes)
+
+    def strength(children: str, parent: str) -> str:
+        return f"""(
+  SELECT (1 - rho) / rho FROM (
+    SELECT least(greatest(CASE WHEN scale > 0 THEN excess / scale ELSE 0 END, 0.001::DOUBLE), 0.5::DOUBLE) AS rho FROM (
+      SELECT sum(q - bad * m - (k - 1) * m * (1 - m)) AS excess, sum(m * (1 - m) * (n - nn / n - (k - 1))) AS scale FROM (
+        SELECT count(*) AS k, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad, sum(bad * bad / n::DOUBLE) AS q, sum(n * n)::DOUBLE AS nn, sum(bad) / sum(n)::DOUBLE AS m
+        FROM {children} WHERE n > 0 GROUP BY {parent}))))"""
+
+    return rf"""
+WITH outcome AS (
+  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality = 1 AND toxic = 0 THEN 0 END) AS bad FROM labels GROUP BY doc_id
+), rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), named AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), counted AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(regexp_replace(host, ':\d*$', ''), '.') AS labels
+  FROM named LEFT JOIN outcome ON page_id = doc_id GROUP BY host
+), host_counts AS (
+  SELECT host, n, bad, CASE WHEN two IN ({listed}) THEN array_to_string(labels[-3:], '.') ELSE two END AS domain,
+    CASE WHEN two IN ({listed}) THEN two ELSE labels[-1] END AS suffix
+  FROM (SELECT *, array_to_string(labels[-2:], '.') AS two FROM counted)
+), domain_counts AS (
+  SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM host_counts GROUP BY suffix, domain
+), suffix_counts AS (
+  SELECT suffix, '' AS root, sum(n) AS n, sum(bad) AS bad FROM domain_counts GROUP BY suffix
+), overall AS (
+  SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n)::DOUBLE ELSE 0 END AS rate, {strength("suffix_counts", "root")} AS s0,
+    {strength("domain_counts", "suffix")} AS s1, {strength("host_counts", "domain")} AS s2 FROM suffix_counts
+), by_suffix AS (
+  SELECT suffix, (s0 * rate + bad) / (s0 + n) AS mean FROM suffix_counts, overall
+), by_domain AS (
+  SELECT domain, (s1 * s.mean + bad) / (s1 + n) AS mean FROM domain_counts JOIN by_suffix s USING (suffix), overall
+), by_host AS (
+  SELECT host, (s2 * d.mean + bad) / (s2 + n) AS mean, s2 + n AS size FROM host_counts JOIN by_domain d USING (domain), overall
+), judged AS (
+  SELECT page_id, host, path, CASE {fits} END AS fit, mean - 1.645 * sqrt(mean * (1 - mean) / (size + 1)) AS lower FROM named JOIN by_host USING (host)
+)
+SELECT page_id, host, path, substr(fit, strpos(fit, ':') + 1) AS rule,
+  coalesce(split_part(fit, ':', 1), CASE WHEN lower > 0.5 THEN 'block' ELSE 'allow' END) AS verdict FROM judged
+"""
