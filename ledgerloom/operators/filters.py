@@ -12,18 +12,22 @@ from pyspark.sql.window import Window
 
 def filter_country_dates(
     df: DataFrame,
-    countries: Sequence[str] = (),
+    countries: Sequence[str] | DataFrame = (),
     start: date | None = None,
     end: date | None = None,
     inclusive_midnight: bool = False,
 ) -> DataFrame:
     """Rows of the given countries (none given: all) between two dates.
 
+    A long list may come as a table with a column Country; it is joined.
+
     The end date counts in full; ``inclusive_midnight`` also keeps the first
     instant of the following day. On a table laid out by year and month the
     bounds are repeated on those columns, which prunes its folders.
     """
-    if countries and "Country" in df.columns:
+    if isinstance(countries, DataFrame):
+        df = df.join(countries.select("Country"), "Country", "left_semi").select(*df.columns)
+    elif countries and "Country" in df.columns:
         df = df.where(F.col("Country").isin(*countries))
     ts = F.col("InvoiceDate")
     partitioned = {"year", "month"} <= set(df.columns)

@@ -68,9 +68,13 @@ def publish(spark: SparkSession, staging: str, path: str) -> None:
             raise OSError(f"could not move {path} aside")
     elif target.getParent() is not None:
         fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        if replaces:
+    moved = False
+    try:
+        moved = fs.rename(source, target)
+    finally:
+        if replaces and not moved:
             fs.rename(aside, target)
+    if not moved:
         raise OSError(f"could not publish {staging} as {path}")
     if replaces:
         fs.delete(aside, True)
@@ -87,8 +91,8 @@ def write_inventory_csv(table: DataFrame, path: str) -> None:
 
 
 def read_inventory_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Declared types: an all-digit stock code stays text. An empty text is quoted, a null is not."""
-    return spark.read.schema(INVENTORY).options(**STANDARD_CSV, multiLine=True, nullValue="", emptyValue="", mode="FAILFAST").csv(path)
+    """Declared types: an all-digit stock code stays text. An empty text is quoted, a null is not (so no text reads as null)."""
+    return spark.read.schema(INVENTORY).options(**STANDARD_CSV, multiLine=True, nullValue="\x01", emptyValue="", mode="FAILFAST").csv(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
