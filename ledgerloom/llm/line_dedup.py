@@ -6,9 +6,9 @@ the line itself, or the line without its i-th word. So distinct lines emit
 their deletion variants as hashed keys; equal keys meet in a join; the distance
 is then verified on the words, and the earliest line stays.
 
-Not every line needs variants. Of two lines within one edit, three of four
-quarters are the same, so only lines that share three quarters with another one
-emit any, and only those without a word of the quarter left. Variants made by
+Not every line needs variants. Of two lines within one edit, two of three
+parts are the same, so only lines that share two parts with another one emit
+any, and only those without a word of the part left. Variants made by
 leaving out the same word position are all within one edit of each other, so
 each needs to be compared with the earliest of its key only: no pairs within a
 key are made, and keys are counted with partial sums.
@@ -32,6 +32,7 @@ from ledgerloom.llm.text import let
 from ledgerloom.session import cut_lineage, scratch_scope
 
 NOT_WORD = r"[^\p{L}\p{N}]+"
+PARTS = 3
 
 
 def line_words(line: Column) -> Column:
@@ -40,11 +41,11 @@ def line_words(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """doc_id, digest of its text, line (from 0), id and three-quarter keys of every line with enough words."""
+    """doc_id, digest of its text, line (from 0), id and part keys of every line with enough words."""
     exploded = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
 
     def named(words: Column) -> Column:
-        keys = F.when(F.size(words) >= near_words, _quarter_keys(words))
+        keys = F.when(F.size(words) >= near_words, _part_keys(words))
         return F.struct(F.size(words).alias("n"), F.xxhash64(words).alias("id"), keys.alias("keys"))
 
     lines = exploded.select("doc_id", "text_id", "line", let(F.transform(line_words(F.col("raw")), lambda w: F.hash(w)), named).alias("l")).where(F.col("l.n") >= min_words)
@@ -56,22 +57,21 @@ def _place() -> Column:
     return F.struct("doc_id", "text_id", "line")
 
 
-def _quarter_keys(words: Column) -> Column:
-    """(part, key) for each quarter: a hash of all words but those of the quarter.
+def _part_keys(words: Column) -> Column:
+    """(part, key) for each of ``PARTS`` parts: a hash of all words but those of the part.
 
-    Partners differ by one in length at most, so quarters are laid out for the
-    shorter length, which is this line's or one less: q words from the front
-    and q, 2q or 3q from the back count for quarters of the shorter length m.
+    Partners differ by one in length at most, so parts are laid out for the
+    shorter length m, which is this line's or one less: what is before a part
+    is counted from the front, what is behind it from the back.
     """
     n = F.size(words)
 
     def of(m: Column) -> list[Column]:
-        q = F.floor(m / 4).cast("int")
-        front = [F.lit(0), q, 2 * q, 3 * q]
-        back = [m - q, m - 2 * q, m - 3 * q, F.lit(0)]
+        q = F.floor(m / PARTS).cast("int")
+        ends = [(part * q, m - (part + 1) * q if part + 1 < PARTS else F.lit(0)) for part in range(PARTS)]
         return [
-            F.struct(F.lit(part).alias("part"), F.xxhash64(F.lit(part), m, F.slice(words, F.lit(1), front[part]), F.slice(words, n - back[part] + 1, back[part])).alias("key"))
-            for part in range(4)
+            F.struct(F.lit(part).alias("part"), F.xxhash64(F.lit(part), m, F.slice(words, F.lit(1), front), F.slice(words, n - back + 1, back)).alias("key"))
+            for part, (front, back) in enumerate(ends)
         ]
 
     return F.array(*of(n), *of(n - 1))
@@ -79,11 +79,11 @@ def _quarter_keys(words: Column) -> Column:
 
 def _edited(n: Column, parts: Column) -> Column:
     """Positions of the words that are outside of what the line shares with a partner, in any of its parts."""
+
     def places(m: Column, part: Column) -> Column:
-        q = F.floor(m / 4).cast("int")
-        front = part * q
-        back = F.when(part == 3, F.lit(0)).otherwise(m - (part + 1) * q)
-        return F.sequence(front + 1, n - back)
+        q = F.floor(m / PARTS).cast("int")
+        back = F.when(part == PARTS - 1, F.lit(0)).otherwise(m - (part + 1) * q)
+        return F.sequence(part * q + 1, n - back)
 
     return F.array_sort(F.array_distinct(F.flatten(F.transform(parts, lambda part: F.concat(places(n, part), places(n - 1, part))))))
 
