@@ -1,14 +1,16 @@
-"""Benchmark decontamination: CGK embeddings and bit-sampling LSH over item-sized windows.
+"""Benchmark decontamination: CGK embeddings and bit-sampling LSH over windows.
 
-A benchmark item occurs in a document if some window of as many words as the
-item is within ``max_edits`` (a share of the item's words) of it in word edit
-distance. Windows and items are embedded by random walks: at step j the walk
+A benchmark item occurs in a document if some run of its words, of whatever
+length, is within ``max_edits`` (a share of the item's words) of it in word edit
+distance, so left-out and added words count once each. Windows and items are embedded by random walks: at step j the walk
 writes the word it stands on and moves on or stays, by a random bit of j and
 that word. After an edit two walks soon fall into step again, so a small edit
 distance becomes a small Hamming distance. Each repetition draws another walk
 and a few of its places; windows and items with equal words at these places are
-candidates, and the edit distance of every candidate is computed exactly. The
-number of repetitions follows from the target recall.
+candidates, and for every candidate the least edit distance of the item to any
+run of words about the window is computed exactly. The number of repetitions
+follows from the target recall. Windows are longer than their item by the edits
+allowed, and end with the document where that is shorter.
 
 Only windows that can match are embedded: within the bound, some run of words
 between two edits is left whole, so the window has a short run of words in
@@ -36,7 +38,7 @@ from ledgerloom.llm.text import WordHashes, byte_words, mixed, shingle_hashes
 
 BLOCK = 5000
 LONGEST_RUN = 8
-DRAWN = 4  # places of a walk in one key
+DRAWN = 2  # places of a walk in one key
 SAMPLES = 4  # keys from one walk
 MANY = 1 << 14  # windows that are embedded at a time
 FILTER = 1 << 22
@@ -47,17 +49,18 @@ SCHEMA = "doc_id bigint, item_id bigint, start bigint, n_words bigint, distance
 def repetitions(recall: float, max_edits: float) -> int:
     """Keys to draw so that a window at the bound meets its item with probability ``recall``.
 
-    An edit costs about two places of a walk until it is in step again, so at
-    the bound a drawn place differs with probability 2 * max_edits at most.
-    Keys drawn from one walk are alike, so twice as many are taken.
+    A word left out or added costs up to three places of a walk until it is in
+    step again, so at the bound a drawn place differs with probability
+    3 * max_edits at most. Keys drawn from one walk are alike, so three times as
+    many are taken.
     """
-    meets = (1 - min(0.9, 2 * max_edits)) ** DRAWN
-    return 2 * math.ceil(math.log(1 - recall) / math.log(1 - meets))
+    meets = (1 - min(0.9, 3 * max_edits)) ** DRAWN
+    return 3 * math.ceil(math.log(1 - recall) / math.log(1 - meets))
 
 
-def walk_keys(windows: np.ndarray, n_keys: int, seed: int = 17) -> np.ndarray:
-    """Keys of each window (rows of word hashes, all of one length): ``SAMPLES`` draws of places from each walk."""
-    rows, length = windows.shape
+def walk_keys(windows: np.ndarray, length: int, n_keys: int, seed: int = 17) -> np.ndarray:
+    """Keys of each window (rows of word hashes) for items of ``length`` words: ``SAMPLES`` draws of places from each walk."""
+    rows, width = windows.shape
     steps, each = 2 * length, np.arange(rows)
     padded = np.concatenate([windows, np.zeros((rows, 1), np.uint64)], axis=1)
     draw = np.random.default_rng([seed, length])
@@ -74,7 +77,7 @@ def walk_keys(windows: np.ndarray, n_keys: int, seed: int = 17) -> np.ndarray:
             for k in samples.get(j, ()):
                 keys[:, k] = mixed(keys[:, k] * np.uint64(31) + word)
             bit = ((word ^ salts[j]) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)
-            at = np.minimum(at + bit.astype(np.int64), length)
+            at = np.minimum(at + bit.astype(np.int64), width)
     return keys
 
 
@@ -97,25 +100,57 @@ def edit_distance(a: list, b: list, most: int) -> int:
     return min(row[-1], most + 1)
 
 
+def word_bits(item: list) -> dict:
+    """For each word of an item, its places counted from the end, as bits."""
+    bits: dict = defaultdict(int)
+    for place, word in enumerate(reversed(item)):
+        bits[word] |= 1 << place
+    return dict(bits)
+
+
+def best_match(bits: dict, n: int, text: list) -> tuple[int, int]:
+    """(distance, start) of the run of words in ``text`` nearest to an item of n words, at its first start.
+
+    Myers' bit-parallel columns from the last word to the first: after each one
+    ``distance`` is that of the item to the best run that starts there.
+    """
+    mask, top = (1 << n) - 1, 1 << (n - 1)
+    rises, falls, distance = mask, 0, n
+    best = (n, len(text))
+    for start in range(len(text) - 1, -1, -1):
+        equal = bits.get(text[start], 0)
+        down = equal | falls
+        across = (((equal & rises) + rises) ^ rises) | equal
+        up = (falls | ~(across | rises)) & mask
+        less = rises & across
+        distance += bool(up & top) - bool(less & top)
+        up, less = up << 1, less << 1
+        rises = (less | ~(down | up)) & mask
+        falls = up & down & mask
+        best = min(best, (distance, start))
+    return best
+
+
 class ItemIndex:
     """One block of items: their runs of words, and their keys by length."""
 
     def __init__(self, items: list[tuple[int, str]], max_edits: float, recall: float):
         self.n_keys, hashes = repetitions(recall, max_edits), WordHashes()
-        self.ids, self.words, self.most = [], [], []
+        self.max_edits, self.ids, self.words, self.most, self.bits = max_edits, [], [], [], []
         runs: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for item_id, text in items:
             words = hashes.of(byte_words(text))
             n = len(words)
             if not n:
                 continue
-            most = int(max_edits * n)
+            most = self.edits(n)
             size = min(LONGEST_RUN, math.ceil((n - most) / (most + 1)))
             for offset, run in enumerate(shingle_hashes(words, size).tolist()):
                 runs[size].append((run, n, offset))
             self.ids.append(item_id)
             self.words.append(words.tolist())
             self.most.append(most)
+            self.bits.append(word_bits(self.words[-1]))
         # For each size of run: sorted hashes with the length and offset of the items they come from.
         self.runs = {size: np.array(sorted(set(found)), np.dtype([("run", "<u8"), ("n", "<i8"), ("offset", "<i8")])) for size, found in runs.items()}
         self.filters = {}
@@ -125,7 +160,7 @@ class ItemIndex:
         self.tables: dict[int, tuple[np.ndarray, list[list[int]]]] = {}
         for n in {len(w) for w in self.words}:
             own = [i for i, w in enumerate(self.words) if len(w) == n]
-            keys = walk_keys(np.array([self.words[i] for i in own], np.uint64), self.n_keys)
+            keys = walk_keys(np.array([self.words[i] for i in own], np.uint64), n, self.n_keys)
             table: dict[int, list[int]] = defaultdict(list)
             for i, row in zip(own, keys.tolist()):
                 for key in row:
@@ -133,6 +168,10 @@ class ItemIndex:
             known = sorted(table)
             self.tables[n] = np.array(known, np.uint64), [table[key] for key in known]
 
+    def edits(self, n: int) -> int:
+        """Edits allowed in an item of n words."""
+        return int(self.max_edits * n)
+
     def windows(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Length and starts of the windows that have a run of words in common with an item of that length."""
         for size, known in self.runs.items():
@@ -143,8 +182,9 @@ class ItemIndex:
             low, high = (np.searchsorted(known["run"], runs[at], side) for side in ("left", "right"))
             for place, x, y in zip(at.tolist(), low.tolist(), high.tolist()):
                 for n, offset in known[["n", "offset"]][x:y].tolist():
-                    if len(words) >= n:
-                        yield n, min(max(place - offset, 0), len(words) - n)
+                    least = n - self.edits(n)
+                    if len(words) >= least:
+                        yield n, min(max(place - offset, 0), len(words) - least)
 
     def search(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, start, distance): items found in each text, by position, with the first best window."""
@@ -161,18 +201,24 @@ class ItemIndex:
             yield i, item, start, distance
 
     def _embed(self, texts: list[np.ndarray], n: int, windows: set[tuple[int, int]], found: dict[tuple[int, int], tuple[int, int]]) -> None:
-        """Look the keys of windows of n words up, and keep the items that are close enough."""
-        places = sorted(windows)
-        rows = np.array([texts[i][start : start + n] for i, start in places], np.uint64)
-        keys, (known, owners) = walk_keys(rows, self.n_keys), self.tables[n]
+        """Look the keys of windows for items of n words up, and keep the items that are close enough."""
+        places, most = sorted(windows), self.edits(n)
+        rows = np.zeros((len(places), n + most), np.uint64)
+        for row, (i, start) in zip(rows, places):
+            words = texts[i][start : start + n + most]
+            row[: len(words)] = words
+        keys, (known, owners) = walk_keys(rows, n, self.n_keys), self.tables[n]
         at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         for row in np.flatnonzero((known[at] == keys).any(axis=1)).tolist():
             i, start = places[row]
             hits = at[row][known[at[row]] == keys[row]].tolist()
+            # Words added or left out before the run that named the window move the start by as many.
+            first = max(0, start - most)
+            near = texts[i][first : start + n + 2 * most].tolist()
             for item in sorted({x for hit in hits for x in owners[hit]}):
-                distance = edit_distance(self.words[item], rows[row].tolist(), self.most[item])
-                if distance <= self.most[item] and (distance, start) < found.get((i, item), (distance + 1, 0)):
-                    found[i, item] = (distance, start)
+                distance, begin = best_match(self.bits[item], n, near)
+                if distance <= most and (distance, first + begin) < found.get((i, item), (distance + 1, 0)):
+                    found[i, item] = (distance, first + begin)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall: float = 0.99) -> DataFrame:

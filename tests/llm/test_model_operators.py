@@ -85,6 +85,34 @@ def test_items_found_and_clean_documents_left(spark):
     assert sorted(str(r.doc_id) for r in decontaminate.drop_contaminated(frame(spark, ODD), bench).collect()) == sorted(str(i) for i, _ in ODD)
 
 
+@pytest.mark.parametrize("around", [0, 40])
+@pytest.mark.parametrize("kind", ["left out", "added", "mixed"])
+def test_items_with_words_left_out_or_added(spark, kind, around):
+    draw = random.Random(6)
+    items = [(i, [f"b{draw.randint(0, 499)}" for _ in range(draw.randint(15, 50))]) for i in range(20)]
+    rows, want = [], {}
+    for i, parts in items:
+        body, most = list(parts), int(0.2 * len(parts))
+        places = draw.sample(range(1, len(parts) - 1), most)
+        for k, at in enumerate(sorted(places, reverse=True)):
+            body[at : at + 1] = [] if kind == "left out" or (kind == "mixed" and k % 2) else [body[at], f"z{at}"]
+        rows.append((i, " ".join(draw.choices(["c", "d", "e"], k=around) + body + draw.choices(["c", "d", "e"], k=around))))
+        want[i] = (i, most, around)
+    bench = frame(spark, [(i, " ".join(parts)) for i, parts in items], "item_id")
+    got = {r.doc_id: (r.item_id, r.distance, r.start) for r in decontaminate.find_items(frame(spark, rows), bench).collect()}
+    assert {i: (item, start) for i, (item, _, start) in got.items()} == {i: (item, start) for i, (item, _, start) in want.items()}
+    assert all(got[i][1] <= want[i][1] for i in want)
+    assert kind == "mixed" or got == want
+
+
+def test_best_match_is_the_nearest_run():
+    draw = random.Random(1)
+    for _ in range(200):
+        item, text = draw.choices(range(4), k=draw.randint(1, 7)), draw.choices(range(4), k=draw.randint(0, 9))
+        runs = [(decontaminate.edit_distance(item, text[a:b], 99), a) for a in range(len(text)) for b in range(a, len(text) + 1)]
+        assert decontaminate.best_match(decontaminate.word_bits(item), len(item), text) == min([*runs, (len(item), len(text))])
+
+
 def test_edit_distance():
     assert decontaminate.edit_distance(list("kitten"), list("sitting"), 5) == 3
     assert decontaminate.edit_distance(list("abc"), list("xyz"), 1) == 2
