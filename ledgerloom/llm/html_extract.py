@@ -14,7 +14,9 @@ pages without such markup, words outside menus and the like take the weight of
 their kind of block alone. Without labelled pages default weights hold.
 
 Null or empty html gives an empty text. Markup that is cut off or never closed
-is read as far as it goes; the length of pages is not limited.
+is read as far as it goes; the length and depth of pages are not limited. Where
+HTML lets a closing tag be left out (items, options, cells, rows, paragraphs,
+head) the next element of that kind closes the last.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,12 +38,27 @@ BLOCKS = frozenset(
 )
 RAW = "script|style|title|textarea|xmp|iframe|noembed|noframes"
 MAIN = frozenset(("article", "main"))
+# Elements that neither an open list item nor an inline element reaches into from outside.
+PARTS = tuple("article aside blockquote body button details dialog dl fieldset figure footer form header main menu nav ol section table td th ul".split())
+# What an opening tag closes by implication, unless one of the second group stands between.
+IMPLIED = {
+    "li": (("li",), PARTS),
+    **{t: (("dt", "dd"), PARTS) for t in ("dt", "dd")},
+    "option": (("option",), ("select", "datalist", "optgroup")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+    **{t: (("caption", "td", "th"), ("table", "tr")) for t in ("td", "th")},
+    "tr": (("caption", "td", "th", "tr"), ("table",)),
+    **{t: (("caption", "td", "th", "tr", "tbody", "thead", "tfoot"), ("table",)) for t in ("tbody", "thead", "tfoot")},
+    "body": (("head",), ()),
+}
+AROUND_P, AROUND_HEAD = ("button", "object", "select", "template"), ("noscript", "template")
 # Elements and words in class, id or role that mark what is not main text.
 ASIDE_TAGS = {t: t for t in "nav footer aside form header menu dialog".split()} | {t: "form" for t in "button select option fieldset".split()} | {t: "hidden" for t in "noscript template svg math object canvas audio video head".split()}
 ASIDE_WORDS = {
     "ad": "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner",
     "nav": "nav navbar navigation menu breadcrumb breadcrumbs pagination toc skip",
-    "aside": "sidebar aside widget related recommended trending share sharing social newsletter subscribe subscription",
+    "aside": "sidebar aside share sharing social newsletter subscribe subscription",
+    "related": "widget related recommended trending",
     "notice": "cookie cookies consent notice gdpr popup modal overlay alert disclaimer",
     "comments": "comment comments disqus replies respond discussion",
     "footer": "footer copyright",
@@ -62,12 +79,17 @@ NAME_WORDS = re.compile(r"[a-z]+")
 Place = tuple[str, str, bool]
 
 
-def _role(tag: str, attributes: str, inside: str) -> str:
-    """Landmark of an element within another landmark."""
+# Landmarks whose articles are not the page's, and elements whose articles are not (a main part in them is).
+OWN_ARTICLES = frozenset(("comments", "related", "hidden"))
+TEASERS = ("aside", "nav", "footer", "menu", "dialog")
+
+
+def _role(tag: str, attributes: str, inside: str, teaser: bool) -> str:
+    """Landmark of an element within another landmark; teaser: one of ``TEASERS`` is open."""
+    if tag in MAIN and inside not in OWN_ARTICLES and not (teaser and tag == "article"):
+        return "main"  # also in a form around the page, or in a wrapper with a name like content-sidebar-wrap
     if inside not in ("body", "main"):
         return inside  # what is in a menu or among comments stays there
-    if tag in MAIN:
-        return "main"
     if tag in ASIDE_TAGS and not (tag == "header" and inside == "main"):
         return ASIDE_TAGS[tag]
     if attributes and "=" in attributes and tag not in ("body", "html"):
@@ -81,8 +103,22 @@ def _role(tag: str, attributes: str, inside: str) -> str:
 def tokens(page: str) -> Iterator[tuple[Place | None, str, bool]]:
     """Tags and runs of text in page order, with the place of each run."""
     stack: list[tuple[str, str, str, int]] = []  # open elements: tag, landmark, block, links around
+    open_at: dict[str, list[int]] = defaultdict(list)  # places of each tag in the stack
     landmark, block, links, at = "body", "body", 0, 0
 
+    def last(tags: tuple[str, ...]) -> int:
+        return max((open_at[t][-1] for t in tags if open_at[t]), default=-1)
+
+    def close(tags: tuple[str, ...], around: tuple[str, ...] = ()) -> None:
+        """Close the elements named (the innermost of each) and what they hold, unless they are outside of ``around``."""
+        nonlocal landmark, block, links
+        least = last(around)
+        places = [open_at[t][-1] for t in tags if open_at[t] and open_at[t][-1] > least]
+        if places:
+            while len(stack) > min(places):
+                open_at[stack.pop()[0]].pop()
+            _, landmark, block, links = stack[-1] if stack else ("", "body", "body", 0)
+
     def text(raw: str) -> Iterator[tuple[Place | None, str, bool]]:
         if raw and not raw.isspace():
             yield (landmark, block, links > 0), entities.unescape(raw), False
@@ -102,18 +138,20 @@ def tokens(page: str) -> Iterator[tuple[Place | None, str, bool]]:
         if tag in VOID or (attributes.endswith("/") and tag not in BLOCKS):
             continue
         if not closing:
-            if tag in BLOCKS and any(x[0] == "p" for x in stack[-8:]):  # a block ends an open paragraph
-                while stack.pop()[0] != "p":
-                    pass
-                _, landmark, block, links = stack[-1] if stack else ("", "body", "body", 0)
-            landmark = _role(tag, attributes, landmark)
+            if tag in BLOCKS:
+                close(("p",), AROUND_P)
+                close(("head",), AROUND_HEAD)
+            if tag in IMPLIED:
+                close(*IMPLIED[tag])
+            landmark = _role(tag, attributes, landmark, tag == "article" and last(TEASERS) >= 0)
             block = tag if tag in BLOCKS else block
             links += tag == "a"
+            open_at[tag].append(len(stack))
             stack.append((tag, landmark, block, links))
-        elif any(x[0] == tag for x in stack[-64:]):
-            while stack.pop()[0] != tag:
-                pass
-            _, landmark, block, links = stack[-1] if stack else ("", "body", "body", 0)
+        elif tag in BLOCKS:
+            close((tag,), IMPLIED[tag][1] if tag in IMPLIED else ())
+        else:
+            close((tag,), () if tag in ASIDE_TAGS or tag in PARTS or tag in ("html", "select") else PARTS)
     yield from text(page[at:])
 
 

@@ -235,6 +235,36 @@ def test_main_text(spark):
     assert html_extract.extract_main_text(pages.limit(0)).count() == 0
 
 
+STORY = "<p>The story has words</p><p>and more words of its own</p>"
+
+
+@pytest.mark.parametrize(
+    "before, around, after",
+    [
+        ("<nav><ul>" + "<li>menu entry" * 100 + "</ul></nav>", "article", ""),
+        ("<form><select>" + "<option>choice" * 100 + "</select></form>", "article", ""),
+        ("<nav><dl>" + "<dt>name<dd>value" * 100 + "</dl></nav>", "article", ""),
+        ("<nav><table>" + "<tr><td>cell<td>cell" * 100 + "</table></nav>", "article", ""),
+        ("<nav>" + "<b>" * 100 + "</nav>", "article", ""),
+        ('<div class="content-sidebar-wrap">', "main", '<div class="sidebar">side words</div></div>'),
+        ('<div class="content-sidebar-wrap">', "article", '<div class="sidebar">side words</div></div>'),
+        ("<form>", "article", "<button>choice</button></form>"),
+        ("<head><title>menu</title><body>", "article", ""),
+        ("", "article", '<div class="related"><article>side words of another story</article></div>'),
+        ("", "article", "<aside><article>side words of another story</article></aside>"),
+        ("", "main", '<div class="comments"><article>side words of a reader</article></div>'),
+    ],
+)
+def test_article_is_kept_whole(before, around, after):
+    page = f"{before}<{around}>{STORY}</{around}>{after}"
+    assert html_extract.main_text(page, html_extract.Weights({})) == "The story has words\nand more words of its own"
+
+
+def test_paragraph_ends_below_many_inline_elements():
+    places = [place for place, text, _ in html_extract.tokens("<p>" + "<b>" * 20 + "one<ul><li>two</ul>three") if place and text.strip()]
+    assert places == [("body", "p", False), ("body", "li", False), ("body", "body", False)]
+
+
 def test_best_region():
     assert html_extract.best_region([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert html_extract.best_region([-1, -2]) == (0, 0) and html_extract.best_region([]) == (0, 0)
