@@ -46,6 +46,21 @@ def test_shared_line_goes_and_copies_do_not_make_one(spark):
     assert not any(r.kept for r in quality_rules.quality_verdicts(docs_of(spark, short)).collect())
 
 
+def test_boilerplate_lines_leave_the_text(spark):
+    own = [words(*range(i * 100, i * 100 + 30)) for i in range(30)]
+    rows = [(i, f"Shared line, of a menu\n\n{text}\nSHARED line of a menu!\nlast {i}", None) for i, text in enumerate(own)]
+    rows += [rows[0], (50, "Shared line of a menu\nelsewhere", "b"), (51, "shared line of a menu", None), (52, None, None), (53, "", None)]
+    frame = docs_of(spark, rows).withColumn("place", F.lit("clash")).withColumn("gone", F.lit(1)).withColumn("boilerplate_lines", F.lit(0))
+    got = quality_rules.drop_boilerplate(frame).collect()
+    assert len(got) == len(rows) and got[0].place == "clash" and got[0].gone == 1
+    found = {r.doc_id: (r.text, r.boilerplate_lines) for r in got}
+    assert all(found[i] == (f"\n{text}\nlast {i}", [0, 3]) for i, text in enumerate(own))
+    assert [found[i] for i in (50, 51, 52, 53)] == [("Shared line of a menu\nelsewhere", []), ("", [0]), (None, []), ("", [])]
+    verdicts = {r.doc_id: (r.boilerplate_words, r.kept) for r in quality_rules.quality_verdicts(frame).collect()}
+    assert verdicts[3] == (10, True) and verdicts[50] == (0, False) and verdicts[51] == (5, False)
+    assert quality_rules.drop_boilerplate(docs_of(spark, [])).count() == 0
+
+
 BASE = words(*range(20))
 
 
