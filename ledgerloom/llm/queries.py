@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontaminate, html_extract, jaccard_join, language_id, license_scan, line_dedup, ngram_lm, quality_rules, sql, url_reputation
+from ledgerloom.llm import bpe, conversation_repair, decontaminate, html_extract, jaccard_join, language_id, license_scan, line_dedup, ngram_lm, quality_rules, sql, url_reputation
 from ledgerloom.llm.text import table
 
 VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -72,8 +72,13 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract_main_text(table(spark, folder, "pages"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return conversation_repair.repair_conversations(conversation_repair.damaged(rows), rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_ngram_lm, op3_line_dedup, op4_decontamination, op5_url_reputation, op6_license_scan, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction)
+    f.__name__: f for f in (op1_quality_rules, op2_ngram_lm, op3_line_dedup, op4_decontamination, op5_url_reputation, op6_license_scan, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction, op13_conversation_repair)
 }
 
 SQL: dict[str, str] = {
