@@ -139,3 +139,20 @@ WITH outcome AS (
 SELECT page_id, host, path, substr(fit, strpos(fit, ':') + 1) AS rule,
   coalesce(split_part(fit, ':', 1), CASE WHEN lower > 0.5 THEN 'block' ELSE 'allow' END) AS verdict FROM judged
 """
+
+OP12_HARD_NEGATIVES = r"""
+WITH fit AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM fit a JOIN fit b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER near AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT alike AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW near AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER near <= 5
+"""
