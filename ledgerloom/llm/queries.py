@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, conversation_repair, decontaminate, hard_negatives, html_extract, jaccard_join, language_id, license_scan, line_dedup, ngram_lm, quality_rules, sql, url_reputation
+from ledgerloom.llm import bpe, conversation_repair, decontaminate, embedding_dedup, hard_negatives, html_extract, jaccard_join, language_id, license_scan, line_dedup, ngram_lm, quality_rules, sql, url_reputation
 from ledgerloom.llm.text import table
 
 VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
@@ -72,6 +72,10 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract_main_text(table(spark, folder, "pages"))
 
 
+def op11_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
@@ -83,7 +87,7 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_ngram_lm, op3_line_dedup, op4_decontamination, op5_url_reputation, op6_license_scan, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction, op12_hard_negatives, op13_conversation_repair)
+    f.__name__: f for f in (op1_quality_rules, op2_ngram_lm, op3_line_dedup, op4_decontamination, op5_url_reputation, op6_license_scan, op7_bpe, op8_language_id, op9_jaccard_join, op10_html_extraction, op11_embedding_dedup, op12_hard_negatives, op13_conversation_repair)
 }
 
 SQL: dict[str, str] = {
@@ -91,5 +95,6 @@ SQL: dict[str, str] = {
     "op3_line_dedup": sql.OP3_LINE_DEDUP,
     "op5_url_reputation": sql.op5_url_reputation(URL_RULES, url_reputation.TWO_PART_SUFFIXES),
     "op6_license_scan": sql.op6_license_scan(license_scan.TEMPLATES),
+    "op11_embedding_dedup": sql.OP11_EMBEDDING_DEDUP,
     "op12_hard_negatives": sql.OP12_HARD_NEGATIVES,
 }

@@ -140,6 +140,24 @@ SELECT page_id, host, path, substr(fit, strpos(fit, ':') + 1) AS rule,
   coalesce(split_part(fit, ':', 1), CASE WHEN lower > 0.5 THEN 'block' ELSE 'allow' END) AS verdict FROM judged
 """
 
+# Every vector with every other one, and paths of links; the operator's trees have to find the same.
+OP11_EMBEDDING_DEDUP = r"""
+WITH RECURSIVE fit AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM fit a JOIN fit b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+  SELECT vec_id AS u, vec_id AS w FROM embeddings UNION SELECT r.u, l.w FROM reached r JOIN links l ON r.w = l.u
+), least AS (
+  SELECT u, min(w) AS component_id FROM reached GROUP BY u
+), counted AS (
+  SELECT u, count(*) AS n_links FROM links GROUP BY u
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings e JOIN least ON e.vec_id = least.u LEFT JOIN counted ON e.vec_id = counted.u
+"""
+
 OP12_HARD_NEGATIVES = r"""
 WITH fit AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v

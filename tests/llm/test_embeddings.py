@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import hard_negatives
+from ledgerloom.llm import embedding_dedup, hard_negatives, projection_trees
 from ledgerloom.llm.queries import op12_hard_negatives
 
 SCHEMA = "vec_id bigint, embedding array<double>, label int"
@@ -75,3 +75,106 @@ def test_hard_negatives_limits(spark):
     assert rows_of(hard_negatives.mine_negatives(table(spark, twice), F.col("vec_id") == 100)) == [(100, 2, 1, 1, 65536, 65536)]
     with pytest.raises(Exception, match="64 bits"):
         hard_negatives.mine_negatives(table(spark, [(100, [1e300], 0)]), F.lit(True)).count()
+
+
+def linked(rows, threshold=0.9):
+    """(id, links, component) by comparing all with all."""
+    dim = max((len(v) for _, v in rows if v is not None), default=0)
+    units = np.zeros((len(rows), dim))
+    for i, (vec_id, v) in enumerate(rows):
+        if vec_id is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            units[i, : len(v)] = np.array(v) / max(map(abs, v))
+            units[i] /= np.linalg.norm(units[i])
+    near = units @ units.T >= threshold
+    np.fill_diagonal(near, False)
+    labels = list(range(len(rows)))
+
+    def root(i):
+        while labels[i] != i:
+            labels[i] = i = labels[labels[i]]
+        return i
+
+    for i, j in zip(*np.nonzero(near)):
+        labels[root(i)] = root(j)
+    least = {}
+    for i, (vec_id, _) in enumerate(rows):
+        if vec_id is not None:
+            least[root(i)] = min(least.get(root(i), vec_id), vec_id)
+    return [(vec_id, int(near[i].sum()), least.get(root(i))) for i, (vec_id, _) in enumerate(rows)]
+
+
+def around(draw, centre, cosine, n):
+    """n unit vectors with the given cosine to a centre."""
+    noise = draw.standard_normal((n, len(centre)))
+    noise -= (noise @ centre)[:, None] * centre
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    return cosine * centre + math.sqrt(1 - cosine * cosine) * noise
+
+
+def unit(draw, dim, n=1):
+    x = draw.standard_normal((n, dim))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def duplicates(spark, rows, **options):
+    got = embedding_dedup.near_duplicates(table(spark, [(i, None if v is None else [None if x is None else float(x) for x in v], 0) for i, v in rows]), **options).collect()
+    assert all(r.kept == (r.vec_id is None or r.vec_id == r.component_id) for r in got)
+    return sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str)
+
+
+@pytest.mark.parametrize("sample", [None, 200])
+def test_near_duplicates_of_groups(spark, monkeypatch, sample):
+    """Groups of all sizes, some spread over many leaves, one of equal vectors; all links are found."""
+    if sample:
+        monkeypatch.setattr(projection_trees, "SAMPLE_BYTES", sample * 8 * 32)
+    draw = np.random.default_rng(3)
+    parts = [unit(draw, 32, 900)]
+    parts += [around(draw, unit(draw, 32)[0], 0.99, n) for n in (2, 3, 5, 20, 60, 700)]
+    parts += [np.repeat(unit(draw, 32), 50, axis=0)]
+    rows = list(enumerate(np.concatenate(parts)))
+    assert duplicates(spark, rows, leaf=96) == sorted(linked(rows), key=str)
+
+
+def test_balls_that_are_neither_linked_nor_apart(spark):
+    """Two tight groups and a few vectors about 26 degrees away from each other, where members decide."""
+    draw = np.random.default_rng(4)
+    centre, side = unit(draw, 32, 2)
+    side -= (side @ centre) * centre
+    side /= np.linalg.norm(side)
+    turned = lambda degrees: math.cos(math.radians(degrees)) * centre + math.sin(math.radians(degrees)) * side
+    parts = [around(draw, centre, 0.995, 150), around(draw, turned(25.5), 0.995, 120), around(draw, turned(-24), 0.999, 9), unit(draw, 32, 300)]
+    rows = list(enumerate(np.concatenate(parts)))
+    wanted = linked(rows)
+    assert 150 * 120 * 0.1 < sum(n for i, n, _ in wanted if i < 150) - 150 * 149 < 150 * 129 * 0.9
+    assert duplicates(spark, rows, leaf=4096) == sorted(wanted, key=str)
+
+
+def test_recall_at_the_threshold(spark, monkeypatch):
+    """Pairs only just linked, in many leaves: found as often as asked for, and none made up."""
+    monkeypatch.setattr(projection_trees, "SAMPLE_BYTES", 1500 * 8 * 48)
+    draw = np.random.default_rng(5)
+    seeds = unit(draw, 48, 3000)
+    pairs = np.concatenate([around(draw, s, 0.905, 1) for s in seeds])
+    rows = list(enumerate(np.concatenate([seeds, pairs])))
+    wanted, got = dict((i, n) for i, n, _ in linked(rows)), duplicates(spark, rows, leaf=128, recall=0.95)
+    assert all(n <= wanted[i] for i, n, _ in got)
+    assert sum(n for _, n, _ in got) >= 0.93 * sum(wanted.values())
+
+
+def test_near_duplicates_odd_rows(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0]), (3, [2e300, 1e299]), (4, None), (5, []), (6, [0.0, 0.0]), (7, [1.0, None]), (8, [float("nan"), 1.0]), (9, [float("inf"), 1.0])]
+    rows += [(None, [1.0, 0.0]), (2, [1.0, 0.0]), (-5, [0.0, 1e-300]), (20, [0.0, 3.0, 0.0]), (21, [-0.0, 3.0])]
+    assert duplicates(spark, rows) == sorted(linked(rows), key=str)
+    assert duplicates(spark, []) == [] and duplicates(spark, [(1, None)]) == [(1, 0, 1)]
+    assert duplicates(spark, [(i, [0.5, 0.5]) for i in range(100, 3000)])[0] == (100, 2899, 100)
+
+
+def test_trees_reach_every_vector():
+    draw = np.random.default_rng(6)
+    units = unit(draw, 16, 2000)
+    shape = projection_trees.Shape(16, 50, 0.05, 0.1)
+    trees, recall = projection_trees.fit_forest(units, 1.0, shape, 0.9)
+    assert recall >= 0.9
+    for tree in trees:
+        rows, nodes = projection_trees.leaves(units, tree, shape)
+        assert set(rows) == set(range(2000)) and np.unique(nodes, return_counts=True)[1].max() <= 100
