@@ -2,51 +2,103 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
-
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.functions.numbers import money_mean, money_sum, share_pct
+from ledgerloom.functions.numbers import UNITS_PER_ONE, money_mean, money_sum, money_units, share_pct
+from ledgerloom.operators.cells import UNIT_BITS, Cells, cell_sums, make_cells, nearest, silhouettes
 from ledgerloom.operators.customers import fill_model_features
 from ledgerloom.schemas import SEGMENT_FEATURES
+from ledgerloom.session import scratch_scope
 
 # Persona names in display and fallback order.
 PERSONAS = ["Champions", "Loyal Customers", "Regular", "At Risk", "Hibernating"]
 
+MODEL_SCHEMA = (
+    "cluster int, Recency double, Frequency double, Monetary double, size bigint, "
+    "centre array<double>, mean array<double>, spread array<double>"
+)
+
 
 @dataclass
 class Segmenter:
-    model: PipelineModel
+    """``model``: one row per cluster, see MODEL_SCHEMA. ``silhouettes``: Euclidean, by k, with the bound of their error."""
+
+    model: DataFrame
     k: int
     silhouettes: dict[int, float]
+    errors: dict[int, float]
+    converged: bool
 
     @property
-    def silhouette_sq(self) -> float:
+    def silhouette(self) -> float:
         return self.silhouettes[self.k]
 
 
-def _scaled(rfm_table: DataFrame) -> tuple[DataFrame, list]:
-    """Scaled features in a layout that does not depend on the input's."""
-    filled = fill_model_features(rfm_table, SEGMENT_FEATURES).select("CustomerID", *SEGMENT_FEATURES)
-    placed = filled.repartition("CustomerID").sortWithinPartitions("CustomerID")
-    assembler = VectorAssembler(inputCols=SEGMENT_FEATURES, outputCol="raw_features")
-    scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
-    rows = assembler.transform(placed)
-    fitted = scaler.fit(rows)
-    return fitted.transform(rows).select("CustomerID", "features"), [assembler, fitted]
+def _scaling(filled: DataFrame) -> tuple[list[float], list[float]]:
+    """Mean and population deviation of each feature, from sums of whole numbers."""
+    units = [money_units(c).cast("decimal(38,0)") for c in SEGMENT_FEATURES]
+    sums = [f for u in units for f in (F.sum(u), F.sum((u * u).cast("decimal(38,0)")))]
+    n, *totals = filled.agg(F.count(F.lit(1)), *sums).first()
+    if not n:
+        raise RuntimeError("no customers to cluster")
+    mean, spread = [], []
+    for total, squares in zip(totals[::2], totals[1::2]):
+        mean.append(int(total) / n / UNITS_PER_ONE)
+        spread.append(math.sqrt(max(n * int(squares) - int(total) ** 2, 0)) / n / UNITS_PER_ONE or 1.0)
+    return mean, spread
+
+
+def _scaled(rows: DataFrame, mean: Sequence[float], spread: Sequence[float]) -> list[Column]:
+    """Scaled features in whole 2**-20ths, so that their sums do not depend on the order of the rows."""
+    return [
+        F.rint((money_units(c).cast("double") / UNITS_PER_ONE - m) / s * (1 << UNIT_BITS)).cast("bigint").alias(c)
+        for c, m, s in zip(SEGMENT_FEATURES, mean, spread)
+    ]
+
+
+def _seeded(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k starting centres, each drawn with odds of the squared distance from those before."""
+    draw = np.random.default_rng([seed, k])
+    points = sample.astype(float)
+    centres = [points[draw.integers(len(points))]]
+    gap = ((points - centres[0]) ** 2).sum(axis=1)
+    while len(centres) < k:
+        total = gap.cumsum()
+        place = int(np.searchsorted(total, draw.random() * total[-1], "right")) if total[-1] else int(draw.integers(len(points)))
+        centres.append(points[min(place, len(points) - 1)])
+        gap = np.minimum(gap, ((points - centres[-1]) ** 2).sum(axis=1))
+    return np.array(centres)
+
 
+def lloyd(cells: Cells, starts: dict[int, np.ndarray], max_iter: int) -> tuple[dict[int, np.ndarray], dict[int, tuple], set[int]]:
+    """Move the centres of all models together, one job an iteration, until no cluster changes.
+
+    Returns centres, the last (count, sum) of their clusters, and the models that had not settled in time.
+    """
+    centres, sums, moving = dict(starts), {}, set(starts)
+    for _ in range(max_iter):
+        if not moving:
+            break
+        found = cell_sums(cells, {m: centres[m] for m in sorted(moving)})
+        for model, (counts, totals) in found.items():
+            if model in sums and all((a == b).all() for a, b in zip(sums[model], (counts, totals))):
+                moving.discard(model)
+            sums[model] = (counts, totals)
+            filled = counts > 0
+            centres[model] = np.where(filled[:, None], totals / np.maximum(counts, 1)[:, None], centres[model])
+    return centres, sums, moving
 
-def _best_of(rows: DataFrame, k: int, seeds: list[int], max_iter: int) -> KMeansModel:
-    fits = [KMeans(k=k, seed=seed, maxIter=max_iter).fit(rows) for seed in seeds]
-    return min(fits, key=lambda fit: fit.summary.trainingCost)
+
+def _compactness(counts: np.ndarray, totals: np.ndarray) -> float:
+    """Sum of squares the centres explain; the squared distances to them are a constant less this."""
+    return float(((totals.astype(float) ** 2).sum(axis=1) / np.maximum(counts, 1)).sum())
 
 
 def fit_segmenter(
@@ -55,60 +107,59 @@ def fit_segmenter(
     k_max: int = 8,
     n_init: int = 10,
     seed: int = 42,
-    max_iter: int = 50,
-    parallelism: int = 4,
+    max_iter: int = 300,
+    depth: int = 12,
 ) -> Segmenter:
     """Cluster scaled recency, frequency and monetary value.
 
-    Every k is fitted from ``n_init`` seeds and judged by Spark's silhouette
-    (squared Euclidean, linear in the rows); the best k keeps its fitted model.
-    The small jobs of different k overlap on driver threads.
+    Every k is fitted from ``n_init`` seeds, all of them together: each
+    iteration is one job over the customers whose kd-cell lies between centres
+    (see ``cells``). The closest fit of each k is judged by the mean Euclidean
+    silhouette, whose error is bounded by the cells (``2 ** depth`` of them).
+    Starting centres come from a bounded sample.
     """
-    rows, prefix = _scaled(rfm_table)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows.count()
-        seeds = [seed + i for i in range(n_init)]
-        judge = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-
-        def attempt(k: int) -> tuple[int, KMeansModel, float | None]:
-            model = _best_of(rows, k, seeds, max_iter)
-            filled = sum(1 for size in model.summary.clusterSizes if size > 0)
-            return k, model, judge.evaluate(model.transform(rows)) if filled > 1 else None
-
-        with ThreadPool(max(1, parallelism)) as pool:
-            tried = pool.map(attempt, range(k_min, k_max + 1))
-    finally:
-        rows.unpersist()
-    scores = {k: score for k, _, score in tried if score is not None}
-    if not scores:
-        raise RuntimeError("no k gave at least two clusters")
-    best = max(scores, key=lambda k: (scores[k], -k))
-    kmeans = next(model for k, model, _ in tried if k == best)
-    return Segmenter(PipelineModel([*prefix, kmeans]), best, scores)
+    spark = rfm_table.sparkSession
+    filled = fill_model_features(rfm_table, SEGMENT_FEATURES).select("CustomerID", *SEGMENT_FEATURES)
+    with scratch_scope(spark):
+        mean, spread = _scaling(filled)
+        cells = make_cells(filled.select("CustomerID", *_scaled(filled, mean, spread)), "CustomerID", SEGMENT_FEATURES, depth)
+        wanted = {(k, i): _seeded(cells.sample, k, seed + i) for k in range(k_min, k_max + 1) for i in range(n_init)}
+        names = dict(enumerate(wanted))
+        centres, sums, moving = lloyd(cells, {n: wanted[key] for n, key in names.items()}, max_iter)
+        best = {k: max((n for n, key in names.items() if key[0] == k), key=lambda n: (_compactness(*sums[n]), -n)) for k in range(k_min, k_max + 1)}
+        judged = {k: n for k, n in best.items() if (sums[n][0] > 0).sum() > 1}
+        if not judged:
+            raise RuntimeError("no k gave at least two clusters")
+        scored = silhouettes(cells, {k: centres[n] for k, n in judged.items()})
+    chosen = max(scored, key=lambda k: (scored[k][0], -k))
+    model = judged[chosen]
+    rows = []
+    for centre, size in zip(centres[model] / (1 << UNIT_BITS), sums[model][0]):
+        raw = [float(c * s + m) for c, s, m in zip(centre, spread, mean)]
+        rows.append((*raw, int(size), [float(c) for c in centre], mean, spread))
+    rows.sort(key=lambda row: (-row[2], row[0], row[1]))
+    table = spark.createDataFrame([(n, *row) for n, row in enumerate(rows)], MODEL_SCHEMA)
+    return Segmenter(table, chosen, {k: s for k, (s, _) in scored.items()}, {k: e for k, (_, e) in scored.items()}, model not in moving)
 
 
 def select_k(spark: SparkSession, segmenter: Segmenter) -> DataFrame:
-    rows = [(k, float(s), k == segmenter.k) for k, s in sorted(segmenter.silhouettes.items())]
-    return spark.createDataFrame(rows, "k int, silhouette_sq double, chosen boolean")
+    rows = [(k, float(s), float(segmenter.errors[k]), k == segmenter.k) for k, s in sorted(segmenter.silhouettes.items())]
+    return spark.createDataFrame(rows, "k int, silhouette double, error double, chosen boolean")
 
 
-def model_centroids(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """Cluster centres in raw units, at most k rows.
+def model_centroids(model: DataFrame) -> DataFrame:
+    """Cluster centres in raw units; clusters are numbered by monetary value."""
+    return model.select("cluster", *SEGMENT_FEATURES)
 
-    Fitted ids are arbitrary, so clusters are renumbered by monetary value;
-    ``fitted_id`` keeps the id the model predicts.
-    """
-    scaler, kmeans = model.stages[-2], model.stages[-1]
-    std, mean = scaler.std.toArray(), scaler.mean.toArray()
-    centres = [
-        (i, *[float(v) for v in centre * std + mean]) for i, centre in enumerate(kmeans.clusterCenters())
-    ]
-    centres.sort(key=lambda row: (-row[3], row[0]))
-    return spark.createDataFrame(
-        [(n, *row) for n, row in enumerate(centres)],
-        "cluster int, fitted_id int, Recency double, Frequency double, Monetary double",
-    )
+
+def centre_distances(model: DataFrame) -> Column:
+    """(distance, cluster) of a row to every centre, nearest first; the model has a row for each cluster."""
+    found = []
+    for row in model.collect():
+        scaled = [(money_units(c).cast("double") / UNITS_PER_ONE - m) / s for c, m, s in zip(SEGMENT_FEATURES, row["mean"], row["spread"])]
+        squares = [F.pow(value - centre, 2) for value, centre in zip(scaled, row["centre"])]
+        found.append(F.struct(F.sqrt(sum(squares[1:], squares[0])).alias("distance"), F.lit(row["cluster"]).alias("cluster")))
+    return F.array_sort(F.array(*found))
 
 
 def cluster_centroids(labelled: DataFrame) -> DataFrame:
@@ -172,14 +223,11 @@ def label_personas(labelled: DataFrame, personas: DataFrame, numbered_default: b
     return joined.withColumn("persona", F.coalesce("persona", other))
 
 
-def score_segments(model: PipelineModel, customers: DataFrame) -> DataFrame:
+def score_segments(model: DataFrame, customers: DataFrame) -> DataFrame:
     """Add ``cluster`` and ``persona`` to rows with R, F and M."""
-    spark = customers.sparkSession
-    centres = model_centroids(spark, model)
-    ids = centres.select(F.col("fitted_id").alias("prediction"), "cluster")
-    predicted = model.transform(fill_model_features(customers, SEGMENT_FEATURES))
-    labelled = predicted.join(F.broadcast(ids), "prediction").drop("prediction", "raw_features", "features")
-    return label_personas(labelled, assign_personas(centres))
+    filled = fill_model_features(customers, SEGMENT_FEATURES)
+    labelled = filled.withColumn("cluster", centre_distances(model)[0]["cluster"])
+    return label_personas(labelled, assign_personas(model_centroids(model)))
 
 
 def persona_order_join(summary: DataFrame) -> DataFrame:

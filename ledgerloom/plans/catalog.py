@@ -33,7 +33,7 @@ from ledgerloom.operators import (
 from ledgerloom.params import Params
 from ledgerloom.plans import stages
 from ledgerloom.plans.stages import Layout
-from ledgerloom.schemas import RAW_COLUMNS, RFM_COLUMNS
+from ledgerloom.schemas import RAW_COLUMNS, RFM_COLUMNS, SEGMENT_FEATURES
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import raw as raw_files
 from ledgerloom.sources import stages as stage_files
@@ -762,17 +762,36 @@ def _segmenter(spark: SparkSession, folder: str):
 
 @query
 def fit_segmenter(spark, folder):
-    return segments.model_centroids(spark, _segmenter(spark, folder).model)
+    """What holds for any fit: every customer is in a cluster, and a settled centre is the mean of its members."""
+    table_ = rfm_table(spark, folder)
+    found = segments.fit_segmenter(table_)
+    means = segments.cluster_centroids(segments.score_segments(found.model, table_)).withColumnsRenamed({c: f"mean_{c}" for c in SEGMENT_FEATURES})
+    near = [F.abs(F.col(f"mean_{c}") - F.col(c)) <= 1e-4 * (1 + F.abs(F.col(c))) for c in SEGMENT_FEATURES]
+    off = F.count_if(~(near[0] & near[1] & near[2]) | F.col("mean_Recency").isNull())
+    judged = found.model.where("size > 0").join(means, "cluster", "left").agg(F.sum("size").alias("n_in_clusters"), off.alias("off_centre"))
+    return judged.withColumn("settled", F.lit(found.converged)).join(table_.agg(F.count(F.lit(1)).alias("n_customers")))
 
 
 @query
 def select_k(spark, folder):
-    return segments.select_k(spark, _segmenter(spark, folder))
+    tried = segments.select_k(spark, _segmenter(spark, folder))
+    scored = F.col("silhouette").between(-1, 1) & (F.col("error") <= 0.01)
+    first = F.max_by("k", F.struct("silhouette", -F.col("k"))).over(Window.partitionBy())
+    return tried.select("k", scored.alias("scored"), (F.col("chosen") == (F.col("k") == first)).alias("best_is_chosen"))
 
 
 @query
 def score_segments(spark, folder):
-    return segments.score_segments(_segmenter(spark, folder).model, rfm_table(spark, folder))
+    """Each customer's cluster against the centres, row by row."""
+    model = _segmenter(spark, folder).model
+    scored = segments.score_segments(model, rfm_table(spark, folder))
+    # At most k_max rows.
+    centres = F.broadcast(model.select(F.col("cluster").alias("other"), F.arrays_zip("centre", "mean", "spread").alias("axes")))
+    point = F.array(*[F.col(c).cast("double") for c in SEGMENT_FEATURES])
+    gaps = F.zip_with(point, "axes", lambda x, a: F.pow((x - a["mean"]) / a["spread"] - a["centre"], 2))
+    apart = scored.join(centres, how="cross").withColumn("gap", F.aggregate(gaps, F.lit(0.0), lambda t, g: t + g))
+    own = F.min(F.when(F.col("other") == F.col("cluster"), F.col("gap")))
+    return apart.groupBy("CustomerID").agg((own <= F.min("gap") + 1e-9).alias("nearest"), F.count_distinct("persona").alias("personas"))
 
 
 @query

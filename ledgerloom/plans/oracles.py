@@ -592,6 +592,9 @@ SPECS: dict[str, str] = {
                      CAST(CASE WHEN CustomerID % 9 = 4 THEN 2 WHEN CustomerID % 9 = 5 THEN 0 ELSE is_uk END AS INTEGER) AS is_uk,
                      0.0::DOUBLE AS avg_basket_size, 0 AS unique_products, 0.0::DOUBLE AS avg_days_between
               FROM churn)""",
+    "fit_segmenter": "SELECT count(*) AS n_customers, count(*) AS n_in_clusters, 0::BIGINT AS off_centre, true AS settled FROM rfm",
+    "select_k": "SELECT CAST(unnest(range(4, 9)) AS INTEGER) AS k, true AS scored, true AS best_is_chosen",
+    "score_segments": "SELECT CustomerID, true AS nearest, 1::BIGINT AS personas FROM rfm",
     "cluster_centroids": "SELECT * FROM centroids",
     "assign_personas": "SELECT * FROM personas",
     "label_personas": """

@@ -122,12 +122,13 @@ def train_churn(spark: SparkSession, layout: Layout, params: Params) -> dict:
 def train_segmentation(spark: SparkSession, layout: Layout, params: Params) -> dict:
     table = layout.need(spark, "rfm", "features")
     found = segments.fit_segmenter(table, params.k_min, params.k_max, params.n_init, params.seed)
-    save_model(found.model, layout.at("models/segmenter"))
-    write_stage(segments.score_segments(found.model, table), layout.at("segments"))
+    write_stage(found.model, layout.at("models/segmenter"))
+    model = read_stage(spark, layout.at("models/segmenter"))
+    write_stage(segments.score_segments(model, table), layout.at("segments"))
     labelled = read_stage(spark, layout.at("segments"))
     write_stage(segments.persona_summary(labelled), layout.at("persona_summary"))
-    scores = {f"silhouette_sq_k{k}": s for k, s in found.silhouettes.items()}
-    return {"best_k": found.k, "silhouette": found.silhouette_sq, "silhouette_sq": found.silhouette_sq, **scores}
+    scores = {f"silhouette_k{k}": s for k, s in found.silhouettes.items()}
+    return {"best_k": found.k, "silhouette": found.silhouette, "silhouette_error": found.errors[found.k], **scores}
 
 
 def train_inventory(spark: SparkSession, layout: Layout, params: Params) -> dict:

@@ -47,16 +47,16 @@ def blobs(spark):
 
 
 def test_three_blobs_and_scoring(spark, blobs, tmp_path):
-    from ledgerloom.sources.stages import load_model, save_model
+    from ledgerloom.sources.stages import read_stage, write_stage
 
     found = segments.fit_segmenter(blobs, 3, 5, n_init=2)
-    assert found.k == 3 and found.silhouette_sq > 0.3
+    assert found.k == 3 and found.silhouette > 0.3 and found.converged
     chosen = segments.select_k(spark, found).where("chosen").collect()
     assert [r["k"] for r in chosen] == [3]
     again = segments.fit_segmenter(blobs.repartition(7), 3, 5, n_init=2)
-    assert again.silhouettes == found.silhouettes
-    save_model(found.model, str(tmp_path / "m"))
-    scored = segments.score_segments(load_model(str(tmp_path / "m")), blobs)
+    assert again.silhouettes == found.silhouettes and again.model.collect() == found.model.collect()
+    write_stage(found.model, str(tmp_path / "m"))
+    scored = segments.score_segments(read_stage(spark, str(tmp_path / "m")), blobs)
     sizes = {r["cluster"]: r["count"] for r in scored.groupBy("cluster").count().collect()}
     assert sizes == {0: 50, 1: 50, 2: 50}
     top = scored.where("CustomerID = 0").first()
@@ -66,6 +66,14 @@ def test_three_blobs_and_scoring(spark, blobs, tmp_path):
     assert tuple(segments.segment_headline(scored).first()) == (150, 3, 3)
 
 
+def test_customers_that_are_all_alike(spark):
+    rows = spark.createDataFrame([(i, 1.0, 1.0, 1.0) for i in range(9)], "CustomerID bigint, Recency double, Frequency double, Monetary double")
+    with pytest.raises(RuntimeError, match="two clusters"):
+        segments.fit_segmenter(rows, 2, 3, n_init=2)
+    with pytest.raises(RuntimeError, match="no customers"):
+        segments.fit_segmenter(rows.limit(0), 2, 3)
+
+
 def test_unmapped_cluster_defaults(spark):
     rows = spark.createDataFrame([(7, 1)], "cluster int, CustomerID bigint")
     nobody = spark.createDataFrame([], "cluster int, persona string")
