@@ -9,7 +9,7 @@ cell. What reaches the driver is one row for each cell.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +72,7 @@ class Cells:
     total: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    fetched: dict[int, np.ndarray] = field(default_factory=dict)  # points of some cells, SAMPLE_ROWS of them at most
 
 
 def _matrix(rows: list, names: Sequence[str]) -> np.ndarray:
@@ -111,64 +112,104 @@ def owners(low: np.ndarray, high: np.ndarray, centres: np.ndarray) -> np.ndarray
     """For each box the centre that is nearest to all of it, or -1.
 
     A centre loses to another one on the whole box if it loses at the corner
-    that lies furthest towards it.
+    that lies furthest towards it. Boxes of one point always have an owner.
     """
-    best = nearest((low + high) / 2, centres)
-    owned = np.ones(len(low), bool)
-    for other in range(len(centres)):
-        towards = centres[other] > centres[best]
-        corner = np.where(towards, high, low)
-        gap = ((corner - centres[other]) ** 2).sum(axis=1) - ((corner - centres[best]) ** 2).sum(axis=1)
-        owned &= (best == other) | (gap > 0)
-    return np.where(owned, best, -1)
+    middle = (low + high) / 2
+    best = nearest(middle, centres)
+    wide = np.flatnonzero((high > low).any(axis=1))
+    if not len(wide) or len(centres) == 1:
+        return best
+    apart = centres[None, :, :] - centres[best[wide]][:, None, :]
+    corner = np.where(apart > 0, high[wide][:, None, :], low[wide][:, None, :])
+    # |corner - other|^2 - |corner - best|^2, at the corner that favours the other one most
+    gap = (apart * (apart - 2 * (corner - centres[best[wide]][:, None, :]))).sum(axis=2)
+    gap[np.arange(len(wide)), best[wide]] = np.inf
+    best[wide[gap.min(axis=1) <= 0]] = -1
+    return best
+
+
+def summed(cluster: np.ndarray, k: int, counts: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and whole-number totals added up by cluster."""
+    member = (cluster[None, :] == np.arange(k)[:, None]).astype(np.int64)
+    return member @ counts, member @ totals
 
 
 def cell_sums(cells: Cells, models: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """(count, sum of coordinates) of every cluster of every model, in one job for all models.
 
     Cells that lie wholly with one centre give their sums; only points of other
-    cells are read, and not at all where there is none.
+    cells are read. Points of cells that stay open from one iteration to the
+    next are kept on the driver where they are few (as many as the sample), so
+    that late iterations need no job.
     """
-    width, found, open_cells = len(cells.columns), {}, {}
+    found, open_cells = {}, {}
     for model, centres in models.items():
         owner = owners(cells.low, cells.high, centres)
-        counts, totals = np.zeros(len(centres), np.int64), np.zeros((len(centres), width), np.int64)
         mine = owner >= 0
-        np.add.at(counts, owner[mine], cells.count[mine])
-        np.add.at(totals, owner[mine], cells.total[mine])
-        found[model] = (counts, totals)
+        found[model] = summed(owner[mine], len(centres), cells.count[mine], cells.total[mine])
         if not mine.all():
-            flags = np.zeros(1 << cells.tree.depth, bool)
-            flags[cells.cell[~mine]] = True
-            open_cells[model] = flags
-    if not open_cells:
-        return found
-    wanted = np.flatnonzero(np.logical_or.reduce(list(open_cells.values())))
-    columns = cells.columns
+            open_cells[model] = ~mine
+    if open_cells:
+        wanted = np.flatnonzero(np.logical_or.reduce(list(open_cells.values())))
+        parts = _driver_sums if _fetch(cells, wanted) else _job_sums
+        for model, cluster, n, total in parts(cells, models, open_cells, wanted):
+            found[model][0][cluster] += n
+            found[model][1][cluster] += total
+    return found
+
+
+def _fetch(cells: Cells, wanted: np.ndarray) -> bool:
+    """Bring the points of these cells to the driver, unless all it would hold are more than the sample."""
+    new = [int(i) for i in wanted if int(i) not in cells.fetched]
+    if cells.count[wanted].sum() > SAMPLE_ROWS:
+        return False
+    if sum(map(len, cells.fetched.values())) + cells.count[new].sum() > SAMPLE_ROWS:
+        cells.fetched.clear()
+        new = [int(i) for i in wanted]
+    if new:
+        at = cells.points.where(F.col("cell").isin([int(cells.cell[i]) for i in new])).select("cell", *cells.columns).toArrow()
+        where, points = at.column("cell").to_numpy(), np.column_stack([at.column(c).to_numpy() for c in cells.columns])
+        cells.fetched.update({i: points[where == cells.cell[i]] for i in new})
+    return True
+
+
+Sums = Iterator[tuple[int, int, int, np.ndarray]]
+
+
+def _driver_sums(cells: Cells, models: dict[int, np.ndarray], open_cells: dict[int, np.ndarray], wanted: np.ndarray) -> Sums:
+    for model, flags in open_cells.items():
+        rows = np.concatenate([cells.fetched[int(i)] for i in np.flatnonzero(flags)])
+        k = len(models[model])
+        counts, totals = summed(nearest(rows, models[model]), k, np.ones(len(rows), np.int64), rows)
+        yield from zip([model] * k, range(k), counts, totals)
+
+
+def _job_sums(cells: Cells, models: dict[int, np.ndarray], open_cells: dict[int, np.ndarray], wanted: np.ndarray) -> Sums:
+    columns, width = cells.columns, len(cells.columns)
+    flags_of = {}
+    for model, flags in open_cells.items():
+        flags_of[model] = np.zeros(1 << cells.tree.depth, bool)
+        flags_of[model][cells.cell[flags]] = True
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {m: np.zeros(len(models[m]), np.int64) for m in open_cells}
-        totals = {m: np.zeros((len(models[m]), width), np.int64) for m in open_cells}
+        sums = {m: [np.zeros(len(models[m]), np.int64), np.zeros((len(models[m]), width), np.int64)] for m in flags_of}
         for batch in batches:
             at, where = np.column_stack([batch.column(c).to_numpy() for c in columns]), batch.column("cell").to_numpy()
-            for model, flags in open_cells.items():
+            for model, flags in flags_of.items():
                 rows = at[flags[where]]
                 if len(rows):
-                    cluster = nearest(rows, models[model])
-                    counts[model] += np.bincount(cluster, minlength=len(counts[model]))
-                    np.add.at(totals[model], cluster, rows)
+                    counts, totals = summed(nearest(rows, models[model]), len(models[model]), np.ones(len(rows), np.int64), rows)
+                    sums[model][0] += counts
+                    sums[model][1] += totals
         names = ["model", "cluster", "n", *columns]
-        rows = [(m, c, int(counts[m][c]), *map(int, totals[m][c])) for m in open_cells for c in range(len(counts[m])) if counts[m][c]]
+        rows = [(m, c, int(n), *map(int, total)) for m, (counts, totals) in sums.items() for c, (n, total) in enumerate(zip(counts, totals)) if n]
         yield pa.record_batch([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names=names)
 
     # At most cells of the tree in this list.
-    near = cells.points.where(F.col("cell").isin([int(c) for c in wanted])).select("cell", *columns)
+    near = cells.points.where(F.col("cell").isin([int(c) for c in cells.cell[wanted]])).select("cell", *columns)
     parts = near.mapInArrow(partial, ", ".join(f"{c} bigint" for c in ("model", "cluster", "n", *columns)))
     for row in parts.groupBy("model", "cluster").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in columns]).collect():
-        counts, totals = found[row["model"]]
-        counts[row["cluster"]] += row["n"]
-        totals[row["cluster"]] += np.array([row[c] for c in columns], np.int64)
-    return found
+        yield row["model"], row["cluster"], row["n"], np.array([row[c] for c in columns], np.int64)
 
 
 @dataclass(frozen=True)

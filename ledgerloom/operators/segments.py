@@ -15,7 +15,7 @@ from ledgerloom.functions.numbers import UNITS_PER_ONE, money_mean, money_sum, m
 from ledgerloom.operators.cells import UNIT_BITS, Cells, cell_sums, make_cells, nearest, silhouettes
 from ledgerloom.operators.customers import fill_model_features
 from ledgerloom.schemas import SEGMENT_FEATURES
-from ledgerloom.session import scratch_scope
+from ledgerloom.session import cut_lineage, scratch_scope
 
 # Persona names in display and fallback order.
 PERSONAS = ["Champions", "Loyal Customers", "Regular", "At Risk", "Hibernating"]
@@ -119,8 +119,8 @@ def fit_segmenter(
     Starting centres come from a bounded sample.
     """
     spark = rfm_table.sparkSession
-    filled = fill_model_features(rfm_table, SEGMENT_FEATURES).select("CustomerID", *SEGMENT_FEATURES)
     with scratch_scope(spark):
+        filled = cut_lineage(fill_model_features(rfm_table, SEGMENT_FEATURES).select("CustomerID", *SEGMENT_FEATURES))
         mean, spread = _scaling(filled)
         cells = make_cells(filled.select("CustomerID", *_scaled(filled, mean, spread)), "CustomerID", SEGMENT_FEATURES, depth)
         wanted = {(k, i): _seeded(cells.sample, k, seed + i) for k in range(k_min, k_max + 1) for i in range(n_init)}

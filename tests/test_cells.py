@@ -34,8 +34,10 @@ def test_cells_hold_every_point(laid_out):
         assert found.count[at] == len(inside) and (found.low[at] == inside.min(axis=0)).all() and (found.high[at] == inside.max(axis=0)).all()
 
 
-def test_one_job_serves_all_models(laid_out):
+@pytest.mark.parametrize("on_driver", [0, cells.SAMPLE_ROWS])
+def test_one_job_serves_all_models(laid_out, monkeypatch, on_driver):
     points, found = laid_out
+    monkeypatch.setattr(cells, "SAMPLE_ROWS", on_driver)
     draw = np.random.default_rng(1)
     models = {k: points[draw.choice(len(points), k, replace=False)].astype(float) for k in (1, 2, 5, 8)}
     for _ in range(4):
