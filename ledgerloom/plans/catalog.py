@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.functions import dates, numbers, retail, text
+from ledgerloom.functions import dates, holidays, numbers, retail, text
 from ledgerloom.operators import (
     churn,
     cleaning,
@@ -34,7 +34,7 @@ from ledgerloom.params import Params
 from ledgerloom.plans import stages
 from ledgerloom.plans.stages import Layout
 from ledgerloom.schemas import RAW_COLUMNS, RFM_COLUMNS, SEGMENT_FEATURES
-from ledgerloom.session import scratch_path
+from ledgerloom.session import cut_lineage, scratch_path
 from ledgerloom.sources import raw as raw_files
 from ledgerloom.sources import stages as stage_files
 from ledgerloom.sources.star import event_purchases, star_transactions, table
@@ -689,43 +689,59 @@ def _churn_model(spark: SparkSession, folder: str):
     return split, churn.fit_churn(split.where(~F.col("is_test")))
 
 
+def _what_holds(compared: DataFrame) -> DataFrame:
+    """Sizes of both sides and the churn rate, and whether every metric is a share."""
+    shares = [F.col(c).between(0.0, 1.0) for c in ("auc_roc", "accuracy", "precision", "recall", "f1")]
+    better = F.col("auc_roc") > 0.5
+    return compared.select("model", "n_train", "n_test", numbers.half_even("churn_rate", 9).alias("churn_rate"), (shares[0] & shares[1] & shares[2] & shares[3] & shares[4]).alias("in_range"), better.alias("beats_chance"))
+
+
 @query
 def fit_churn(spark, folder):
     split, model = _churn_model(spark, folder)
-    return churn.evaluate_churn(model, split)
+    return _what_holds(churn.evaluate_churn(model, split))
 
 
 @query
 def score_churn(spark, folder):
+    """Every customer has a probability, and is predicted to churn from one half on."""
     split, model = _churn_model(spark, folder)
-    return churn.score_churn(model, split)
+    p = F.col("churn_probability")
+    return churn.score_churn(model, split).select("CustomerID", "churned", p.between(0.0, 1.0).alias("in_range"), (F.col("predicted_churn") == (p >= 0.5)).alias("follows_cutoff"))
 
 
 @query
 def save_and_load_model(spark, folder):
+    """Scores of the loaded model against those of the fitted one."""
     split, model = _churn_model(spark, folder)
     path = scratch_path(spark, "model")
     stage_files.save_model(model, path)
-    return churn.score_churn(stage_files.load_model(path), split.where("is_test"))
+    kept, loaded = (churn.score_churn(m, split).select("CustomerID", F.col("churn_probability").alias(name)) for m, name in ((model, "kept"), (stage_files.load_model(path), "loaded")))
+    return kept.join(loaded, "CustomerID").agg(F.count(F.lit(1)).alias("customers"), F.count_if(F.col("kept") != F.col("loaded")).alias("differing"))
 
 
 @query
 def feature_importance(spark, folder):
     _, model = _churn_model(spark, folder)
-    return churn.feature_importance(model, spark)
+    total = F.sum("importance").over(Window.partitionBy())
+    return churn.feature_importance(model, spark).select("feature", F.col("importance").between(0.0, 1.0).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("adds_up"))
 
 
 @query
 def importance_sort(spark, folder):
+    """Ranks of the sorted rows; the label follows from recency, so that feature leads."""
     _, model = _churn_model(spark, folder)
-    return churn.importance_sort(churn.feature_importance(model, spark))
+    ordered = churn.importance_sort(churn.feature_importance(model, spark))
+    before = F.lag("importance").over(Window.orderBy("place"))
+    placed = ordered.withColumn("place", F.monotonically_increasing_id())
+    return placed.select("feature", F.coalesce(before >= F.col("importance"), F.col("feature") == "Recency").alias("in_order"))
 
 
 @query
 def compare_challenger(spark, folder):
     split, model = _churn_model(spark, folder)
     other = churn.fit_challenger(split.where(~F.col("is_test")))
-    return churn.compare_challenger({"gbt": model, "forest": other}, split)
+    return _what_holds(churn.compare_challenger({"gbt": model, "forest": other}, split))
 
 
 @query
@@ -871,17 +887,52 @@ def holdout_tail(spark, folder):
     )
 
 
+@query
+def holiday_calendar(spark, folder):
+    """Holidays of three countries over the years of the orders."""
+    first, last = table(spark, folder, "orders").agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    found = [holidays.holiday_calendar(spark, country, date(first.year, 1, 1), date(last.year, 12, 31)) for country in ("UK", "US", "DE")]
+    return found[0].union(found[1]).union(found[2])
+
+
+@query
+def series_sums(spark, folder):
+    """Sums of the country series, the last 100 days added to stored sums of the days before."""
+    frame = cut_lineage(_country_series(spark, folder))
+    cut = frame.agg(F.date_sub(F.max("ds"), 100)).first()[0]
+    spec = forecast.ForecastSpec(weekly_order=1, changepoints=2, holidays_country=None)
+    stored = cut_lineage(forecast.series_sums(frame.where(F.col("ds") <= cut), [spec]))
+    sums = forecast.add_days(stored, frame.where(F.col("ds") > cut), [spec])
+    # Four trend terms (1, t, hinges at 0.4 and 0.8) by three seasonal ones (1, sine, cosine).
+    picked = {"total": 0, "week_sine": 1, "with_time": 3, "with_hinge": 6, "hinge_week_cosine": 11}
+    return sums.select("series_key", "first_day", "newest", "basis_days", "n_days", "largest", *[numbers.half_even(F.col("products")[at], 0).alias(name) for name, at in picked.items()])
+
+
 @query
 def fit_forecaster(spark, folder):
-    return forecast.fit_forecaster(_country_series(spark, folder)).select(
-        "series_key", "setting", "mode", "first_day", "last_day", "n_days", "resid_low", "resid_high"
-    )
+    """Fits by country, and the equation of the level: residuals, weighed by the season, add up to nothing."""
+    frame = _country_series(spark, folder)
+    spec = forecast.ForecastSpec()
+    models = cut_lineage(forecast.fit_forecaster(frame, spec))
+    known = forecast.predict_demand(models, 1, spec, include_history=True).where("is_history").select("series_key", "ds", "yhat")
+    season = models.select("series_key", "gamma")
+    rows = frame.join(known, ["series_key", "ds"]).join(season, "series_key")
+    lift = 1.0 + F.aggregate(F.zip_with(F.array(*forecast.seasonal_terms(F.col("ds"), spec)), "gamma", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
+    checked = rows.groupBy("series_key").agg((F.abs(F.sum((F.col("y") - F.col("yhat")) * lift)) < 1e-4 * F.sum(F.abs("y"))).alias("level_balanced"))
+    return models.join(checked, "series_key").select("series_key", "setting", "mode", "fit", "reason", "first_day", "last_day", "n_days", "level_balanced")
+
+
+def _banded(forecasts: DataFrame) -> DataFrame:
+    """Keys, whether the forecast lies in its band, and whether the band is as wide as on the first day."""
+    width = F.col("yhat_upper") - F.col("yhat_lower")
+    first = F.first(width).over(Window.partitionBy("series_key").orderBy("ds"))
+    return forecasts.select("series_key", "ds", F.col("yhat").between(F.col("yhat_lower"), F.col("yhat_upper")).alias("in_band"), (width >= first * (1 - 1e-6)).alias("no_narrower"))
 
 
 @query
 def predict_demand(spark, folder):
     models = forecast.fit_forecaster(_country_series(spark, folder))
-    return forecast.predict_demand(models, 30)
+    return _banded(forecast.predict_demand(models, 30))
 
 
 @query
@@ -889,17 +940,22 @@ def forecast_tail(spark, folder):
     frame = _country_series(spark, folder)
     models = forecast.fit_forecaster(frame)
     full = forecast.predict_demand(models, 45, include_history=True)
-    return forecast.forecast_tail(full, frame, 14)
+    return _banded(forecast.forecast_tail(full, frame, 14))
+
+
+def _judged(evaluated: DataFrame) -> DataFrame:
+    """Keys, days and reasons, and whether an evaluated series has metrics."""
+    return evaluated.withColumn("scored", F.coalesce((F.col("mape") > 0) & (F.col("rmse") > 0), F.lit(False))).drop("mape", "rmse")
 
 
 @query
 def evaluate_forecaster(spark, folder):
-    return forecast.evaluate_forecaster(_country_series(spark, folder))
+    return _judged(forecast.evaluate_forecaster(_country_series(spark, folder)))
 
 
 @query
 def forecast_grid(spark, folder):
-    return forecast.forecast_grid(_country_series(spark, folder))
+    return _judged(forecast.forecast_grid(_country_series(spark, folder)))
 
 
 @query
@@ -993,10 +1049,14 @@ def _trained(spark: SparkSession, folder: str) -> Layout:
 
 @query
 def run_train(spark, folder):
+    """Metrics of the logged runs that follow from the tables, and the names of the others."""
     layout = _trained(spark, folder)
-    return runs.read_runs(spark, layout.at("runs")).select("model", F.explode("metrics").alias("metric", "value"))
+    logged = runs.read_runs(spark, layout.at("runs")).select("model", F.explode("metrics").alias("metric", "value"))
+    given = (F.col("model") == "inventory") | F.col("metric").isin("n_train", "n_test", "churn_rate", "holdout_days", "n_days")
+    return logged.select("model", "metric", F.when(given, numbers.half_even("value", 6)).alias("value"))
 
 
 @query
 def run_promote(spark, folder):
-    return stages.run_promote(spark, _trained(spark, folder)).select("model", "metric", "value")
+    promoted = stages.run_promote(spark, _trained(spark, folder))
+    return promoted.select("model", "metric", F.when(F.col("model") == "inventory", F.col("value")).alias("value"))

@@ -356,6 +356,63 @@ SCORED_COUNTS = """
            count(*) FILTER (WHERE churned = 1 AND churn_probability < 0.5) AS fn,
            count(*) AS n FROM scored
 """
+FEATURES = (
+    "(VALUES ('Recency'), ('Frequency'), ('Monetary'), ('avg_basket_size'), ('unique_products'), "
+    "('avg_days_between'), ('is_uk')) f(feature)"
+)
+MODEL_ROWS = """
+    SELECT model, n - t AS n_train, t AS n_test, round_even(churners / n * 1e9, 0) / 1e9 AS churn_rate, true AS in_range, true AS beats_chance
+    FROM (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(ceil(count(*) * 0.2) AS DOUBLE) AS t, CAST(sum(churned) AS DOUBLE) AS churners FROM churn),
+         (VALUES {models}) m(model)"""
+# Easter by another rule than the library's: the Sunday after the full moon that follows from the year's epact.
+EASTER = """
+    SELECT y, full_moon + CAST(7 - isodow(full_moon) % 7 AS INTEGER) AS easter
+    FROM (SELECT y, make_date(y, 4, 19) - CAST(e AS INTEGER) AS full_moon
+          FROM (SELECT y, CASE WHEN epact = 0 OR (epact = 1 AND y % 19 > 10) THEN epact + 1 ELSE epact END AS e
+                FROM (SELECT y, (14 + 11 * (y % 19) - (3 * c) // 4 + (5 + 8 * c) // 25 + 3000) % 30 AS epact
+                      FROM (SELECT y, y // 100 + 1 AS c FROM years))))"""
+HOLIDAYS = f"""
+    , years AS (SELECT CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS y FROM (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders)),
+    easters AS ({EASTER})
+    SELECT c AS country, make_date(y, 1, 1) AS ds, 'NewYearsDay' AS holiday FROM years, (VALUES ('UK'), ('US'), ('DE')) v(c)
+    UNION ALL SELECT c, make_date(y, 12, 25), 'ChristmasDay' FROM years, (VALUES ('UK'), ('US'), ('DE')) v(c)
+    UNION ALL SELECT 'UK', CASE WHEN isodow(make_date(y, 12, 26)) = 7 THEN make_date(y, 12, 27) ELSE make_date(y, 12, 26) END, 'BoxingDay' FROM years
+    UNION ALL SELECT 'UK', easter - 2, 'GoodFriday' FROM easters
+    UNION ALL SELECT 'UK', easter + 1, 'EasterMonday' FROM easters
+    UNION ALL SELECT 'US', make_date(y, 7, 4), 'IndependenceDay' FROM years
+    UNION ALL SELECT 'US', d, 'Thanksgiving' FROM (SELECT make_date(y, 11, CAST(unnest(range(22, 29)) AS INTEGER)) AS d FROM years) WHERE isodow(d) = 4
+    UNION ALL SELECT 'DE', make_date(y, 5, 1), 'LabourDay' FROM years
+    UNION ALL SELECT 'DE', make_date(y, 10, 3), 'GermanUnity' FROM years"""
+SERIES_DAYS = "SELECT Country AS series_key, max(InvoiceDate) AS last_day, count(*) AS n_days, min(InvoiceDate) AS first_day FROM daily_country GROUP BY Country"
+
+
+def ahead(days: int) -> str:
+    return f"SELECT series_key, CAST(unnest(generate_series(last_day + INTERVAL 1 DAY, last_day + INTERVAL {days} DAY, INTERVAL 1 DAY)) AS DATE) AS ds, true AS in_band, true AS no_narrower FROM ({SERIES_DAYS})"
+
+
+GRID_SETTINGS = (
+    "(VALUES ('yearly=false order=10 mode=multiplicative'), ('yearly=true order=10 mode=additive'), "
+    "('yearly=true order=5 mode=multiplicative'), ('yearly=false order=0 mode=additive')) g(setting)"
+)
+JUDGED = "30::BIGINT AS holdout_days, n_days, CAST(NULL AS VARCHAR) AS reason, true AS scored"
+SERIES_SUMS = f"""
+    SELECT series_key, min(ds) AS first_day, max(ds) AS newest, CAST(max(basis) AS INTEGER) AS basis_days, count(*) AS n_days, max(abs(y)) AS largest,
+           {even('sum(y)', 0)} AS total, {even('sum(y * sin(2 * pi() * n / 7))', 0)} AS week_sine, {even('sum(y * t)', 0)} AS with_time,
+           {even('sum(y * greatest(t - 0.4::DOUBLE, 0))', 0)} AS with_hinge, {even('sum(y * greatest(t - 0.8::DOUBLE, 0) * cos(2 * pi() * n / 7))', 0)} AS hinge_week_cosine
+    FROM (SELECT series_key, ds, y, basis, date_diff('day', DATE '1970-01-01', ds) AS n, CAST(date_diff('day', first_day, ds) AS DOUBLE) / (basis - 1) AS t
+          FROM (SELECT Country AS series_key, InvoiceDate AS ds, Revenue AS y, min(InvoiceDate) OVER (PARTITION BY Country) AS first_day,
+                       count(*) FILTER (WHERE InvoiceDate <= (SELECT max(InvoiceDate) FROM daily_country) - INTERVAL 100 DAY) OVER (PARTITION BY Country) AS basis
+                FROM daily_country))
+    GROUP BY series_key"""
+TRAINED = f"""
+    SELECT 'inventory' AS model, metric, {even('value', 6)} AS value FROM (UNPIVOT ({{inventory}}) ON COLUMNS(*) INTO NAME metric VALUE value)
+    UNION ALL SELECT 'churn', metric, CASE metric WHEN 'n_train' THEN n - t WHEN 'n_test' THEN t WHEN 'churn_rate' THEN {even('churners / n', 6)} END
+    FROM (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(ceil(count(*) * 0.2) AS DOUBLE) AS t, CAST(sum(churned) AS DOUBLE) AS churners FROM churn),
+         (VALUES ('n_train'), ('n_test'), ('churn_rate'), ('auc_roc'), ('accuracy'), ('precision'), ('recall'), ('f1')) m(metric)
+    UNION ALL SELECT 'forecasting', metric, CASE metric WHEN 'holdout_days' THEN 30 WHEN 'n_days' THEN (SELECT count(*) FROM daily) END
+    FROM (VALUES ('mape'), ('rmse'), ('holdout_days'), ('n_days')) m(metric)
+    UNION ALL SELECT 'segmentation', metric, NULL
+    FROM (VALUES ('best_k'), ('silhouette'), ('silhouette_error'), ('silhouette_k4'), ('silhouette_k5'), ('silhouette_k6'), ('silhouette_k7'), ('silhouette_k8')) m(metric)"""
 AUC = """
     (SELECT CAST(SUM(CASE WHEN a.churn_probability > b.churn_probability THEN 2
                           WHEN a.churn_probability = b.churn_probability THEN 1 ELSE 0 END) AS DOUBLE) / 2 / count(*)
@@ -592,6 +649,12 @@ SPECS: dict[str, str] = {
                      CAST(CASE WHEN CustomerID % 9 = 4 THEN 2 WHEN CustomerID % 9 = 5 THEN 0 ELSE is_uk END AS INTEGER) AS is_uk,
                      0.0::DOUBLE AS avg_basket_size, 0 AS unique_products, 0.0::DOUBLE AS avg_days_between
               FROM churn)""",
+    "fit_churn": MODEL_ROWS.format(models="('gbt')"),
+    "compare_challenger": MODEL_ROWS.format(models="('gbt'), ('forest')"),
+    "score_churn": "SELECT CustomerID, churned, true AS in_range, true AS follows_cutoff FROM churn",
+    "save_and_load_model": "SELECT count(*) AS customers, 0::BIGINT AS differing FROM churn",
+    "feature_importance": f"SELECT feature, true AS in_range, true AS adds_up FROM {FEATURES}",
+    "importance_sort": f"SELECT feature, true AS in_order FROM {FEATURES}",
     "fit_segmenter": "SELECT count(*) AS n_customers, count(*) AS n_in_clusters, 0::BIGINT AS off_centre, true AS settled FROM rfm",
     "select_k": "SELECT CAST(unnest(range(4, 9)) AS INTEGER) AS k, true AS scored, true AS best_is_chosen",
     "score_segments": "SELECT CustomerID, true AS nearest, 1::BIGINT AS personas FROM rfm",
@@ -634,6 +697,17 @@ SPECS: dict[str, str] = {
         FROM (SELECT Country, InvoiceDate, InvoiceDate > max(InvoiceDate) OVER (PARTITION BY Country) - INTERVAL 30 DAY AS is_test,
                      count(*) OVER (PARTITION BY Country) AS n_days FROM daily_country)
         GROUP BY Country, is_test, n_days""",
+    "holiday_calendar": HOLIDAYS,
+    "series_sums": SERIES_SUMS,
+    "fit_forecaster": f"SELECT series_key, 'default' AS setting, 'multiplicative' AS mode, 'full' AS fit, CAST(NULL AS VARCHAR) AS reason, first_day, last_day, n_days, true AS level_balanced FROM ({SERIES_DAYS})",
+    "predict_demand": ahead(30),
+    "forecast_tail": ahead(14),
+    "evaluate_forecaster": f"SELECT series_key, {JUDGED} FROM ({SERIES_DAYS})",
+    "forecast_grid": f"SELECT series_key, setting, {JUDGED} FROM ({SERIES_DAYS}), {GRID_SETTINGS}",
+    "run_train": TRAINED.format(inventory=INVENTORY_METRICS),
+    "run_promote": """
+        SELECT model, metric, CASE WHEN model = 'inventory' THEN (SELECT CAST(count(*) AS DOUBLE) FROM inventory) END AS value
+        FROM (VALUES ('forecasting', 'mape'), ('churn', 'auc_roc'), ('segmentation', 'silhouette'), ('inventory', 'n_skus')) m(model, metric)""",
     "forecast_metrics": f"""
         SELECT series_key, {even('avg(abs((y - yhat) / y)) FILTER (WHERE y <> 0)', 6)} AS mape,
                {even('sqrt(avg((y - yhat) * (y - yhat)))', 6)} AS rmse, count(*) AS holdout_days FROM naive GROUP BY series_key""",

@@ -91,7 +91,7 @@ def train_forecasting(spark: SparkSession, layout: Layout, params: Params) -> di
     spec = spec_from(params)
     frame = forecast.prepare_series(layout.need(spark, "daily_revenue", "features"))
     forecast.require_history(frame, params.holdout_days)
-    metrics = _first_row(forecast.evaluate_forecaster(frame, spec, params.holdout_days), "series_key")
+    metrics = _first_row(forecast.evaluate_forecaster(frame, spec, params.holdout_days), "series_key", "reason")
     write_stage(forecast.fit_forecaster(frame, spec), layout.at("models/forecaster"))
     models = read_stage(spark, layout.at("models/forecaster"))
     write_stage(forecast.predict_demand(models, params.horizon_days, spec), layout.at("forecast"))
