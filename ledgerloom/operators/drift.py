@@ -4,19 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerloom.checks import check_fraction, require_columns
-from ledgerloom.operators.prefix import row_numbers, running_totals
+from ledgerloom.functions.tails import chi_square_tail, kolmogorov_tail
+from ledgerloom.operators.prefix import running_totals
+from ledgerloom.operators.selection import Cut, chronological_cut
 
 NUMERIC_METHOD = "Wasserstein distance (normed)"
 CATEGORICAL_METHOD = "Jensen-Shannon distance"
+NUMERIC_TEST = "K-S p_value"
+CATEGORICAL_TEST = "chi-square p_value"
 NUMERIC_COLUMNS = ("Quantity", "UnitPrice", "TotalPrice", "Hour")
 CATEGORICAL_COLUMNS = ("Country", "DayOfWeek")
 
 
+def split_cut(
+    df: DataFrame, fraction: float = 0.7, date_column: str = "InvoiceDate", tie_break: Sequence[str] = ("InvoiceNo", "StockCode")
+) -> Cut:
+    """Where the reference side ends, with the size and dates of both sides."""
+    check_fraction(fraction)
+    if date_column not in df.columns:
+        raise KeyError(f"no {date_column!r} column to split on")
+    return chronological_cut(df, fraction, date_column, tie_break)
+
+
 def chronological_split(
     df: DataFrame,
     fraction: float = 0.7,
@@ -25,47 +38,10 @@ def chronological_split(
 ) -> DataFrame:
     """Add ``side``: the oldest ``int(n * fraction)`` rows are ``reference``.
 
-    Counts per day (a calendar-sized table) locate the day the cut falls in.
-    Only the rows of that day are numbered, in range partitions, ordered by
-    time, the tie-break columns and then every other column.
+    The cut is found by counting (see ``selection``), so the result reads the
+    rows once and compares each with the cut.
     """
-    check_fraction(fraction)
-    if date_column not in df.columns:
-        raise KeyError(f"no {date_column!r} column to split on")
-    day = F.col(date_column).cast("date")
-    per_day = df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    in_order = Window.orderBy(F.asc_nulls_last("day"))
-    counted = per_day.select(
-        "day",
-        "n",
-        F.sum("n").over(in_order).alias("run"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
-    )
-    cut = F.floor(F.col("total").cast("double") * F.lit(fraction)).cast("bigint")
-    hit = (
-        counted.withColumn("cut", cut)
-        .where((F.col("cut") <= F.col("run")) & (F.col("cut") > F.col("run") - F.col("n")))
-        .first()
-    )
-    if hit is None or hit["cut"] == hit["total"]:
-        raise ValueError(f"fraction {fraction} leaves one side of the split empty")
-    if hit["day"] is None:
-        raise ValueError(f"the split falls among rows without {date_column}")
-    edge, in_edge = hit["day"], hit["cut"] - (hit["run"] - hit["n"])
-
-    fixed = [date_column, *[c for c in tie_break if c in df.columns]]
-    rest = [c for c in df.columns if c not in fixed]
-    # As timestamp ranges these conditions reach the scan.
-    when = F.col(date_column)
-    starts, ends = F.lit(edge).cast("timestamp_ntz"), F.date_add(F.lit(edge), 1).cast("timestamp_ntz")
-    numbered = row_numbers(df.where((when >= starts) & (when < ends)), [*fixed, *rest], name="_row")
-    edge_rows = numbered.withColumn(
-        "side", F.when(F.col("_row") <= in_edge, "reference").otherwise("current")
-    ).drop("_row")
-    others = df.where(when.isNull() | (when < starts) | (when >= ends)).withColumn(
-        "side", F.when(when < starts, "reference").otherwise("current")
-    )
-    return others.unionByName(edge_rows)
+    return split_cut(df, fraction, date_column, tie_break).split(df)
 
 
 def drift_projection(df: DataFrame) -> DataFrame:
@@ -83,14 +59,25 @@ def drift_scores(
     numeric: Sequence[str] = NUMERIC_COLUMNS,
     categorical: Sequence[str] = CATEGORICAL_COLUMNS,
     threshold: float = 0.1,
+    tests: str = "distance",
+    level: float = 0.05,
 ) -> DataFrame:
     """One row per column: method, score, threshold, drift_detected.
 
     All columns are counted by value and side in one scan; everything after
-    that works on distinct values. Numeric: area between the two distribution
-    functions over the reference deviation. Categorical: Jensen-Shannon
-    distance with natural logarithms.
+    that works on distinct values.
+
+    ``tests="distance"``. Numeric: area between the two distribution functions
+    over the reference deviation. Categorical: Jensen-Shannon distance with
+    natural logarithms. Both are set against ``threshold``.
+
+    ``tests="p_value"``. Numeric: two-sample Kolmogorov-Smirnov test, by its
+    limit distribution. Categorical: chi-square of the current counts against
+    the reference shares; a value the reference never has gives 0. Both are set
+    against ``level``.
     """
+    if tests not in ("distance", "p_value"):
+        raise ValueError(f"tests must be distance or p_value, got {tests!r}")
     none = F.lit(None)
     cells = [
         F.struct(
@@ -123,6 +110,12 @@ def drift_scores(
     )
     # One row per compared column.
     rows = run.join(F.broadcast(sizes), "column")
+    is_numeric = F.col("column").isin(*numeric)
+    scored = _distances(rows, is_numeric) if tests == "distance" else _p_values(rows, is_numeric)
+    return scored.withColumn("threshold", F.lit(float(threshold if tests == "distance" else level))).withColumn("drift_detected", drifted())
+
+
+def _distances(rows: DataFrame, is_numeric: Column) -> DataFrame:
     p = F.try_divide(F.col("n_ref"), F.col("all_ref"))
     q = F.try_divide(F.col("n_cur"), F.col("all_cur"))
     mid = (p + q) / 2
@@ -136,7 +129,6 @@ def drift_scores(
     area = F.sum(F.abs(below) * (F.col("value") - F.col("prev_value")))
     spread = F.sqrt(F.sum(F.col("n_ref") * F.pow(F.col("value") - F.col("ref_mean"), 2)) / F.max("all_ref"))
     divergence = 0.5 * F.sum(pulled(p)) + 0.5 * F.sum(pulled(q))
-    is_numeric = F.col("column").isin(*numeric)
     return (
         rows.groupBy("column")
         .agg(
@@ -147,12 +139,91 @@ def drift_scores(
         .select(
             "column",
             F.when(is_numeric, NUMERIC_METHOD).otherwise(CATEGORICAL_METHOD).alias("method"),
-            F.when(is_numeric, F.col("area") / F.col("spread"))
-            .otherwise(F.sqrt("divergence"))
-            .alias("score"),
-            F.lit(float(threshold)).alias("threshold"),
+            F.when(is_numeric, F.col("area") / F.col("spread")).otherwise(F.sqrt("divergence")).alias("score"),
         )
-        .withColumn("drift_detected", drifted())
+    )
+
+
+def _p_values(rows: DataFrame, is_numeric: Column) -> DataFrame:
+    gap = F.abs(F.try_divide(F.col("run_n_ref"), F.col("all_ref")) - F.try_divide(F.col("run_n_cur"), F.col("all_cur")))
+    expected = F.col("n_ref").cast("double") * F.col("all_cur") / F.col("all_ref")
+    off = F.when(expected > 0, F.pow(F.col("n_cur") - expected, 2) / expected).otherwise(float("inf"))
+    found = rows.groupBy("column").agg(
+        F.max(gap).alias("gap"),
+        F.sum(off).alias("off"),
+        (F.count(F.lit(1)) - 1).alias("freedom"),
+        F.max("all_ref").cast("double").alias("n"),
+        F.max("all_cur").cast("double").alias("m"),
+    )
+    scaled = F.sqrt(F.col("n") * F.col("m") / (F.col("n") + F.col("m"))) * F.col("gap")
+    usable = (F.col("n") > 0) & (F.col("m") > 0)
+    p = F.when(is_numeric, kolmogorov_tail(scaled)).otherwise(chi_square_tail(F.col("off"), F.col("freedom")))
+    return found.select(
+        "column", F.when(is_numeric, NUMERIC_TEST).otherwise(CATEGORICAL_TEST).alias("method"), F.when(usable, p).alias("score")
+    )
+
+
+# Sketches
+
+
+def drift_sketches(
+    df: DataFrame, numeric: Sequence[str] = NUMERIC_COLUMNS, date_column: str = "InvoiceDate", k: int = 4096
+) -> DataFrame:
+    """(day, column, sketch, n, total, squares): a quantile sketch per day and numeric column.
+
+    Of a fixed size however many values a day has; later days are appended,
+    earlier ones are not read again. ``k`` sets the error, see ``rank_error``.
+    """
+    values = [F.struct(F.lit(c).alias("column"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value")) for c in numeric]
+    long = df.select(F.col(date_column).cast("date").alias("day"), F.inline(F.array(*values))).where("value is not null and day is not null")
+    return long.groupBy("day", "column").agg(
+        F.kll_sketch_agg_double("value", F.lit(k)).alias("sketch"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("value").alias("total"),
+        F.sum(F.col("value") * F.col("value")).alias("squares"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+    )
+
+
+def rank_error(k: int) -> float:
+    """Rank error of one sketch for all ranks at once, with 99 % confidence (published fit for this kind of sketch)."""
+    return 2.446 / k**0.9433
+
+
+def sketch_drift_scores(
+    sketches: DataFrame, first_current: Column, points: int = 10_000, k: int = 4096, threshold: float = 0.1
+) -> DataFrame:
+    """Wasserstein scores from merged sketches, with a bound of their error.
+
+    Days from ``first_current`` on are the current side. The area between two
+    distribution functions is also the area between their quantile functions,
+    which is read off at ``points`` ranks. A sketch's quantiles are true ones
+    of ranks at most the rank error away, which moves such an area by no more
+    than twice that error times the range of the values.
+    """
+    side = F.when(F.col("day") < first_current, "ref").otherwise("cur")
+    merged = sketches.groupBy("column", side.alias("side")).agg(
+        F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"),
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares"),
+        F.min("low").alias("low"), F.max("high").alias("high"),
+    )
+    # The function wants a constant array.
+    ranks = F.split(F.lit(",".join(str((i + 0.5) / points) for i in range(points))), ",").cast("array<double>")
+    read = merged.withColumn("at", F.kll_sketch_get_quantile_double("sketch", ranks))
+    ref, cur = read.where("side = 'ref'"), read.where("side = 'cur'").select("column", *[F.col(c).alias(f"cur_{c}") for c in ("at", "low", "high")])
+    gaps = F.zip_with("at", "cur_at", lambda a, b: F.abs(a - b))
+    area = F.aggregate(gaps, F.lit(0.0), lambda t, x: t + x) / points
+    mean = F.col("total") / F.col("n")
+    spread = F.greatest(F.sqrt(F.greatest(F.col("squares") / F.col("n") - mean * mean, F.lit(0.0))), F.lit(0.001))
+    ranges = F.col("high") - F.col("low") + F.col("cur_high") - F.col("cur_low")
+    return ref.join(cur, "column").select(
+        "column",
+        F.lit(NUMERIC_METHOD).alias("method"),
+        (area / spread).alias("score"),
+        ((2 * rank_error(k) + 1.0 / points) * ranges / spread).alias("error"),
+        F.lit(float(threshold)).alias("threshold"),
+        (area / spread > threshold).alias("drift_detected"),
     )
 
 
@@ -178,8 +249,14 @@ def split_sides(split: DataFrame, date_column: str = "InvoiceDate") -> DataFrame
     )
 
 
-def drift_summary(scores: DataFrame, split: DataFrame, date_column: str = "InvoiceDate") -> DataFrame:
-    """One row: drifted columns and the size and dates of both sides."""
+def cut_sides(spark: SparkSession, cut: Cut) -> DataFrame:
+    """``split_sides`` of the rows the cut was found in, without reading them again."""
+    rows = [("reference", cut.n_reference, cut.reference_start, cut.reference_end), ("current", cut.n_current, cut.current_start, cut.current_end)]
+    return spark.createDataFrame(rows, "side string, n_rows bigint, start timestamp_ntz, end timestamp_ntz")
+
+
+def drift_summary(scores: DataFrame, sides: DataFrame) -> DataFrame:
+    """One row: drifted columns and the size and dates of both ``sides`` (from ``cut_sides`` or ``split_sides``)."""
     hits = F.count_if("drift_detected")
     names = F.array_sort(F.collect_list(F.when(F.col("drift_detected"), F.col("column"))))
     totals = scores.agg(
@@ -190,15 +267,14 @@ def drift_summary(scores: DataFrame, split: DataFrame, date_column: str = "Invoi
         ),
         F.array_join(names, ",").alias("drifted_columns"),
     )
-    in_ref, in_cur = F.col("side") == "reference", F.col("side") == "current"
-    day = F.col(date_column)
-    sides = split.agg(
-        F.count_if(in_ref).alias("n_reference"),
-        F.count_if(in_cur).alias("n_current"),
-        F.min(F.when(in_ref, day)).alias("reference_start"),
-        F.max(F.when(in_ref, day)).alias("reference_end"),
-        F.min(F.when(in_cur, day)).alias("current_start"),
-        F.max(F.when(in_cur, day)).alias("current_end"),
+    of = lambda side, column: F.max(F.when(F.col("side") == side, F.col(column)))
+    both = sides.agg(
+        of("reference", "n_rows").alias("n_reference"),
+        of("current", "n_rows").alias("n_current"),
+        of("reference", "start").alias("reference_start"),
+        of("reference", "end").alias("reference_end"),
+        of("current", "start").alias("current_start"),
+        of("current", "end").alias("current_end"),
     )
     # Both are global aggregates of exactly one row.
-    return totals.withColumn("_one", F.lit(1)).join(sides.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return totals.withColumn("_one", F.lit(1)).join(both.withColumn("_one", F.lit(1)), "_one").drop("_one")

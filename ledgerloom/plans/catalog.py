@@ -650,20 +650,48 @@ def drift_scores(spark, folder):
     return rounded(drift.drift_scores(drift.drift_projection(_split(spark, folder))), 6, "score")
 
 
+@query
+def drift_p_values(spark, folder):
+    projected = drift.drift_projection(_split(spark, folder))
+    return rounded(drift.drift_scores(projected, tests="p_value"), 6, "score")
+
+
+@query
+def split_sides(spark, folder):
+    """Sides of the split from the cut alone."""
+    return drift.cut_sides(spark, drift.split_cut(cleaned(spark, folder)))
+
+
 @query
 def drift_summary(spark, folder):
-    split = drift.drift_projection(_split(spark, folder))
-    return drift.drift_summary(drift.drift_scores(split), split)
+    lines = cleaned(spark, folder)
+    cut = drift.split_cut(lines)
+    return drift.drift_summary(drift.drift_scores(drift.drift_projection(cut.split(lines))), drift.cut_sides(spark, cut))
 
 
 @query
 def drift_display_score(spark, folder):
-    """Half of the columns relabelled as p-values, to exercise both forms."""
-    scores = drift.drift_scores(drift.drift_projection(_split(spark, folder)))
-    mixed = scores.withColumn(
-        "method", F.when(F.col("column").isin("Quantity", "Country"), "K-S p_value").otherwise(F.col("method"))
-    ).withColumn("drift_detected", drift.drifted())
-    return rounded(drift.drift_display_score(mixed), 6, "score", "display_score")
+    """Distances of some columns beside p-values of others, with the rows and dates of both sides."""
+    lines = cleaned(spark, folder)
+    cut = drift.split_cut(lines)
+    split = cut_lineage(drift.drift_projection(cut.split(lines)))
+    distances = drift.drift_scores(split, ("UnitPrice", "TotalPrice"), ("DayOfWeek",))
+    tested = drift.drift_scores(split, ("Quantity", "Hour"), ("Country",), tests="p_value")
+    shown = rounded(drift.drift_display_score(distances.unionByName(tested)), 6, "score", "display_score")
+    sides = drift.drift_summary(shown, drift.cut_sides(spark, cut))
+    return shown.join(sides.select("n_reference", "n_current", "reference_start", "reference_end", "current_start", "current_end"), how="cross")
+
+
+@query
+def sketch_drift_scores(spark, folder):
+    """Scores from one sketch a day against the exact ones of the same sides."""
+    lines = cut_lineage(drift.drift_projection(cleaned(spark, folder)))
+    newest = F.lit(date(2000, 1, 1))
+    sketched = drift.sketch_drift_scores(drift.drift_sketches(lines), newest)
+    sided = lines.withColumn("side", F.when(F.col("InvoiceDate").cast("date") < newest, "reference").otherwise("current"))
+    exact = drift.drift_scores(sided, categorical=())
+    both = sketched.withColumnRenamed("score", "sketched").join(exact.select("column", "score"), "column")
+    return both.select("column", numbers.half_even("score", 6).alias("score"), (F.abs(F.col("sketched") - F.col("score")) <= F.col("error")).alias("within_error"))
 
 
 @query

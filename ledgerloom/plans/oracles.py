@@ -356,6 +356,25 @@ SCORED_COUNTS = """
            count(*) FILTER (WHERE churned = 1 AND churn_probability < 0.5) AS fn,
            count(*) AS n FROM scored
 """
+# Both tests from the counts that the distances use; the sum for the chi-square tail holds for even degrees of freedom.
+P_VALUES = """,
+    statistics AS (
+        SELECT "column", count(v) > 0 AS is_number, max(abs(gap)) AS d, sum(nr) AS n, sum(nc) AS m, count(*) - 1 AS freedom,
+               sum(pow(nc - CAST(nr AS DOUBLE) * total_c / total_r, 2) / (CAST(nr AS DOUBLE) * total_c / total_r)) / 2 AS h
+        FROM (SELECT *, sum(nr) OVER (PARTITION BY "column") AS total_r, sum(nc) OVER (PARTITION BY "column") AS total_c FROM drift_run)
+        GROUP BY "column"),
+    tested AS (
+        SELECT "column", CASE WHEN is_number THEN 'K-S p_value' ELSE 'chi-square p_value' END AS method,
+               CASE WHEN is_number
+                    THEN greatest(least(2 * list_sum(list_transform(range(1, 400), lambda j: (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * j * j * d * d * n * m / (n + m)))), 1.0), 0.0)
+                    ELSE list_sum(list_transform(range(0, freedom // 2), lambda i: exp(i * ln(h) - h - lgamma(i + 1)))) END AS score
+        FROM statistics)"""
+DAY_CELLS = """day_split AS (SELECT *, CASE WHEN InvoiceDate < TIMESTAMP '2000-01-01' THEN 'reference' ELSE 'current' END AS side FROM cleaned),
+    day_cells AS (
+        SELECT side, 'Quantity' AS "column", CAST(Quantity AS DOUBLE) AS v, CAST(NULL AS VARCHAR) AS t FROM day_split
+        UNION ALL SELECT side, 'UnitPrice', UnitPrice, NULL FROM day_split
+        UNION ALL SELECT side, 'TotalPrice', TotalPrice, NULL FROM day_split
+        UNION ALL SELECT side, 'Hour', CAST(hour(InvoiceDate) AS DOUBLE), NULL FROM day_split)"""
 FEATURES = (
     "(VALUES ('Recency'), ('Frequency'), ('Monetary'), ('avg_basket_size'), ('unique_products'), "
     "('avg_days_between'), ('is_uk')) f(feature)"
@@ -616,11 +635,24 @@ SPECS: dict[str, str] = {
                count(*) FILTER (WHERE side = 'reference') AS n_reference,
                count(*) FILTER (WHERE side = 'current') AS n_current
         FROM split""",
+    "drift_p_values": f"""
+        {P_VALUES}
+        SELECT "column", method, {even('score', 6)} AS score, 0.05::DOUBLE AS threshold, score < 0.05 AS drift_detected FROM tested""",
+    "split_sides": "SELECT side, count(*) AS n_rows, min(InvoiceDate) AS start, max(InvoiceDate) AS \"end\" FROM split GROUP BY side",
     "drift_display_score": f"""
-        SELECT "column", CASE WHEN pv THEN 'K-S p_value' ELSE method END AS method, {even('score', 6)} AS score, threshold,
-               CASE WHEN pv THEN score < threshold ELSE score > threshold END AS drift_detected,
-               {even('CASE WHEN pv THEN 1 - score ELSE score END', 6)} AS display_score
-        FROM (SELECT *, "column" IN ('Quantity', 'Country') AS pv FROM drift)""",
+        {P_VALUES}
+        SELECT "column", method, {even('score', 6)} AS score, threshold, CASE WHEN pv THEN score < threshold ELSE score > threshold END AS drift_detected,
+               {even('CASE WHEN pv THEN 1 - score ELSE score END', 6)} AS display_score,
+               (SELECT count(*) FROM split WHERE side = 'reference') AS n_reference, (SELECT count(*) FROM split WHERE side = 'current') AS n_current,
+               (SELECT min(InvoiceDate) FROM split WHERE side = 'reference') AS reference_start,
+               (SELECT max(InvoiceDate) FROM split WHERE side = 'reference') AS reference_end,
+               (SELECT min(InvoiceDate) FROM split WHERE side = 'current') AS current_start,
+               (SELECT max(InvoiceDate) FROM split WHERE side = 'current') AS current_end
+        FROM (SELECT "column", method, score, threshold, false AS pv FROM drift WHERE "column" IN ('UnitPrice', 'TotalPrice', 'DayOfWeek')
+              UNION ALL SELECT "column", method, score, 0.05::DOUBLE, true FROM tested WHERE "column" IN ('Quantity', 'Hour', 'Country'))""",
+    "sketch_drift_scores": f""",
+        {DRIFT.format(out='at_day', cells='day_cells').replace('at_day_counts AS', DAY_CELLS + ', at_day_counts AS', 1)}
+        SELECT "column", {even('score', 6)} AS score, true AS within_error FROM at_day""",
     "stratified_split": """
         SELECT churned, is_test, CASE WHEN is_test THEN t ELSE n - t END AS customers
         FROM (SELECT churned, count(*) AS n,

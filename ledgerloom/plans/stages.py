@@ -172,10 +172,10 @@ def run_promote(spark: SparkSession, layout: Layout) -> DataFrame:
 def run_monitor(spark: SparkSession, layout: Layout, params: Params = Params()) -> DataFrame:
     """Drift scores and summary of the cleaned table, also as JSON."""
     cleaned = layout.need(spark, "cleaned", "data")
-    split = drift.chronological_split(cleaned, params.drift_reference_fraction)
-    projected = drift.drift_projection(split)
+    cut = drift.split_cut(cleaned, params.drift_reference_fraction)
+    projected = drift.drift_projection(cut.split(cleaned))
     write_stage(drift.drift_scores(projected, threshold=params.drift_threshold), layout.at("drift_scores"))
     scores = read_stage(spark, layout.at("drift_scores"))
     write_json_report(scores, layout.at("drift_scores_json"))
-    write_json_report(drift.drift_summary(scores, projected), layout.at("drift_summary"))
+    write_json_report(drift.drift_summary(scores, drift.cut_sides(spark, cut)), layout.at("drift_summary"))
     return spark.read.json(layout.at("drift_summary"))

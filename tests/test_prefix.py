@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.operators import drift, prefix, reports
+from ledgerloom.functions import tails
+from ledgerloom.operators import drift, prefix, reports, selection
 
 
 @pytest.fixture(scope="module")
@@ -103,6 +104,76 @@ def test_split_inside_one_hot_instant(spark):
     assert split.where("side = 'reference'").count() == 370 and split.count() == 1000
 
 
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_kth_row_against_a_sort(spark, few):
+    """Ties, copies and nulls; with ``few`` 0 only pivots find the row."""
+    rng = np.random.default_rng(3)
+    rows = [(None if rng.random() < 0.1 else int(rng.integers(0, 5)), None if rng.random() < 0.1 else str(rng.integers(0, 40)), float(rng.integers(0, 3))) for _ in range(600)]
+    rows += [(2, "7", 1.0)] * 300
+    frame = spark.createDataFrame(rows, "a int, b string, c double").repartition(3)
+    ranked = sorted(rows, key=lambda r: tuple((v is not None, v or type(v)()) if v is not None else (False,) for v in r))
+    for k in (1, 17, 450, 611, 900):
+        row, kept, copies = selection.kth_row(frame, ["a", "b", "c"], k, few)
+        assert tuple(row[:3]) == ranked[k - 1] and copies == rows.count(ranked[k - 1])
+        assert kept == k - ranked.index(ranked[k - 1])
+    with pytest.raises(ValueError):
+        selection.kth_row(frame, ["a", "b", "c"], 901, few)
+
+
+def test_split_reads_once_and_knows_its_sides(spark):
+    rows = hourly(spark, 1000).unionByName(hourly(spark, 3).withColumn("InvoiceDate", F.lit(None).cast("timestamp_ntz")))
+    cut = drift.split_cut(rows, 0.37)
+    split = cut.split(rows)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    sides = {r["side"]: tuple(r) for r in drift.cut_sides(spark, cut).collect()}
+    assert sides == {r["side"]: tuple(r) for r in drift.split_sides(split).collect()}
+    assert sides["reference"][1] == 371
+
+
+# Tail probabilities from published tables.
+CHI_SQUARE = [(3.841459, 1, 0.05), (6.634897, 1, 0.01), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (18.307038, 10, 0.05), (24.724970, 11, 0.01), (124.342113, 100, 0.05), (1.145476, 5, 0.95), (0.0, 4, 1.0), (2000.0, 7, 0.0)]
+KOLMOGOROV = [(0.5, 0.963945), (0.8, 0.544142), (1.0, 0.27), (1.2238, 0.1), (1.3581, 0.05), (1.6276, 0.01), (1.9495, 0.001), (0.04, 1.0)]
+
+
+def test_tails_against_tables(spark):
+    rows = spark.createDataFrame(CHI_SQUARE, "x double, f int, p double").withColumn("got", tails.chi_square_tail(F.col("x"), F.col("f")))
+    assert all(r["got"] == pytest.approx(r["p"], abs=2e-6) for r in rows.collect())
+    rows = spark.createDataFrame(KOLMOGOROV, "x double, p double").withColumn("got", tails.kolmogorov_tail(F.col("x")))
+    assert all(r["got"] == pytest.approx(r["p"], abs=1e-4) for r in rows.collect())
+    # Many degrees of freedom: near a half at their median, where the single terms would vanish.
+    wide = spark.createDataFrame([(3999.333, 4000), (4000.333, 4001)], "x double, f int").withColumn("got", tails.chi_square_tail(F.col("x"), F.col("f")))
+    assert all(r["got"] == pytest.approx(0.5, abs=1e-3) for r in wide.collect())
+
+
+def test_p_values_of_two_samples(spark):
+    rng = np.random.default_rng(4)
+    rows = [(side, float(v), str(k)) for side, n, shift in (("reference", 3000, 0.0), ("current", 2000, 0.03)) for v, k in zip(rng.normal(shift, 1, n).round(2), rng.integers(0, 4, n))]
+    rows += [("reference", 0.0, "x"), ("current", 0.0, "new")]
+    got = {r["column"]: r for r in drift.drift_scores(spark.createDataFrame(rows, "side string, v double, k string"), ["v"], ["k"], tests="p_value").collect()}
+    a, b = (np.sort([v for s, v, _ in rows if s == side]) for side in ("reference", "current"))
+    grid = np.unique(np.concatenate([a, b]))
+    d = np.abs(np.searchsorted(a, grid, "right") / len(a) - np.searchsorted(b, grid, "right") / len(b)).max()
+    x = d * np.sqrt(len(a) * len(b) / (len(a) + len(b)))
+    assert got["v"]["score"] == pytest.approx(2 * sum((-1) ** (j - 1) * np.exp(-2 * j * j * x * x) for j in range(1, 200)), abs=1e-9)
+    assert got["v"]["method"] == "K-S p_value" and got["v"]["threshold"] == 0.05
+    assert got["k"]["score"] == 0.0 and got["k"]["drift_detected"]
+    with pytest.raises(ValueError):
+        drift.drift_scores(spark.createDataFrame(rows, "side string, v double, k string"), ["v"], ["k"], tests="other")
+
+
+def test_sketches_merge_within_their_error(spark):
+    rng = np.random.default_rng(5)
+    rows = [(f"2011-01-{1 + i % 28:02d}", float(v), float(v * v)) for i, v in enumerate(rng.gamma(2, 3, 20_000) + np.repeat([0.0, 0.4], 10_000))]
+    frame = spark.createDataFrame(rows, "day string, v double, w double").withColumn("InvoiceDate", F.col("day").cast("timestamp_ntz"))
+    first = F.lit("2011-01-15").cast("date")
+    early, late = (drift.drift_sketches(frame.where(f"day {op} '2011-01-20'"), ["v", "w"], k=200) for op in ("<", ">="))
+    got = {r["column"]: r for r in drift.sketch_drift_scores(early.unionByName(late), first, k=200).collect()}
+    sided = frame.withColumn("side", F.when(F.col("InvoiceDate") < first, "reference").otherwise("current"))
+    for r in drift.drift_scores(sided, ["v", "w"], []).collect():
+        assert abs(got[r["column"]]["score"] - r["score"]) <= got[r["column"]]["error"] < 5
+
+
 @pytest.mark.parametrize("fraction", [0.0, 1.0, -0.1, 1.5])
 def test_bad_fractions(spark, fraction):
     with pytest.raises(ValueError):
