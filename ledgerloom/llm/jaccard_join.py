@@ -6,15 +6,18 @@ shingles in any fixed order), so classes meet by prefix shingles. Shingles that
 a bounded sample shows to be common come last in the order; which ones these
 are changes the work, never the result.
 
-Keys with the same members are tried once. In two rounds every member of a key
-is compared with a few leaders of other components, which links large groups of
-near copies with few comparisons. Keys that still hold several components go through signature
-trees: their members are dealt to cells of bounded size, every two cells of a
-key meet in some task, and a dual traversal gives the pairs of different
-components that bitmaps and sizes do not rule out. All pairs that either way
-suggests are checked on their whole sets, so no link between different texts
-is lost and none is made up (sets are named by 64-bit digests of their hashed
-shingles).
+Keys with the same least set are one key. First every member of a key is
+compared with a few leaders of other components, which links large groups of
+near copies with few comparisons. Keys that still hold several components go
+through signature trees: their members are dealt to cells of bounded size,
+every two cells of a key meet in some task, and a dual traversal gives the
+pairs of different components that bitmaps and sizes do not rule out. They do
+so twice. The first time a cell suggests only pairs that would join its
+components, the most alike first: fewer pairs than it has members. Once these
+are checked, few candidates are left between different components, and the
+second time a cell suggests all of them. All suggested pairs are checked on
+their whole sets, so no link between different texts is lost and none is made
+up (sets are named by 64-bit digests of their hashed shingles).
 
 Nothing grows into one task: keys are counted with partial sums, common keys
 are joined by a join that can be split, cells have ``CELL`` rows. Documents
@@ -39,7 +42,7 @@ from ledgerloom.session import cut_lineage, scratch_scope
 CELL = 512  # rows of one side of a cell
 SAMPLE = 4000  # documents that show which shingles are common
 COMMON = 8  # documents of the sample that make a shingle common
-LEADERS, LEADER_ROUNDS = 3, 2
+LEADERS = 4
 
 
 def token_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
@@ -59,7 +62,7 @@ def _signed(tokens: np.ndarray) -> pa.Array:
 
 
 def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for the empty set), bitmap and prefix shingles of every document.
+    """doc_id, n_shingles, set_id (null for the empty set), bitmap, its shortest form, and prefix shingles of every document.
 
     Copies of a text seen shortly before in the same task leave the keys out.
     """
@@ -76,7 +79,7 @@ def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                counts, ids, bits, keys, ends = [], [], [], [], [0]
+                counts, ids, bits, briefs, keys, ends = [], [], [], [], [], [0]
                 for text in batch.column(1):
                     tokens = token_set(text.as_py(), size, hashes)
                     own = set_id(tokens) if len(tokens) else None
@@ -88,15 +91,18 @@ def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
                         first = prefix(tokens, late)
                     counts.append(len(tokens))
                     ids.append(own)
-                    bits.append(bitmap(tokens) if len(tokens) else None)
+                    whole_bits = bitmap(tokens) if len(tokens) else None
+                    bits.append(whole_bits)
+                    briefs.append(whole_bits and folded([whole_bits], FEWEST_BITS // 8)[0].tobytes())
                     keys.append(first)
                     ends.append(ends[-1] + len(first))
                 listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate(keys)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), listed], names=["doc_id", "n_shingles", "set_id", "bitmap", "keys"]
+                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), pa.array(briefs, pa.binary()), listed],
+                    names=["doc_id", "n_shingles", "set_id", "bitmap", "brief", "keys"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id bigint, bitmap binary, keys array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id bigint, bitmap binary, brief binary, keys array<bigint>")
 
 
 def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
@@ -116,15 +122,14 @@ def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
 
 
 def _members(profile: DataFrame) -> DataFrame:
-    """(key, set_id) of keys with several sets; of keys with the same members only one."""
-    keys = profile.select(F.explode("keys").alias("key"), "set_id")
-    several = keys.groupBy("key").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a <> b").select("key")
-    members = cut_lineage(keys.join(several, "key").distinct())
-    named = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("set_id").alias("first"), F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("x"), F.sum(F.xxhash64("set_id", F.lit(1)).cast("decimal(38,0)")).alias("y")
-    )
-    single = named.groupBy("n", "first", "x", "y").agg(F.min("key").alias("key")).select("key")
-    return cut_lineage(members.join(single, "key"))
+    """(key, set_id) of the sets that share a shingle with another one.
+
+    Keys whose least set is the same are one: near copies share many shingles,
+    and so meet once instead of once for each of them.
+    """
+    keys = profile.select(F.explode("keys").alias("shingle"), "set_id")
+    several = keys.groupBy("shingle").agg(F.min("set_id").alias("key"), F.max("set_id").alias("other")).where("key <> other").select("shingle", "key")
+    return cut_lineage(keys.join(several, "shingle").select("key", "set_id").distinct())
 
 
 def _may_link(m: np.ndarray, n: np.ndarray, left: list[bytes], right: list[bytes], percent: int) -> np.ndarray:
@@ -140,7 +145,7 @@ def _may_link(m: np.ndarray, n: np.ndarray, left: list[bytes], right: list[bytes
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sizes and bitmaps do not rule the similarity out."""
+    """Pairs (a, b) whose sizes and short bitmaps do not rule the similarity out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,7 +155,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             fits = _may_link(*sizes, batch.column(4).to_pylist(), batch.column(5).to_pylist(), percent)
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(fits))
 
-    sides = [classes.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("bitmap").alias(f"bits_{c}")) for c in "ab"]
+    sides = [classes.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("brief").alias(f"bits_{c}")) for c in "ab"]
     sized = pairs.join(sides[0], "a").join(sides[1], "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     return sized.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
@@ -190,19 +195,20 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, sets: DataFra
     return cut_lineage(links), sets
 
 
-def _leader_pairs(members: DataFrame, salts: range) -> DataFrame:
+def _leader_pairs(members: DataFrame) -> DataFrame:
     """Each member of a key with the key's leaders (the least by hash) of other components."""
-    least = [F.min_by(F.struct("set_id", "component"), F.xxhash64("set_id", F.lit(salt))) for salt in salts]
+    least = [F.min_by(F.struct("set_id", "component"), F.xxhash64("set_id", F.lit(salt))) for salt in range(LEADERS)]
     leaders = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.array(*least).alias("leaders")).where("low <> high")
     led = members.join(leaders.select("key", "leaders"), "key").select("set_id", "component", F.explode("leaders").alias("l")).where("component <> l.component")
     return led.select(F.least("set_id", "l.set_id").alias("a"), F.greatest("set_id", "l.set_id").alias("b")).distinct()
 
 
-def _tree_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _tree_pairs(members: DataFrame, classes: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Pairs of different components that share a key, by signature trees over cells of each key's members.
 
     ``members`` has key, set_id and component. A key with m cells' worth of
-    members has m (m + 1) / 2 pairs of cells, each a group of its own.
+    members has m (m + 1) / 2 pairs of cells, each a group of its own. With
+    ``forest`` a cell gives only pairs that would join its components.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,10 +218,10 @@ def _tree_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFra
             cells = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
             starts = np.flatnonzero(np.r_[True, (cells[1:] != cells[:-1]).any(axis=1)]) if len(cells) else np.array([0])
             for low, high in zip(starts[:-1], starts[1:]):
-                yield from _cell_pairs(table.slice(low, high - low), percent)
+                yield from _cell_pairs(table.slice(low, high - low), percent, forest)
             rest = table.slice(starts[-1])  # the last cell may go on in the next batch
         if rest is not None and rest.num_rows:
-            yield from _cell_pairs(rest, percent)
+            yield from _cell_pairs(rest, percent, forest)
 
     cells = members.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     cells = cells.select("key", F.ceil(F.col("n") / CELL).cast("int").alias("m"))
@@ -226,7 +232,30 @@ def _tree_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFra
     return sized.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _cell_pairs(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+def _joining(p: np.ndarray, q: np.ndarray, alike: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """Places of the pairs that join two groups not yet joined by a pair that is more alike."""
+    names, label = np.unique(groups, return_inverse=True)
+    parent, left = list(range(len(names))), len(names) - 1
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    taken = []
+    order = np.argsort(-alike, kind="stable")
+    for at, a, b in zip(order.tolist(), label[p[order]].tolist(), label[q[order]].tolist()):
+        a, b = root(a), root(b)
+        if a != b:
+            parent[a] = b
+            taken.append(at)
+            left -= 1
+            if not left:
+                break
+    return np.array(taken, np.int64)
+
+
+def _cell_pairs(cell: pa.Table, percent: int, forest: bool) -> Iterator[pa.RecordBatch]:
     """Pairs within one cell (i = j), or between its two sides."""
     cell = cell.combine_chunks()
     own, ids, groups, sizes = (cell.column(c).to_numpy() for c in ("own", "set_id", "component", "n_shingles"))
@@ -241,10 +270,18 @@ def _cell_pairs(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
         return
     left = SignatureTree(sizes[sides[0]], bits[sides[0]], groups[sides[0]])
     right = left if sides[0] is sides[1] else SignatureTree(sizes[sides[1]], bits[sides[1]], groups[sides[1]])
+    found = []
     for p, q in dual_join(left, right, percent):
         p, q = sides[0][p], sides[1][q]
         fits = _may_link(sizes[p], sizes[q], [whole[i] for i in p], [whole[i] for i in q], percent)
-        a, b = ids[p[fits]], ids[q[fits]]
+        found.append((p[fits], q[fits]))
+    p, q = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    if forest and len(p):
+        overlap = pair_overlaps(sizes[p], sizes[q], bits[p], bits[q])
+        some = _joining(p, q, overlap / (sizes[p] + sizes[q] - overlap), groups)
+        p, q = p[some], q[some]
+    if len(p):
+        a, b = ids[p], ids[q]
         yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
@@ -259,18 +296,18 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     common = spark.sparkContext.broadcast(common_shingles(docs, size, docs.count()))
     profile = cut_lineage(profiles(docs, size, percent, common))
     classes = cut_lineage(
-        profile.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"))
+        profile.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"), F.first("brief").alias("brief"))
     )
     members = _members(profile)
 
     links, sets = None, None
     known = spark.createDataFrame([], "node bigint, component bigint")
-    for turn in range(LEADER_ROUNDS + 1):
+    for turn in ("leaders", "forest", "all"):
         grouped = members.join(known.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-        if turn < LEADER_ROUNDS:
-            pairs = _bounded(_leader_pairs(grouped, range(turn * LEADERS, (turn + 1) * LEADERS)), classes, percent)
+        if turn == "leaders":
+            pairs = _bounded(_leader_pairs(grouped), classes, percent)
         else:
-            pairs = _tree_pairs(grouped, classes, percent)
+            pairs = _tree_pairs(grouped, classes, percent, turn == "forest")
         pairs = cut_lineage(pairs)
         if not pairs.isEmpty():
             found, sets = _linked(pairs, docs, classes, sets, size, percent)
