@@ -25,6 +25,8 @@ empty ones empty. Line breaks are \\n.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,15 +43,22 @@ def line_words(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """doc_id, digest of its text, line (from 0), id and part keys of every line with enough words."""
-    exploded = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+    """doc_id, digest of its text, line (from 0), id and part keys of every line with enough words.
+
+    Lines are made and chosen within one expression: a filter on what is made
+    would be moved below it, and everything be made twice.
+    """
+
+    def named(line: Column) -> Callable[[Column], Column]:
+        def of(words: Column) -> Column:
+            keys = F.when(F.size(words) >= near_words, _part_keys(words))
+            return F.struct(F.size(words).alias("n"), line.alias("line"), F.xxhash64(words).alias("id"), keys.alias("keys"))
 
-    def named(words: Column) -> Column:
-        keys = F.when(F.size(words) >= near_words, _part_keys(words))
-        return F.struct(F.size(words).alias("n"), F.xxhash64(words).alias("id"), keys.alias("keys"))
+        return of
 
-    lines = exploded.select("doc_id", "text_id", "line", let(F.transform(line_words(F.col("raw")), lambda w: F.hash(w)), named).alias("l")).where(F.col("l.n") >= min_words)
-    return lines.select("doc_id", "text_id", "line", "l.id", "l.keys")
+    each = F.transform(F.split("text", "\n"), lambda raw, i: let(F.transform(line_words(raw), lambda w: F.hash(w)), named(i)))
+    chosen = F.filter(each, lambda line: line["n"] >= min_words)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.explode(chosen).alias("l")).select("doc_id", "text_id", "l.line", "l.id", "l.keys")
 
 
 def _place() -> Column:
