@@ -16,8 +16,8 @@ Only windows that can match are embedded: within the bound, some run of words
 between two edits is left whole, so the window has a short run of words in
 common with the item at a place that says where the window starts.
 
-The benchmark is a query set: it is taken in blocks of ``BLOCK`` items that are
-broadcast one after the other, and documents are searched where they are read,
+The benchmark is a query set: it is taken in blocks of ``BLOCK`` items whose index
+is broadcast and dropped one after the other, and documents are searched where they are read,
 without a shuffle. Null and empty texts and items match nothing. Items or
 documents that repeat are reported each on their own.
 """
@@ -31,10 +31,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import WordHashes, byte_words, mixed, shingle_hashes
+from ledgerloom.llm.text import WORD, WordHashes, byte_words, mixed, shingle_hashes
+from ledgerloom.session import cut_lineage
 
 BLOCK = 5000
 LONGEST_RUN = 8
@@ -221,15 +222,32 @@ class ItemIndex:
                     found[i, item] = (distance, first + begin)
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall: float = 0.99) -> DataFrame:
-    """(doc_id, item_id, start, n_words, distance) for every item that occurs in a document, at its best window."""
+def n_words(text: Column) -> Column:
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD))
+
+
+def short_items(benchmark: DataFrame, min_words: int) -> DataFrame:
+    """Items with words, but fewer than ``min_words``: those that ``find_items`` leaves out."""
+    return benchmark.where(n_words(F.col("text")).between(1, min_words - 1))
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall: float = 0.99, min_words: int = 1) -> DataFrame:
+    """(doc_id, item_id, start, n_words, distance) for every item that occurs in a document, at its best window.
+
+    Items of fewer than ``min_words`` words are not searched for; ``short_items`` lists them.
+    """
     spark = docs.sparkSession
-    docs, items = docs.select("doc_id", "text"), benchmark.select("item_id", "text").where("text is not null")
+    docs, items = docs.select("doc_id", "text"), benchmark.select("item_id", "text").where(n_words(F.col("text")) >= max(1, min_words))
     blocks = math.ceil(items.count() / BLOCK)
     found = []
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        found.append(_find_block(docs, spark.sparkContext.broadcast(ItemIndex([tuple(r) for r in rows], max_edits, recall))))
+        shared = spark.sparkContext.broadcast(ItemIndex([tuple(r) for r in rows], max_edits, recall))
+        matches = _find_block(docs, shared)
+        if blocks > 1:  # written, so that one block's index is held at a time
+            matches = cut_lineage(matches)
+            shared.destroy()
+        found.append(matches)
     return reduce(DataFrame.union, found) if found else spark.createDataFrame([], SCHEMA)
 
 
@@ -248,7 +266,7 @@ def _find_block(docs: DataFrame, shared) -> DataFrame:
     return docs.mapInArrow(run, SCHEMA)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall: float = 0.99) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall: float = 0.99, min_words: int = 1) -> DataFrame:
     """The documents in which no item occurs. Rows that share a doc_id with such a document go too."""
-    named = find_items(docs, benchmark, max_edits, recall).select(F.col("doc_id").alias("of")).distinct()
+    named = find_items(docs, benchmark, max_edits, recall, min_words).select(F.col("doc_id").alias("of")).distinct()
     return docs.alias("d").join(named.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.of")), "left_anti")

@@ -66,6 +66,12 @@ ASIDE_WORDS = {
     "form": "search login signup",
 }
 ROLES = {word: role for role, words in ASIDE_WORDS.items() for word in words.split()}
+# Words of a name that tells a state of the page (has-sidebar, share-enabled), and words that may stand beside a mark in
+# a name within the main part (comment-list, but neither related-work nor search-algorithms).
+STATES = frozenset("has have is no not with without enable enabled disable disabled".split())
+PLAIN = frozenset("a area bar block bottom box col column container content cta entry group head hd ft heading inline inner item items left link links list main middle page post posts right section site slot small stories story tag text title top unit wide wrap wrapper".split())
+# Marks that are about the page when they stand outside its main part, and mere styling within it.
+OUTSIDE_ONLY = frozenset(("notice", "header", "footer", "form"))
 
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -94,12 +100,22 @@ def _role(tag: str, attributes: str, inside: str, teaser: bool) -> str:
         return ASIDE_TAGS[tag]
     if attributes and "=" in attributes and tag not in ("body", "html"):
         for m in NAMES.finditer(attributes):
-            for word in NAME_WORDS.findall((m[1] or m[2] or m[3] or "").lower()):
-                if word in ROLES:
-                    return ROLES[word]
+            for name in (m[1] or m[2] or m[3] or "").lower().split():
+                if role := _mark(NAME_WORDS.findall(name), inside == "main"):
+                    return role
     return inside
 
 
+def _mark(words: list[str], within_main: bool) -> str | None:
+    """What the words of one class, id or role mark, if anything."""
+    marks = [ROLES[word] for word in words if word in ROLES]
+    if not marks or not STATES.isdisjoint(words):
+        return None
+    if within_main and (marks[0] in OUTSIDE_ONLY or any(word not in ROLES and word not in PLAIN for word in words)):
+        return None
+    return marks[0]
+
+
 def tokens(page: str) -> Iterator[tuple[Place | None, str, bool]]:
     """Tags and runs of text in page order, with the place of each run."""
     stack: list[tuple[str, str, str, int]] = []  # open elements: tag, landmark, block, links around
@@ -221,9 +237,11 @@ def main_text(page: str | None, weights: Weights) -> str:
             if joined and total > 0:
                 blocks.append(joined)
             parts, total = [], 0.0
-        elif place is not None and (score > 0 or not text.strip()):
-            parts.append(text)
-            total += score
+        elif place is not None:
+            # A block is kept or left out whole; words of links count, against it too.
+            if score > 0 or not text.strip() or (place[2] and place[0] in ("main", "body")):
+                parts.append(text)
+            total += score if place[0] in ("main", "body") or score > 0 else 0.0
     return "\n".join(blocks)
 
 

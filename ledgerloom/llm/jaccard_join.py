@@ -27,6 +27,7 @@ document like any other; rows that repeat an id are classes by their texts.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,7 +63,7 @@ def _signed(tokens: np.ndarray) -> pa.Array:
 
 
 def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for the empty set), bitmap, its shortest form, and prefix shingles of every document.
+    """doc_id, n_shingles, set_id (null for the empty set), bitmap, its shortest form, md5 of the text, and prefix shingles of every document.
 
     Copies of a text seen shortly before in the same task leave the keys out.
     """
@@ -79,10 +80,12 @@ def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                counts, ids, bits, briefs, keys, ends = [], [], [], [], [], [0]
+                counts, ids, bits, briefs, digests, keys, ends = [], [], [], [], [], [], [0]
                 for text in batch.column(1):
-                    tokens = token_set(text.as_py(), size, hashes)
+                    text = text.as_py()
+                    tokens = token_set(text, size, hashes)
                     own = set_id(tokens) if len(tokens) else None
+                    digests.append(hashlib.md5((text or "").encode("utf-8", "surrogatepass")).hexdigest())
                     first = np.empty(0, np.uint64)
                     if own is not None and own not in seen:
                         if len(seen) >= 1 << 17:
@@ -98,11 +101,11 @@ def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
                     ends.append(ends[-1] + len(first))
                 listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate(keys)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), pa.array(briefs, pa.binary()), listed],
-                    names=["doc_id", "n_shingles", "set_id", "bitmap", "brief", "keys"],
+                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), pa.array(briefs, pa.binary()), pa.array(digests), listed],
+                    names=["doc_id", "n_shingles", "set_id", "bitmap", "brief", "digest", "keys"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id bigint, bitmap binary, brief binary, keys array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id bigint, bitmap binary, brief binary, digest string, keys array<bigint>")
 
 
 def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
@@ -286,7 +289,10 @@ def _cell_pairs(cell: pa.Table, percent: int, forest: bool) -> Iterator[pa.Recor
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document."""
+    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every document.
+
+    ``digest`` (md5 of the text) and ``component`` tell rows and components apart where ids repeat; the empty set has no component.
+    """
     with scratch_scope(docs.sparkSession):
         return cut_lineage(_components(docs.select("doc_id", "text"), size, percent), outlive=True)
 
@@ -315,6 +321,6 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
             known = components(links)
 
     least = known.join(classes.select(F.col("set_id").alias("node"), "doc_id"), "node")
-    least = least.join(least.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select(F.col("node").alias("set_id"), "component_id")
-    named = classes.select("set_id", F.col("doc_id").alias("own")).join(least, "set_id", "left").select("set_id", F.coalesce("component_id", "own").alias("component_id"))
-    return profile.join(named, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = least.join(least.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select(F.col("node").alias("set_id"), "component_id", "component")
+    named = classes.select("set_id", F.col("doc_id").alias("own")).join(least, "set_id", "left").select("set_id", F.coalesce("component_id", "own").alias("component_id"), F.coalesce("component", "set_id").alias("component"))
+    return profile.join(named, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "digest", "component")

@@ -1,19 +1,20 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Learning counts the n-grams of labelled texts per language in each task and
-adds the counts up in Spark; what reaches the driver is one number for each
-language and bucket. The matrix of log probabilities is broadcast; its size is
-languages times buckets, and more than ``MAX_LANGUAGES`` label values raise.
-Scoring looks up the matrix rows of a text's n-grams in numpy, batch by batch.
-
-A text that is null or has no letter is ``und`` with score 0. Rows without a
-label are not learned from; with no labelled row at all every text is ``und``.
-Equal scores go to the first language by name. Whole texts are used.
+Learning counts the n-grams (runs of code points) of labelled texts per language
+in each task and adds the counts up in Spark. The matrix of log probabilities is
+broadcast: languages times buckets, so its size is bounded by the label values.
+Scoring is a product of sparse rows (a text's buckets, repeated as often as they
+occur) with that matrix, for a batch of texts at a time in numpy.
+
+A text that is null or has no letter is ``und`` with score 0; letters are what
+Unicode has in its letter categories, so neither digits nor number signs. Rows
+without a label are not learned from; with no labelled row at all every text is
+``und``. Equal scores go to the first language by name. Whole texts are used,
+in pieces where they are very long.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,9 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LETTER = re.compile(r"[^\W\d_]")
-MAX_LANGUAGES = 1000
-PIECE = 1 << 20  # bytes of text that are hashed at a time
+PIECE = 1 << 18  # characters of a text that are hashed at a time
+BATCH = 1 << 20  # n-grams that are scored at a time
+
+
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
 
 
 @dataclass(frozen=True)
@@ -35,26 +39,28 @@ class LanguageModel:
     orders: tuple[int, ...]
 
 
-def hashed_ngrams(data: np.ndarray, orders: tuple[int, ...], buckets: int) -> Iterator[np.ndarray]:
-    """Bucket of the n-gram of bytes that starts at each place, one array for each order."""
-    wide = data.astype(np.uint32)
-    mixed = np.zeros(len(data), np.uint32)
+def hashed_ngrams(codes: np.ndarray, orders: tuple[int, ...], buckets: int) -> Iterator[np.ndarray]:
+    """Bucket of the n-gram of code points that starts at each place, one array for each order."""
+    mixed = np.zeros(len(codes), np.uint32)
     for n in range(1, max(orders) + 1):
-        mixed = mixed[: len(data) - n + 1] if len(data) >= n else mixed[:0]
-        mixed = (mixed ^ wide[n - 1 :]) * np.uint32(0x9E3779B1)
+        mixed = mixed[: len(codes) - n + 1] if len(codes) >= n else mixed[:0]
+        mixed = (mixed ^ codes[n - 1 :]) * np.uint32(0x9E3779B1)
         mixed ^= mixed >> np.uint32(15)
         if n in orders:
             yield (mixed + np.uint32(n * 0x2545F491 & 0xFFFFFFFF)) % np.uint32(buckets)
 
 
+def text_buckets(text: str, orders: tuple[int, ...], buckets: int) -> Iterator[np.ndarray]:
+    """Buckets of the n-grams of a text, in lower case and between blanks; long texts piece by piece."""
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    for at in range(0, len(codes), PIECE):
+        for found in hashed_ngrams(codes[at : at + PIECE + max(orders) - 1], orders, buckets):
+            yield found[:PIECE]
+
+
 def _counted(text: str, orders: tuple[int, ...], buckets: int) -> np.ndarray:
-    """How often each bucket occurs in a text, in lower case and between blanks; long texts piece by piece."""
-    data = np.frombuffer(b" " + text.lower().encode("utf-8", "replace") + b" ", np.uint8)
-    counts = np.zeros(buckets, np.int64)
-    for at in range(0, len(data), PIECE):
-        for found in hashed_ngrams(data[at : at + PIECE + max(orders) - 1], orders, buckets):
-            counts += np.bincount(found[:PIECE], minlength=buckets)
-    return counts
+    """How often each bucket occurs in a text."""
+    return sum(np.bincount(found, minlength=buckets) for found in text_buckets(text, orders, buckets))
 
 
 def fit_languages(docs: DataFrame, orders: tuple[int, ...] = (1, 2, 3), buckets: int = 1 << 15, smoothing: float = 0.5) -> LanguageModel:
@@ -66,9 +72,7 @@ def fit_languages(docs: DataFrame, orders: tuple[int, ...] = (1, 2, 3), buckets:
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1)):
                 lang, text = lang.as_py(), text.as_py()
-                if len(seen) > MAX_LANGUAGES:
-                    raise ValueError(f"more than {MAX_LANGUAGES} languages")
-                if text and LETTER.search(text):
+                if has_letter(text):
                     seen[lang] = seen.get(lang, 0) + _counted(text, orders, buckets)
                     docs_of[lang] = docs_of.get(lang, 0) + 1
         for lang, counts in seen.items():
@@ -80,16 +84,15 @@ def fit_languages(docs: DataFrame, orders: tuple[int, ...] = (1, 2, 3), buckets:
 
     partial = docs.where("lang is not null").select("text", "lang").mapInArrow(count, "lang string, bucket int, n bigint")
     total = partial.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    languages = sorted(r[0] for r in docs.where("lang is not null").select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # As many rows as the matrix has cells that are not empty.
+    table = total.toArrow()
+    named, bucket, n = table.column("lang").to_pylist(), table.column("bucket").to_numpy(), table.column("n").to_numpy()
+    languages = sorted(set(named))
     place = {lang: i for i, lang in enumerate(languages)}
+    column = np.array([place[lang] for lang in named], np.int64)
     counts, n_docs = np.zeros((buckets, len(languages))), np.zeros(len(languages))
-    for lang, bucket, n in total.toLocalIterator():
-        if bucket < 0:
-            n_docs[place[lang]] = n
-        else:
-            counts[bucket, place[lang]] = n
+    counts[bucket[bucket >= 0], column[bucket >= 0]] = n[bucket >= 0]
+    n_docs[column[bucket < 0]] = n[bucket < 0]
     learned = n_docs > 0
     counts, n_docs = counts[:, learned], n_docs[learned]
     log_prob = np.log(counts + smoothing) - np.log(counts.sum(axis=0) + smoothing * buckets)
@@ -108,11 +111,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
-                langs, scores = [], []
-                for text in batch.column(at):
-                    lang, score = _best(m, text.as_py())
-                    langs.append(lang)
-                    scores.append(score)
+                langs, scores = _best(m, batch.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*kept, "lang_pred", "score"]
                 )
@@ -120,11 +119,45 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select(*kept).mapInArrow(predict, schema)
 
 
-def _best(model: LanguageModel, text: str | None) -> tuple[str, float]:
-    if not text or not model.languages or not LETTER.search(text):
-        return "und", 0.0
-    counts = _counted(text, model.orders, len(model.log_prob))
-    at = np.flatnonzero(counts)
-    joint = counts[at].astype(np.float64) @ model.log_prob[at].astype(np.float64) + model.log_prior
-    best = int(np.argmax(joint))
-    return model.languages[best], float(1 / np.exp(joint - joint[best]).sum())
+def _joint(model: LanguageModel, texts: list[str]) -> np.ndarray:
+    """Log probability of each text under each language, texts times languages.
+
+    The sparse rows of the texts lie one after the other; their products with
+    the matrix are sums of its rows.
+    """
+    joint = np.tile(model.log_prior, (len(texts), 1))
+    parts: list[np.ndarray] = []
+    owners: list[int] = []
+    held = 0
+
+    def add() -> None:
+        nonlocal held
+        if held:
+            starts = np.cumsum([0, *map(len, parts[:-1])])
+            np.add.at(joint, owners, np.add.reduceat(model.log_prob[np.concatenate(parts)], starts, axis=0, dtype=np.float64))
+            parts.clear()
+            owners.clear()
+            held = 0
+
+    for i, text in enumerate(texts):
+        for found in text_buckets(text, model.orders, len(model.log_prob)):
+            if len(found):
+                parts.append(found)
+                owners.append(i)
+                held += len(found)
+            if held >= BATCH:
+                add()
+    add()
+    return joint
+
+
+def _best(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    known = [i for i, text in enumerate(texts) if has_letter(text)] if model.languages else []
+    langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+    if known:
+        joint = _joint(model, [texts[i] for i in known])
+        best = joint.argmax(axis=1)
+        sure = 1 / np.exp(joint - joint.max(axis=1, keepdims=True)).sum(axis=1)
+        for i, lang, score in zip(known, best, sure):
+            langs[i], scores[i] = model.languages[lang], float(score)
+    return langs, scores

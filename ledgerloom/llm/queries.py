@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, conversation_repair, decontaminate, embedding_dedup, hard_negatives, html_extract, jaccard_join, language_id, license_scan, line_dedup, ngram_lm, quality_rules, sql, url_reputation
 from ledgerloom.llm.text import table
 
-VOCABULARY = os.environ.get("BYTE_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 # The rules of the url query.
 URL_RULES = (
@@ -65,7 +65,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+    return jaccard_join.jaccard_components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:

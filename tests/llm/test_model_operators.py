@@ -145,11 +145,39 @@ def test_language_held_out_and_odd_rows(spark):
     rows = {(r.doc_id, r.text): r for r in language_id.predict_languages(odd, model).collect()}
     assert len(rows) == 8 and rows[1, None].lang_pred == rows[7, "123 !?"].lang_pred == rows[2, ""].lang_pred == "und"
     assert rows[3, LONG].lang_pred in model.languages and rows[1, None].score == 0
+    signs = frame(spark, [(1, "½ ²"), (2, "Ⅷ 12"), (3, "ª"), (4, "中文字"), (5, LONG * 3)])
+    named = {r.doc_id: r.lang_pred for r in language_id.predict_languages(signs, model).collect()}
+    assert named[1] == named[2] == "und" and "und" not in (named[3], named[4], named[5])
     nothing = language_id.fit_languages(docs.limit(0).select("text", "lang"))
     assert {r.lang_pred for r in language_id.predict_languages(odd, nothing).collect()} == {"und"}
     assert language_id.predict_languages(odd.limit(0), model).count() == 0
 
 
+def test_language_scores_against_counts(spark, monkeypatch):
+    """Batches of sparse rows give what counting one text's n-grams gives, also in pieces and small batches."""
+    texts = ["aab ab", "Ba", "ünï cödé 中文", "x" * 700, "1 2", None, "b\ud800a"]
+    docs = [("xx", "aabb ab"), ("yy", "bab ünï 中"), ("yy", "aaa xx"), ("zz", None)]
+    model = language_id.fit_languages(spark.createDataFrame(docs, "lang string, text string"), orders=(1, 2), buckets=97)
+    counts = {lang: Counter() for lang in ("xx", "yy")}
+
+    def grams(text):
+        return [b for found in language_id.text_buckets(text, (1, 2), 97) for b in found.tolist()]
+
+    for lang, text in docs[:3]:
+        counts[lang].update(grams(text))
+    for piece, batch in ((1 << 18, 1 << 20), (5, 7)):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        monkeypatch.setattr(language_id, "BATCH", batch)
+        langs, scores = language_id._best(model, texts)
+        for text, lang, score in zip(texts, langs, scores):
+            if text is None or not any(map(str.isalpha, text)):
+                assert (lang, score) == ("und", 0.0)
+                continue
+            joint = {x: math.log(n / 3) + sum(math.log((counts[x][b] + 0.5) / (sum(counts[x].values()) + 0.5 * 97)) for b in grams(text)) for x, n in (("xx", 1), ("yy", 2))}
+            best = max(joint, key=joint.get)
+            assert lang == best and score == pytest.approx(1 / sum(math.exp(v - joint[best]) for v in joint.values()), abs=1e-4)
+
+
 def brute_components(rows, size=5, percent=80):
     sets = []
     for i, text in rows:
