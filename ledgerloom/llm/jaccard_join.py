@@ -44,6 +44,7 @@ CELL = 512  # rows of one side of a cell
 SAMPLE = 4000  # documents that show which shingles are common
 COMMON = 8  # documents of the sample that make a shingle common
 LEADERS = 4
+BINS, SLACK = 128, 12  # of the sketches that leaders are told by, and the percent by which these may be off
 
 
 def token_set(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
@@ -58,12 +59,23 @@ def set_id(tokens: np.ndarray) -> int:
     return int(total.view(np.int64)[0])
 
 
+EDGES = (np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)).astype(np.uint64)
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """One byte for each of ``BINS`` ranges of hashes: of the least token in it, 0 if there is none. Tokens ascend."""
+    first = np.searchsorted(tokens, EDGES)
+    last = np.append(first[1:], len(tokens))
+    least = tokens[np.minimum(first, len(tokens) - 1)]
+    return np.where(first < last, mixed(least) % np.uint64(255) + np.uint64(1), np.uint64(0)).astype(np.uint8).tobytes()
+
+
 def _signed(tokens: np.ndarray) -> pa.Array:
     return pa.array(tokens.view(np.int64))
 
 
 def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for the empty set), bitmap, its shortest form, md5 of the text, and prefix shingles of every document.
+    """doc_id, n_shingles, set_id (null for the empty set), bitmap, its sketch, md5 of the text, and prefix shingles of every document.
 
     Copies of a text seen shortly before in the same task leave the keys out.
     """
@@ -80,7 +92,7 @@ def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                counts, ids, bits, briefs, digests, keys, ends = [], [], [], [], [], [], [0]
+                counts, ids, bits, sketches, digests, keys, ends = [], [], [], [], [], [], [0]
                 for text in batch.column(1):
                     text = text.as_py()
                     tokens = token_set(text, size, hashes)
@@ -96,16 +108,16 @@ def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
                     ids.append(own)
                     whole_bits = bitmap(tokens) if len(tokens) else None
                     bits.append(whole_bits)
-                    briefs.append(whole_bits and folded([whole_bits], FEWEST_BITS // 8)[0].tobytes())
+                    sketches.append(sketch(tokens) if len(tokens) else None)
                     keys.append(first)
                     ends.append(ends[-1] + len(first))
                 listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(np.concatenate(keys)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), pa.array(briefs, pa.binary()), pa.array(digests), listed],
-                    names=["doc_id", "n_shingles", "set_id", "bitmap", "brief", "digest", "keys"],
+                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary()), pa.array(sketches, pa.binary()), pa.array(digests), listed],
+                    names=["doc_id", "n_shingles", "set_id", "bitmap", "sketch", "digest", "keys"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id bigint, bitmap binary, brief binary, digest string, keys array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id bigint, bitmap binary, sketch binary, digest string, keys array<bigint>")
 
 
 def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
@@ -147,20 +159,20 @@ def _may_link(m: np.ndarray, n: np.ndarray, left: list[bytes], right: list[bytes
     return fits
 
 
-def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sizes and short bitmaps do not rule the similarity out."""
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sizes fit and whose sketches look alike; what is left out here, the trees find."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sizes = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            fits = _may_link(*sizes, batch.column(4).to_pylist(), batch.column(5).to_pylist(), percent)
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(fits))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in (2, 3))
+            both, either = ((x == y) & (x > 0)).sum(axis=1), ((x > 0) | (y > 0)).sum(axis=1)
+            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(100 * both >= (percent - SLACK) * either))
 
-    sides = [classes.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("brief").alias(f"bits_{c}")) for c in "ab"]
+    sides = [classes.select(F.col("set_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"]
     sized = pairs.join(sides[0], "a").join(sides[1], "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    return sized.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
+    return sized.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, sets: DataFrame | None, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -302,7 +314,7 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     common = spark.sparkContext.broadcast(common_shingles(docs, size, docs.count()))
     profile = cut_lineage(profiles(docs, size, percent, common))
     classes = cut_lineage(
-        profile.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"), F.first("brief").alias("brief"))
+        profile.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"), F.first("sketch").alias("sketch"))
     )
     members = _members(profile)
 
@@ -311,7 +323,7 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     for turn in ("leaders", "forest", "all"):
         grouped = members.join(known.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
         if turn == "leaders":
-            pairs = _bounded(_leader_pairs(grouped), classes, percent)
+            pairs = _likely(_leader_pairs(grouped), classes, percent)
         else:
             pairs = _tree_pairs(grouped, classes, percent, turn == "forest")
         pairs = cut_lineage(pairs)
