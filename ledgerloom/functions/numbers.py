@@ -28,6 +28,12 @@ def money_units(value: Column | str) -> Column:
     return F.rint(nan_to_null(value) * UNITS_PER_ONE).cast("bigint")
 
 
+def off_units(value: Column | str) -> Column:
+    """Whether an amount is not a whole number of ten-thousandths, beyond what arithmetic on doubles leaves."""
+    scaled = nan_to_null(value) * UNITS_PER_ONE
+    return F.abs(scaled - F.rint(scaled)) > 1e-3 + 1e-9 * F.abs(scaled)
+
+
 def from_units(units: Column | str) -> Column:
     return as_column(units).cast("double") / F.lit(float(UNITS_PER_ONE))
 

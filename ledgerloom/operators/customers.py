@@ -17,7 +17,7 @@ RFM_INPUT = ("CustomerID", "InvoiceNo", "InvoiceDate", "TotalPrice")
 BEHAVIOUR_INPUT = ("CustomerID", "InvoiceDate", "TotalPrice", "StockCode", "Country")
 
 
-def _with_recency(customers: DataFrame, snapshot: datetime | str | None) -> DataFrame:
+def recency_since(customers: DataFrame, snapshot: datetime | str | None) -> DataFrame:
     """Days from the last purchase to the snapshot.
 
     Without one it is the day after the last transaction, which is the largest
@@ -58,7 +58,7 @@ def rfm(
     dated = coerce_dates(transactions).where(F.col("CustomerID").isNotNull())
     grouped = dated.groupBy("CustomerID").agg(*_rfm_aggregates(approximate))
     named = grouped.withColumn("CustomerID", F.col("CustomerID").cast("bigint"))
-    return _with_recency(named, snapshot).select(*RFM_COLUMNS)
+    return recency_since(named, snapshot).select(*RFM_COLUMNS)
 
 
 def sort_rfm(table: DataFrame) -> DataFrame:
@@ -180,7 +180,12 @@ def churn_training_table(
         require_columns(transactions, {*RFM_INPUT, *BEHAVIOUR_INPUT}, "transactions")
         dated = coerce_dates(transactions).where(F.col("CustomerID").isNotNull())
         grouped = dated.groupBy("CustomerID").agg(*_rfm_aggregates(), *_behaviour_aggregates(basket))
-        joined = _with_home_flag(_with_recency(grouped, snapshot), dated, home_country)
+        joined = _with_home_flag(recency_since(grouped, snapshot), dated, home_country)
+    return with_churn_label(joined, inactivity_days)
+
+
+def with_churn_label(joined: DataFrame, inactivity_days: int = 90) -> DataFrame:
+    """The churn table from customers with their behaviour: gaps filled, label added."""
     filled = fill_churn_nulls(joined)
     features = [c for c in CHURN_FEATURES if c not in RFM_COLUMNS]
     return filled.withColumn("churned", churn_label("Recency", inactivity_days)).select(

@@ -45,6 +45,11 @@ def daily_revenue(
     invoices = lines.groupBy(*series, "InvoiceDate", "InvoiceNo", "CustomerID").agg(
         F.sum("units").alias("units"), F.sum("items").alias("items")
     )
+    return daily_from_invoices(invoices, series, fill_missing_days)
+
+
+def daily_from_invoices(invoices: DataFrame, series: Sequence[str] = (), fill_missing_days: bool = True) -> DataFrame:
+    """Daily totals from sums (units, items) per day, invoice and customer."""
     daily = invoices.groupBy(*series, "InvoiceDate").agg(
         from_units(F.coalesce(F.sum("units"), F.lit(0))).alias("Revenue"),
         F.count_distinct("InvoiceNo").alias("Orders"),

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.numbers import off_units
 from ledgerloom.sources.stages import publish, read_stage, remove, write_stage
 
 
@@ -17,7 +18,7 @@ class ValidationFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class Expectation:
-    kind: str  # row_count, not_null or between
+    kind: str  # row_count, not_null, between or whole_units
     column: str | None = None
     low: float | None = None
     high: float | None = None
@@ -31,6 +32,8 @@ class Expectation:
         value = F.col(self.column)
         if self.kind == "not_null":
             return value.isNull()
+        if self.kind == "whole_units":
+            return F.coalesce(off_units(self.column), F.lit(False))
         outside = F.lit(False)
         if self.low is not None:
             outside = outside | (value < self.low)

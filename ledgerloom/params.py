@@ -30,6 +30,7 @@ class Params:
     seasonality_mode: str = "multiplicative"
     changepoint_prior_scale: float = 0.05
     holidays_country: str = "UK"
+    series_keys: str = ""  # comma-separated columns of the roll-up; forecasts by series besides the total
     interval_width: float = 0.80
     drift_reference_fraction: float = 0.7
     drift_threshold: float = 0.1

@@ -27,6 +27,7 @@ from ledgerloom.operators import (
     prefix,
     quality,
     reports,
+    rollup,
     runs,
     segments,
 )
@@ -354,6 +355,64 @@ def _with_early_behaviour(spark: SparkSession, folder: str) -> DataFrame:
     return customers.join_rfm_behaviour(customers.rfm(lines), customers.customer_behaviour(early, HOME))
 
 
+@query
+def join_stored_features(spark, folder):
+    """RFM and behaviour stored by customer, joined where they lie."""
+    lines = cut_lineage(rollup.line_rollup(cleaned(spark, folder)))
+    paths = scratch_path(spark, "rfm"), scratch_path(spark, "behaviour")
+    for made, path in zip((rollup.rfm_of(lines), rollup.behaviour_of(lines, HOME)), paths):
+        stage_files.write_bucketed(made, path, ["CustomerID"], 8)
+    return customers.join_rfm_behaviour(*[stage_files.read_bucketed(spark, path) for path in paths])
+
+
+@query
+def line_rollup(spark, folder):
+    """Sums of the roll-up by country and month."""
+    lines = rollup.line_rollup(cleaned(spark, folder))
+    month = F.trunc("day", "MM").alias("month")
+    return lines.groupBy("Country", month).agg(F.sum("lines").alias("lines"), F.sum("items").alias("items"), numbers.from_units(F.sum("units")).alias("revenue"), F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+@query
+def rfm_of_rollup(spark, folder):
+    return rollup.rfm_of(cut_lineage(rollup.line_rollup(cleaned(spark, folder))))
+
+
+@query
+def behaviour_of_rollup(spark, folder):
+    return rollup.behaviour_of(cut_lineage(rollup.line_rollup(cleaned(spark, folder))), HOME)
+
+
+@query
+def daily_of_rollup(spark, folder):
+    return rollup.daily_of(cut_lineage(rollup.line_rollup(cleaned(spark, folder))), ["Country"])
+
+
+@query
+def sku_sales_of_rollup(spark, folder):
+    return rollup.sku_sales_of(cut_lineage(rollup.line_rollup(cleaned(spark, folder))))
+
+
+@query
+def merged_states(spark, folder):
+    """States of the days before and after a date, merged; estimated counts against the exact ones."""
+    lines = cut_lineage(rollup.line_rollup(cleaned(spark, folder)))
+    parts = [rollup.customer_states(lines.where(f"day {op} date '2000-01-01'")) for op in ("<", ">=")]
+    states = cut_lineage(rollup.merge_states(parts[0].unionByName(parts[1])))
+    known = rollup.rfm_of_states(states).join(rollup.behaviour_of_states(states), "CustomerID")
+    exact = rollup.rfm_of(lines).join(rollup.behaviour_of(lines), "CustomerID").select("CustomerID", F.col("Frequency").alias("f"), F.col("unique_products").alias("p"))
+    near = [F.abs(F.col(a) - F.col(b)) <= 0.05 * F.col(b) for a, b in (("Frequency", "f"), ("unique_products", "p"))]
+    both = known.join(exact, "CustomerID").withColumn("counts_near", near[0] & near[1])
+    return both.select("CustomerID", "Recency", "Monetary", "FirstPurchase", "LastPurchase", "avg_basket_size", "avg_days_between", "counts_near")
+
+
+@query
+def amounts_off_units(spark, folder):
+    """Event values that are finer than a ten-thousandth."""
+    values = table(spark, folder, "events").select("event_type", "value")
+    return values.groupBy("event_type").agg(F.count("value").alias("amounts"), F.count_if(numbers.off_units("value")).alias("off"))
+
+
 @query
 def fill_churn_nulls(spark, folder):
     return customers.fill_churn_nulls(_with_early_behaviour(spark, folder))

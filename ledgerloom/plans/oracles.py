@@ -502,6 +502,22 @@ SPECS: dict[str, str] = {
     "join_rfm_behaviour": """
         SELECT r.*, b.avg_basket_size, b.unique_products, b.avg_days_between, b.is_uk
         FROM rfm r LEFT JOIN behaviour b ON b.CustomerID = r.CustomerID""",
+    "join_stored_features": """
+        SELECT r.*, b.avg_basket_size, b.unique_products, b.avg_days_between, b.is_uk
+        FROM rfm r LEFT JOIN behaviour b ON b.CustomerID = r.CustomerID""",
+    "line_rollup": f"""
+        SELECT Country, CAST(date_trunc('month', InvoiceDate) AS DATE) AS month, count(*) AS lines, CAST(sum(Quantity) AS BIGINT) AS items,
+               {money_sum('TotalPrice')} AS revenue, min(InvoiceDate) AS "first", max(InvoiceDate) AS "last" FROM cleaned GROUP BY 1, 2""",
+    "rfm_of_rollup": "SELECT * FROM rfm",
+    "behaviour_of_rollup": "SELECT * FROM behaviour",
+    "daily_of_rollup": "SELECT * FROM daily_country",
+    "sku_sales_of_rollup": "SELECT * FROM sku",
+    "merged_states": """
+        SELECT r.CustomerID, Recency, Monetary, FirstPurchase, LastPurchase, avg_basket_size, avg_days_between, true AS counts_near
+        FROM rfm r JOIN behaviour b ON b.CustomerID = r.CustomerID""",
+    "amounts_off_units": """
+        SELECT event_type, count(value) AS amounts, count(*) FILTER (WHERE abs(value * 10000 - round_even(value * 10000, 0)) > 1e-3 + 1e-9 * abs(value * 10000)) AS off
+        FROM events GROUP BY event_type""",
     "fill_churn_nulls": """
         SELECT CustomerID, Recency, Frequency, Monetary, FirstPurchase, LastPurchase,
                coalesce(avg_basket_size, Monetary / greatest(Frequency, 1)) AS avg_basket_size,

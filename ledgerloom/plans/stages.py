@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import churn, drift, forecast, inventory, segments
 from ledgerloom.operators.cleaning import clean, clean_report
-from ledgerloom.operators.customers import churn_training_table, rfm
-from ledgerloom.operators.daily import daily_revenue, timeseries_features
+from ledgerloom.operators.customers import join_rfm_behaviour, with_churn_label
+from ledgerloom.operators.daily import timeseries_features
 from ledgerloom.operators.forecast import ForecastSpec
-from ledgerloom.operators.quality import default_suite, gate_and_write
+from ledgerloom.operators.quality import Expectation, default_suite, gate_and_write
+from ledgerloom.operators.rollup import behaviour_of, customer_states, daily_of, line_rollup, merge_states, rfm_of, rfm_of_states
 from ledgerloom.operators.runs import log_run, promote_best, read_runs
 from ledgerloom.params import Params
 from ledgerloom.session import cut_lineage
@@ -56,21 +57,45 @@ def run_data(
     while writing, a retried task could count its rows twice.
     """
     source = load_raw(spark, raw) if isinstance(raw, str) else raw
-    suite = default_suite(params.min_rows, params.max_rows)
+    # Amounts are summed as whole ten-thousandths; finer ones would be rounded line by line, so they are refused.
+    suite = [*default_suite(params.min_rows, params.max_rows), Expectation("whole_units", "TotalPrice")]
     gate_and_write(clean(source), layout.at("cleaned"), layout.at("quarantine"), suite)
     write_json_report(clean_report(source), layout.at("clean_report"))
     return spark.read.json(layout.at("clean_report"))
 
 
 def run_features(spark: SparkSession, layout: Layout, params: Params = Params()) -> dict[str, DataFrame]:
-    cleaned = layout.need(spark, "cleaned", "data")
-    write_stage(rfm(cleaned), layout.at("rfm"))
-    write_stage(daily_revenue(cleaned), layout.at("daily_revenue"))
+    """Customer and daily features. The lines are read once, for the roll-up that everything else is made from."""
+    write_stage(line_rollup(layout.need(spark, "cleaned", "data")), layout.at("rollup"))
+    rollup = read_stage(spark, layout.at("rollup"))
+    write_stage(rfm_of(rollup), layout.at("rfm"))
+    write_stage(behaviour_of(rollup, params.home_country), layout.at("behaviour"))
+    write_stage(daily_of(rollup), layout.at("daily_revenue"))
+    if params.series_keys:
+        write_stage(daily_of(rollup, params.series_keys.split(",")), layout.at("daily_series"))
     daily = read_stage(spark, layout.at("daily_revenue"))
     write_stage(timeseries_features(daily, params.lags, params.windows), layout.at("timeseries_features"))
     return {name: read_stage(spark, layout.at(name)) for name in ("rfm", "daily_revenue", "timeseries_features")}
 
 
+def update_features(spark: SparkSession, layout: Layout, params: Params = Params()) -> DataFrame:
+    """RFM kept up by days: only days after the last known one are read, and their states merged with the stored ones.
+
+    The frequency is an estimate here (see ``customer_states``); ``run_features`` is exact.
+    """
+    cleaned, path = layout.need(spark, "cleaned", "data"), layout.at("customer_states")
+    if exists(spark, path):
+        through = read_stage(spark, path).agg(F.max("through")).first()[0]
+        cleaned = cleaned.where(F.col("InvoiceDate") >= F.date_add(F.lit(through), 1).cast("timestamp_ntz"))
+    rollup = cut_lineage(line_rollup(cleaned))
+    newest = rollup.agg(F.max("day")).first()[0]
+    if newest is not None:
+        write_stage(customer_states(rollup).withColumn("through", F.lit(newest)), path, mode="append")
+    merged = merge_states(read_stage(spark, path).drop("through"))
+    write_stage(rfm_of_states(merged), layout.at("rfm_estimated"))
+    return read_stage(spark, layout.at("rfm_estimated"))
+
+
 def spec_from(params: Params) -> ForecastSpec:
     return ForecastSpec(
         weekly_order=params.weekly_order,
@@ -95,17 +120,23 @@ def train_forecasting(spark: SparkSession, layout: Layout, params: Params) -> di
     write_stage(forecast.fit_forecaster(frame, spec), layout.at("models/forecaster"))
     models = read_stage(spark, layout.at("models/forecaster"))
     write_stage(forecast.predict_demand(models, params.horizon_days, spec), layout.at("forecast"))
+    if params.series_keys:
+        _train_series(spark, layout, params, spec)
     return metrics
 
 
+def _train_series(spark: SparkSession, layout: Layout, params: Params, spec: ForecastSpec) -> None:
+    """Models, forecasts and holdout metrics of every series; short ones are listed with the reason."""
+    frame = forecast.prepare_series(layout.need(spark, "daily_series", "features"), params.series_keys.split(","))
+    write_stage(forecast.evaluate_forecaster(frame, spec, params.holdout_days), layout.at("series_evaluation"))
+    write_stage(forecast.fit_forecaster(frame, spec), layout.at("models/series_forecaster"))
+    models = read_stage(spark, layout.at("models/series_forecaster"))
+    write_stage(forecast.predict_demand(models, params.horizon_days, spec), layout.at("series_forecast"))
+
+
 def train_churn(spark: SparkSession, layout: Layout, params: Params) -> dict:
-    cleaned = layout.need(spark, "cleaned", "data")
-    table = churn_training_table(
-        cleaned,
-        layout.need(spark, "rfm", "features"),
-        inactivity_days=params.inactivity_days,
-        home_country=params.home_country,
-    )
+    joined = join_rfm_behaviour(layout.need(spark, "rfm", "features"), layout.need(spark, "behaviour", "features"))
+    table = with_churn_label(joined, params.inactivity_days)
     split = cut_lineage(churn.stratified_split(table, seed=params.seed))
     train = split.where(~F.col("is_test"))
     models = {"gbt": churn.fit_churn(train, params.churn_trees, seed=params.seed)}

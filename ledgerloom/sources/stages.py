@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,33 @@ def write_stage(df: DataFrame, path: str, by_month: bool = False, mode: str = "o
     )
 
 
+def _bucket_table(path: str) -> str:
+    return f"bucketed_{hashlib.md5(path.rstrip('/').encode()).hexdigest()[:16]}"
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """A table whose rows are dealt to ``buckets`` by ``keys`` and sorted within, so that joins and groups on them move no rows.
+
+    The layout is kept beside the files, for sessions that do not know the table.
+    """
+    spark, name = df.sparkSession, _bucket_table(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    placed = df.repartition(buckets, *keys)
+    placed.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    spark.createDataFrame([(list(keys), buckets)], "keys array<string>, buckets int").coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}__buckets")
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``write_bucketed`` with its layout, whichever session wrote it."""
+    name = _bucket_table(path)
+    if not spark.catalog.tableExists(name):
+        layout = spark.read.schema("keys array<string>, buckets int").json(f"{path.rstrip('/')}__buckets").first()
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        keys = ", ".join(f"`{key}`" for key in layout["keys"])
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {layout['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -9,15 +9,17 @@ from pyspark.sql.types import StructType
 from ledgerloom.schemas import RAW_COLUMNS
 
 
-_schemas: dict[str, StructType] = {}
+_schemas: dict[tuple[str, int], StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the folder; its schema is read from the files only once."""
+    """A table of the folder; its schema is read again only after the path has changed."""
     path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    changed = target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).getModificationTime()
+    if (path, changed) not in _schemas:
+        _schemas[path, changed] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path, changed]).parquet(path)
 
 
 def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
