@@ -356,7 +356,7 @@ SCORED_COUNTS = """
            count(*) FILTER (WHERE churned = 1 AND churn_probability < 0.5) AS fn,
            count(*) AS n FROM scored
 """
-# Both tests from the counts that the distances use; the sum for the chi-square tail holds for even degrees of freedom.
+# Both tests from the counts that the distances use; the chi-square tail by the series of the lower part.
 P_VALUES = """,
     statistics AS (
         SELECT "column", count(v) > 0 AS is_number, max(abs(gap)) AS d, sum(nr) AS n, sum(nc) AS m, count(*) - 1 AS freedom,
@@ -367,7 +367,7 @@ P_VALUES = """,
         SELECT "column", CASE WHEN is_number THEN 'K-S p_value' ELSE 'chi-square p_value' END AS method,
                CASE WHEN is_number
                     THEN greatest(least(2 * list_sum(list_transform(range(1, 400), lambda j: (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * j * j * d * d * n * m / (n + m)))), 1.0), 0.0)
-                    ELSE list_sum(list_transform(range(0, freedom // 2), lambda i: exp(i * ln(h) - h - lgamma(i + 1)))) END AS score
+                    ELSE 1 - list_sum(list_transform(range(0, 2000), lambda i: exp((freedom / 2 + i) * ln(greatest(h, 1e-300)) - h - lgamma(freedom / 2 + i + 1)))) END AS score
         FROM statistics)"""
 DAY_CELLS = """day_split AS (SELECT *, CASE WHEN InvoiceDate < TIMESTAMP '2000-01-01' THEN 'reference' ELSE 'current' END AS side FROM cleaned),
     day_cells AS (
