@@ -137,7 +137,8 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) ->
     variant = F.transform(positions, lambda i: F.struct(i.alias("at"), F.xxhash64(_without(F.col("words"), i)).alias("key")))
     # The line itself is the variant at 0.
     every = F.concat(F.array(F.struct(F.lit(0).alias("at"), F.xxhash64("words").alias("key"))), variant)
-    variants = suspects.select("id", F.explode(every).alias("v")).select("id", "v.at", "v.key")
+    # Written, since they are counted by key and then joined with the keys that occur twice.
+    variants = cut_lineage(suspects.select("id", F.explode(every).alias("v")).select("id", "v.at", "v.key"))
     several = variants.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
     meeting = cut_lineage(variants.join(several, "key").join(suspects.select("id", "first"), "id"))
 
