@@ -105,6 +105,21 @@ def op5_url_reputation(rules: tuple[tuple[str, str, str], ...], suffixes: tuple[
         SELECT count(*) AS k, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad, sum(bad * bad / n::DOUBLE) AS q, sum(n * n)::DOUBLE AS nn, sum(bad) / sum(n)::DOUBLE AS m
         FROM {children} WHERE n > 0 GROUP BY {parent}))))"""
 
+    def posterior(strength: str, level: str, above: str) -> str:
+        """Mean and variance under a prior of two parts, ordinary (strength) and odd (2)."""
+
+        def evidence(size: str) -> str:
+            p = "least(greatest(above, 1e-6::DOUBLE), 1 - 1e-6::DOUBLE)"
+            prior = f"lgamma({size} * {p}) + lgamma({size} * (1 - {p})) - lgamma({size}::DOUBLE)"
+            return f"lgamma({size} * {p} + bad) + lgamma({size} * (1 - {p}) + n - bad) - lgamma({size} + n::DOUBLE) - ({prior})"
+
+        return f"""(
+  SELECT *, (1 - odd) * m1 + odd * m2 AS mean,
+    (1 - odd) * m1 * (1 - m1) / (size + n + 1) + odd * m2 * (1 - m2) / (2 + n + 1) + odd * (1 - odd) * (m1 - m2) ** 2 AS variance FROM (
+    SELECT *, (size * above + bad) / (size + n) AS m1, (2 * above + bad) / (2 + n) AS m2,
+      1 / (1 + 99 * exp(least({evidence("size")} - ({evidence("2")}), 700))) AS odd FROM (
+      SELECT l.*, {above} AS above, {strength} AS size FROM {level})))"""
+
     return rf"""
 WITH outcome AS (
   SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality = 1 AND toxic = 0 THEN 0 END) AS bad FROM labels GROUP BY doc_id
@@ -128,16 +143,16 @@ WITH outcome AS (
   SELECT CASE WHEN sum(n) > 0 THEN sum(bad) / sum(n)::DOUBLE ELSE 0 END AS rate, {strength("suffix_counts", "root")} AS s0,
     {strength("domain_counts", "suffix")} AS s1, {strength("host_counts", "domain")} AS s2 FROM suffix_counts
 ), by_suffix AS (
-  SELECT suffix, (s0 * rate + bad) / (s0 + n) AS mean FROM suffix_counts, overall
+  SELECT suffix, mean FROM {posterior("s0", "suffix_counts l, overall", "rate")}
 ), by_domain AS (
-  SELECT domain, (s1 * s.mean + bad) / (s1 + n) AS mean FROM domain_counts JOIN by_suffix s USING (suffix), overall
+  SELECT domain, mean FROM {posterior("s1", "domain_counts l JOIN by_suffix s USING (suffix), overall", "s.mean")}
 ), by_host AS (
-  SELECT host, (s2 * d.mean + bad) / (s2 + n) AS mean, s2 + n AS size FROM host_counts JOIN by_domain d USING (domain), overall
+  SELECT host, greatest(mean - 1.645 * sqrt(variance), 0) AS lower FROM {posterior("s2", "host_counts l JOIN by_domain d USING (domain), overall", "d.mean")}
 ), judged AS (
-  SELECT page_id, host, path, CASE {fits} END AS fit, mean - 1.645 * sqrt(mean * (1 - mean) / (size + 1)) AS lower FROM named JOIN by_host USING (host)
+  SELECT page_id, host, path, CASE {fits} END AS fit, lower > least(3 * rate / (1 + 2 * rate), 0.5) AS bad_host FROM named JOIN by_host USING (host), overall
 )
 SELECT page_id, host, path, substr(fit, strpos(fit, ':') + 1) AS rule,
-  coalesce(split_part(fit, ':', 1), CASE WHEN lower > 0.5 THEN 'block' ELSE 'allow' END) AS verdict FROM judged
+  coalesce(split_part(fit, ':', 1), CASE WHEN bad_host THEN 'block' ELSE 'allow' END) AS verdict FROM judged
 """
 
 # Every vector with every other one, and paths of links; the operator's trees have to find the same.

@@ -158,3 +158,35 @@ def test_url_rules_and_reputation(spark):
     assert 0 < got[7].bad_rate < got[100].bad_rate < 1
     assert {r.verdict for r in url_reputation.judge_urls(pages, labels.limit(0), ()).collect()} == {"allow"}
     assert url_reputation.judge_urls(pages.limit(0), labels, RULES).count() == 0
+
+
+def test_one_bad_host_among_many(spark):
+    hosts = [f"h{i}.site{i % 20}.org" for i in range(199)]
+    pages = [(h, j, int(j % 4 == 0)) for h in hosts for j in range(40)]
+    pages += [("odd.site3.org", j, 1) for j in range(50)] + [("few.site4.org", j, int(j < 4)) for j in range(6)] + [("new.site3.org", 0, None)]
+    rows = [(i, f"http://{h}/{j}", bad) for i, (h, j, bad) in enumerate(pages)]
+    rows.append((len(rows), "http://long.site5.org/" + "x" * 100_000, None))
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, bad int")
+    labels = frame.select(F.col("page_id").alias("doc_id"), (1 - F.col("bad")).alias("quality"), F.lit(0).alias("toxic"))
+    got = url_reputation.judge_urls(frame.unionAll(frame.limit(3)), labels, ()).collect()
+    assert len(got) == len(rows) + 3
+    assert {r.host for r in got if r.verdict == "block"} == {"odd.site3.org"}
+    by_host = {r.host: r for r in got}
+    assert by_host["odd.site3.org"].bad_lower > 0.9 and 0.2 < by_host["few.site4.org"].bad_rate < 0.4
+    assert 0.2 < by_host["new.site3.org"].bad_rate < 0.4
+
+
+def test_odds_against_a_low_base_rate(spark):
+    rows = [(i * 100 + j, f"http://h{i}.com/{j}", int(j == 0 if i else j < 30)) for i in range(50) for j in range(100)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, bad int")
+    labels = frame.select(F.col("page_id").alias("doc_id"), (1 - F.col("bad")).alias("quality"), F.lit(0).alias("toxic"))
+    got = url_reputation.judge_urls(frame, labels, ()).collect()
+    assert {r.host for r in got if r.verdict == "block"} == {"h0.com"}  # 30 of 100 where others have 1 of 100
+
+
+def test_log_gamma(spark):
+    import math
+
+    values = [1e-6, 0.01, 0.5, 1.0, 2.5, 40.0, 1e6]
+    got = spark.createDataFrame([(v,) for v in values], "x double").select(url_reputation._log_gamma(F.col("x")).alias("g")).collect()
+    assert [r.g for r in got] == pytest.approx([math.lgamma(v) for v in values], abs=1e-7, rel=1e-9)
