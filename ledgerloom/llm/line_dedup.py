@@ -13,14 +13,17 @@ leaving out the same word position are all within one edit of each other, so
 each needs to be compared with the earliest of its key only: no pairs within a
 key are made, and keys are counted with partial sums.
 
-What is shuffled are hashes and places: lines are named by a 64-bit hash of
-their words, words by a 32-bit one. Texts move twice, once to look the words of
-the lines up that need variants and once to leave lines out.
+What is shuffled are hashes and places: words are named by 64 bits, lines by
+128 where equality decides and by 64 where a verification on the words follows.
+Texts move twice, once to look the words of the lines up that need variants and
+once to leave lines out.
 
 Lines are ordered by doc_id and line; a null id comes first, and a line that
-occurs twice in one document stays once. Lines below ``min_words`` words are
-never touched, those below ``near_words`` only if equal. Null texts stay null,
-empty ones empty. Line breaks are \\n.
+occurs twice in one document stays once. Every line with a word is compared for
+equality, whatever its length (``min_words`` can ask for more). One edit is
+meant from ``near_words`` words on, where it leaves four fifths of the words;
+both lines must have that many. Null texts stay null, empty ones empty. Line
+breaks are \\n.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ def line_words(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """doc_id, digest of its text, line (from 0), id and part keys of every line with enough words.
+    """doc_id, digest of its text, line (from 0), id, its other half and part keys of every line with enough words.
 
     Lines are made and chosen within one expression: a filter on what is made
     would be moved below it, and everything be made twice.
@@ -52,13 +55,22 @@ def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     def named(line: Column) -> Callable[[Column], Column]:
         def of(words: Column) -> Column:
             keys = F.when(F.size(words) >= near_words, _part_keys(words))
-            return F.struct(F.size(words).alias("n"), line.alias("line"), F.xxhash64(words).alias("id"), keys.alias("keys"))
+            return F.struct(F.size(words).alias("n"), line.alias("line"), F.xxhash64(words).alias("id"), _half(words).alias("half"), keys.alias("keys"))
 
         return of
 
-    each = F.transform(F.split("text", "\n"), lambda raw, i: let(F.transform(line_words(raw), lambda w: F.hash(w)), named(i)))
+    each = F.transform(F.split("text", "\n"), lambda raw, i: let(_hashed(line_words(raw)), named(i)))
     chosen = F.filter(each, lambda line: line["n"] >= min_words)
-    return docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.explode(chosen).alias("l")).select("doc_id", "text_id", "l.line", "l.id", "l.keys")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.explode(chosen).alias("l")).select("doc_id", "text_id", "l.line", "l.id", "l.half", "l.keys")
+
+
+def _hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _half(words: Column) -> Column:
+    """The second 64 bits of a line's name."""
+    return F.xxhash64(F.lit(1), words)
 
 
 def _place() -> Column:
@@ -118,15 +130,15 @@ def _words_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     listed = wanted.groupBy(F.col("first.doc_id").alias("of"), F.col("first.text_id").alias("of_text")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "id", "parts")).alias("lines"))
     joined = docs.select("doc_id", "text").join(listed, F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("of_text")))
     each = joined.select("doc_id", F.col("of_text").alias("text_id"), F.split("text", "\n").alias("raw"), "lines").select("doc_id", "text_id", "raw", F.explode("lines").alias("l"))
-    words = F.transform(line_words(F.get("raw", F.col("l.line"))), lambda w: F.hash(w))
+    words = _hashed(line_words(F.get("raw", F.col("l.line"))))
     return each.select("l.id", F.struct("doc_id", "text_id", F.col("l.line").alias("line")).alias("first"), "l.parts", words.alias("words")).dropDuplicates(["id"])
 
 
-def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = 1, near_words: int = 5) -> DataFrame:
     """(doc_id, text_id, line) of the lines to drop."""
     # Lines are named by a hash of their words from here on; equal ones are settled by their first place.
     named = cut_lineage(lines_of(docs, min_words, near_words))
-    firsts = named.groupBy("id").agg(F.min(_place()).alias("first"))
+    firsts = named.groupBy("id", "half").agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
 
     keys = named.where("keys is not null").select("id", F.explode("keys").alias("k")).select("id", "k.part", "k.key")
     shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
@@ -154,14 +166,15 @@ def repeated_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) ->
 
     texts = suspects.select("id", "words")
     checked = pairs.join(texts, "id").join(texts.select(F.col("id").alias("other"), F.col("words").alias("other_words")), "other")
-    near = checked.where(one_edit(F.col("words"), F.col("other_words"))).select("id", F.lit(True).alias("near")).distinct()
+    near = checked.where(one_edit(F.col("words"), F.col("other_words"))).select("id", _half(F.col("words")).alias("half"), F.lit(True).alias("near")).distinct()
 
-    settled = firsts.join(near, "id", "left")
-    dropped = named.select("id", _place().alias("place")).join(settled, "id").where(F.col("near") | (F.col("first") != F.col("place")))
+    # Lines that occur once and have no partner stay without another look. The rest is written, so that the join may split a very common line.
+    settled = cut_lineage(firsts.join(near, ["id", "half"], "left").where("n > 1 or near").select("id", "half", "first", "near"))
+    dropped = named.select("id", "half", _place().alias("place")).join(settled, ["id", "half"]).where(F.col("near") | (F.col("first") != F.col("place")))
     return dropped.select("place.*")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 1, near_words: int = 5) -> DataFrame:
     """All columns of ``docs``, with the text without repeated lines, and n_lines and n_dropped.
 
     Rows that repeat doc_id and text are one document, with one result for each row.

@@ -7,12 +7,12 @@ WITH raw AS (
 ), named AS (
   SELECT doc_id, ln, line, list_filter(regexp_split_to_array(lower(line), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS words FROM raw
 ), firsts AS (
-  SELECT words, min((doc_id, ln)) AS first FROM named WHERE len(words) >= 5 GROUP BY words
+  SELECT words, min((doc_id, ln)) AS first FROM named WHERE len(words) >= 1 GROUP BY words
 ), numbered AS (
   SELECT row_number() OVER (ORDER BY first) AS id, words, first, len(words) AS n FROM firsts
 ), halves AS (
   SELECT DISTINCT id, n, side, h, CASE WHEN side = 0 THEN words[1:h] ELSE words[n - h + 1:n] END AS half
-  FROM (SELECT *, unnest([n // 2, (n - 1) // 2]) AS h FROM numbered WHERE n >= 10), (SELECT unnest([0, 1]) AS side)
+  FROM (SELECT *, unnest([n // 2, (n - 1) // 2]) AS h FROM numbered WHERE n >= 5), (SELECT unnest([0, 1]) AS side)
 ), pairs AS (
   SELECT DISTINCT a.id AS a, b.id AS b FROM halves a JOIN halves b USING (side, h, half) WHERE a.id < b.id AND abs(a.n - b.n) <= 1
 ), ends AS (
@@ -62,18 +62,22 @@ FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 """
 
 
-def op6_license_scan(templates: tuple[tuple[str, str], ...]) -> str:
+def op6_license_scan(templates: tuple[tuple[str, str, str], ...]) -> str:
     """Every window of every length, without bands: shingles that windows and templates share are counted."""
-    values = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(templates))
+    quoted = [tuple(x.replace("'", "''") for x in t) for t in templates]
+    values = ", ".join(f"({i}, '{name}', '{text}', '{telling}')" for i, (name, text, telling) in enumerate(quoted))
     return rf"""
 WITH template AS (
-  SELECT id, license, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS words FROM (VALUES {values}) AS v(id, license, t)
+  SELECT id, license, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS words,
+    list_filter(regexp_split_to_array(lower(told), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS told FROM (VALUES {values}) AS v(id, license, t, told)
+), telling AS (
+  SELECT DISTINCT id, told[i:i + 2] AS s, true AS must FROM (SELECT id, told, unnest(range(1, len(told) - 1)) AS i FROM template)
 ), wanted AS (
   SELECT DISTINCT id, license, n, words[i:i + 2] AS s FROM (SELECT id, license, words, len(words) AS n, unnest(range(1, len(words) - 1)) AS i FROM template)
 ), sizes AS (
-  SELECT id, count(*) AS total FROM wanted GROUP BY id
+  SELECT id, count(*) AS total, count(must) AS musts FROM wanted LEFT JOIN telling USING (id, s) GROUP BY id
 ), shape AS (
-  SELECT id, license, n + CAST(ceil(n / 4) AS INT) AS size, greatest(1, n // 4) AS stride, total FROM (SELECT DISTINCT id, license, n FROM wanted) JOIN sizes USING (id)
+  SELECT id, license, n + CAST(ceil(n / 4) AS INT) AS size, greatest(1, n // 4) AS stride, total, musts FROM (SELECT DISTINCT id, license, n FROM wanted) JOIN sizes USING (id)
 ), doc AS (
   SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS words FROM documents
 ), placed AS (
@@ -83,9 +87,9 @@ WITH template AS (
 ), windowed AS (
   SELECT doc_id, id, s, (p // stride - k) * stride AS start, p, size FROM hit JOIN shape USING (id), range(64) AS r(k) WHERE k <= (size - 3) // stride + 1
 ), counted AS (
-  SELECT doc_id, id, start, count(DISTINCT s) AS n FROM windowed WHERE start >= 0 AND p + 3 <= start + size GROUP BY doc_id, id, start
+  SELECT doc_id, id, start, count(DISTINCT s) AS n, count(DISTINCT s) FILTER (must) AS told FROM windowed LEFT JOIN telling USING (id, s) WHERE start >= 0 AND p + 3 <= start + size GROUP BY doc_id, id, start
 ), matched AS (
-  SELECT doc_id, license, start, n / total AS containment FROM counted JOIN shape USING (id) WHERE n / total >= 0.8
+  SELECT doc_id, license, start, n / total AS containment FROM counted JOIN shape USING (id) WHERE n / total >= 0.8 AND told = musts
 )
 SELECT doc_id, license, max(containment) AS containment, arg_min(start, (-containment, start))::BIGINT AS start FROM matched GROUP BY doc_id, license
 """

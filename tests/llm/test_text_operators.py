@@ -89,17 +89,25 @@ def test_line_dedup_odd_rows(spark):
     frame = docs_of(spark, rows).withColumn("line", F.lit("clash")).withColumn("gone", F.lit(1)).withColumn("n_lines", F.lit(0))
     got = [(r.doc_id, r.text, r.n_dropped) for r in line_dedup.dedup_lines(frame).collect()]
     assert len(got) == 8 and (None, BASE, 0) in got and (1, None, 0) in got and (2, "", 0) in got
-    assert (3, "", 1) in got and (4, "x", 2) in got and got.count((5, LONG, 0)) == 2 and (6, "a b\na b", 0) in got
+    assert (3, "", 1) in got and (4, "x", 2) in got and got.count((5, LONG, 0)) == 2 and (6, "a b", 1) in got
     assert line_dedup.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+def test_short_lines(spark):
+    rows = [(1, "Read more here\nown one\n!!\n\nfour words of menu\na nine word line that stands in one document", "a"),
+            (2, "read more here!\nown two\n!!\n\nFour words, of menu\na nine word line that stands in another document", "a"),
+            (3, "Read more there\nfive words one is other\nfive words one is another", "a")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "own two\n!!\n", 3: "Read more there\nfive words one is other"}
+
+
 def test_line_dedup_against_pairs(spark):
     import random
 
     draw = random.Random(5)
     texts = []
     for i in range(60):
-        n = draw.randint(10, 14)
+        n = draw.randint(3, 9)
         line = [f"v{draw.randint(0, 3)}" for _ in range(n)]
         texts.append((i, " ".join(line)))
         other = list(line)
@@ -116,7 +124,7 @@ def test_line_dedup_against_pairs(spark):
         return len(b) - len(a) == 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
 
     texts.sort()
-    want = {i: any(near(t, u) and (t == u or min(len(t.split()), len(u.split())) >= 10) for _, u in texts[:k]) for k, (i, t) in enumerate(texts)}
+    want = {i: any(near(t, u) and (t == u or min(len(t.split()), len(u.split())) >= 5) for _, u in texts[:k]) for k, (i, t) in enumerate(texts)}
     # A line below the near bound is only dropped if it is equal; lines at the bound may have a partner below it.
     got = {r.doc_id: r.n_dropped == 1 for r in line_dedup.dedup_lines(docs_of(spark, [(i, t, "a") for i, t in texts])).collect()}
     assert got == want
@@ -136,7 +144,29 @@ def test_licenses(spark):
     assert got[1, "MIT"].containment == 1.0 and 0.8 <= got[3, "MIT"].containment < 1
     assert license_scan.scan_licenses(docs_of(spark, [])).count() == 0
     with pytest.raises(ValueError):
-        license_scan.scan_licenses(docs_of(spark, []), [("x", "two words")])
+        license_scan.scan_licenses(docs_of(spark, []), [("x", "two words", "")])
+    with pytest.raises(ValueError):
+        license_scan.scan_licenses(docs_of(spark, []), [("x", "three words here", "not among them")])
+
+
+ALIKE = [
+    ("Licensed under the GNU General Public License, version 2 or later", {"GPL-2.0"}),
+    ("Licensed under the GNU General Public License, version 3", {"GPL-3.0"}),
+    (license_scan.NOTICES[7][1], {"GPL"}),
+    (license_scan.NOTICES[7][1].replace("GNU General", "GNU Lesser General"), {"LGPL"}),
+    (license_scan.NOTICES[7][1].replace("GNU General", "GNU Affero General"), {"AGPL"}),
+    ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted", {"ISC"}),
+    ("// SPDX-License-Identifier: MIT\nint main", {"MIT"}),
+    ("SPDX-License-Identifier: GPL-2.0-only", {"GPL-2.0"}),
+    ("Released under the BSD License", set()),
+]
+
+
+@pytest.mark.parametrize("copies", [1, 30])  # with and without a broadcast
+def test_licenses_that_are_alike(spark, copies):
+    rows = [(i, f"before {text} after", "a") for i, (text, _) in enumerate(ALIKE)] * 2
+    got = license_scan.scan_licenses(docs_of(spark, rows), license_scan.TEMPLATES * copies).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == sorted((i, name) for i, (_, names) in enumerate(ALIKE) for name in names)
 
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"))
