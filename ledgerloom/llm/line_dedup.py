@@ -79,7 +79,7 @@ def _place() -> Column:
 
 
 def _part_keys(words: Column) -> Column:
-    """(part, key) for each of ``PARTS`` parts: a hash of all words but those of the part.
+    """A key for each of ``PARTS`` parts: a hash of all words but those of the part, whose number the last two bits hold.
 
     Partners differ by one in length at most, so parts are laid out for the
     shorter length m, which is this line's or one less: what is before a part
@@ -91,7 +91,7 @@ def _part_keys(words: Column) -> Column:
         q = F.floor(m / PARTS).cast("int")
         ends = [(part * q, m - (part + 1) * q if part + 1 < PARTS else F.lit(0)) for part in range(PARTS)]
         return [
-            F.struct(F.lit(part).alias("part"), F.xxhash64(F.lit(part), m, F.slice(words, F.lit(1), front), F.slice(words, n - back + 1, back)).alias("key"))
+            F.xxhash64(m, F.slice(words, F.lit(1), front), F.slice(words, n - back + 1, back)).bitwiseAND(F.lit(~3)).bitwiseOR(F.lit(part))
             for part, (front, back) in enumerate(ends)
         ]
 
@@ -140,10 +140,12 @@ def repeated_lines(docs: DataFrame, min_words: int = 1, near_words: int = 5) ->
     named = cut_lineage(lines_of(docs, min_words, near_words))
     firsts = named.groupBy("id", "half").agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
 
-    keys = named.where("keys is not null").select("id", F.explode("keys").alias("k")).select("id", "k.part", "k.key")
+    keys = named.where("keys is not null").select("id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
-    parts = keys.join(shared, "key").groupBy("id").agg(F.collect_set("part").alias("parts"))
-    suspects = cut_lineage(_words_at(docs, firsts.join(parts, "id")))
+    part = F.col("key").bitwiseAND(F.lit(3)).cast("int")
+    parts = keys.join(shared, "key").groupBy("id").agg(F.collect_set(part).alias("parts"))
+    places = named.groupBy("id").agg(F.min(_place()).alias("first"))
+    suspects = cut_lineage(_words_at(docs, places.join(parts, "id")))
 
     positions = _edited(F.size("words"), F.col("parts"))
     variant = F.transform(positions, lambda i: F.struct(i.alias("at"), F.xxhash64(_without(F.col("words"), i)).alias("key")))
