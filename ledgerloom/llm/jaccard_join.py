@@ -3,8 +3,8 @@
 Documents with equal sets are one class. Two sets that reach the similarity
 share a shingle among the first ones of each (a prefix of n - ceil(t n) + 1
 shingles in any fixed order), so classes meet by prefix shingles. Shingles that
-a bounded sample shows to be common come last in the order; which ones these
-are changes the work, never the result.
+are common among all documents come last in the order; which ones these are
+changes the work, never the result.
 
 Keys with the same least set are one key. First every member of a key is
 compared with a few leaders of other components, which links large groups of
@@ -41,8 +41,9 @@ from ledgerloom.llm.text import WordHashes, byte_words, mixed, shingle_hashes
 from ledgerloom.session import cut_lineage, scratch_scope
 
 CELL = 512  # rows of one side of a cell
-SAMPLE = 4000  # documents that show which shingles are common
-COMMON = 8  # documents of the sample that make a shingle common
+COMMON = 500  # a shingle that one of so many documents has is common
+FEWEST = 8  # documents with a common shingle, however small the table
+COUNTED = 1 << 22  # shingles that are counted at a time
 LEADERS = 4
 BINS, SLACK = 128, 12  # of the sketches that leaders are told by, and the percent by which these may be off
 
@@ -120,19 +121,58 @@ def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id bigint, bitmap binary, sketch binary, digest string, keys array<bigint>")
 
 
+class FrequentShingles:
+    """Lossy counts over all sets given: what more than 1 / (2 COMMON) of the sets have is held, and never counted too high."""
+
+    def __init__(self):
+        self.waiting, self.size, self.sets, self.before = [], 0, 0, 0
+        self.tokens, self.counts, self.missed = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, tokens: np.ndarray) -> None:
+        """Distinct shingles of one more set."""
+        self.waiting.append(tokens)
+        self.size += len(tokens)
+        self.sets += 1
+        if self.size >= COUNTED:
+            self.settle()
+
+    def settle(self) -> None:
+        """Count what waits. A shingle that is left out had 1 / (2 COMMON) of the sets so far at most: ``missed`` of one that comes again."""
+        fresh, counts = np.unique(np.concatenate(self.waiting or [self.tokens[:0]]), return_counts=True)
+        if len(self.tokens):
+            at = np.minimum(np.searchsorted(self.tokens, fresh), len(self.tokens) - 1)
+            held = self.tokens[at] == fresh
+            self.counts[at[held]] += counts[held]
+            fresh, counts = fresh[~held], counts[~held]
+        tokens = np.concatenate([self.tokens, fresh])
+        counts = np.concatenate([self.counts, counts])
+        missed = np.concatenate([self.missed, np.full(len(fresh), self.before // (2 * COMMON))])
+        stays = np.flatnonzero(counts + missed > self.sets // (2 * COMMON))
+        stays = stays[np.argsort(tokens[stays])]
+        self.tokens, self.counts, self.missed = tokens[stays], counts[stays], missed[stays]
+        self.waiting, self.size, self.before = [], 0, self.sets
+
+
 def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
-    """Shingles in ``COMMON`` or more of about ``SAMPLE`` documents: at most SAMPLE / COMMON times the shingles of a text."""
-    share = max(1, n_docs // SAMPLE)
+    """All shingles that 1 / COMMON of the documents have (FEWEST at least), and none that fewer than half as many have.
+
+    All documents are counted. A task leaves out what 1 / (2 COMMON) of its
+    documents or fewer have, so all tasks together miss n_docs / (2 COMMON) of
+    a shingle at most. What comes to the driver is 2 COMMON times the shingles
+    of an average text at most.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, found = WordHashes(), FrequentShingles()
         for batch in batches:
             for text in batch.column(0):
-                yield pa.record_batch([_signed(token_set(text.as_py(), size, hashes))], names=["token"])
+                found.add(token_set(text.as_py(), size, hashes))
+        found.settle()
+        yield pa.record_batch([_signed(found.tokens), pa.array(found.counts)], names=["token", "n"])
 
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text")
-    counts = sample.mapInArrow(run, "token bigint").groupBy("token").count()
-    rows = counts.where(F.col("count") >= COMMON).select("token").toPandas()
+    counts = docs.select("text").mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    least = max(FEWEST, -(-n_docs // COMMON)) - n_docs // (2 * COMMON)
+    rows = counts.where(F.col("n") >= least).select("token").toPandas()
     return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
 
 

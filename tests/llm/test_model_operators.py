@@ -14,6 +14,7 @@ from ledgerloom.llm.components import components
 from ledgerloom.llm.elias_fano import EliasFano
 from ledgerloom.llm.queries import VOCABULARY
 from ledgerloom.llm.signature_tree import SignatureTree, bitmap, dual_join, folded
+from ledgerloom.llm.text import WordHashes
 
 DATA = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{i % 4000}" for i in range(30_000))
@@ -226,6 +227,29 @@ def test_jaccard_odd_rows(spark):
     assert jaccard_join.jaccard_components(frame(spark, [])).count() == 0
 
 
+def test_common_shingles_are_counted_in_all_documents(spark):
+    n, passage = 8200, "a passage of five"
+    odd = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1  # what a sample of every second document by hash would not see
+    docs = spark.range(n).withColumnRenamed("id", "doc_id").withColumn("text", F.when(odd & (F.col("doc_id") < 100), passage).otherwise(F.concat(F.lit("own"), "doc_id")))
+    want = jaccard_join.token_set(passage, 5, WordHashes())
+    assert jaccard_join.common_shingles(docs, 5, n).tolist() == want.tolist()
+
+
+def test_lossy_counts_miss_nothing_common(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "COMMON", 10)
+    monkeypatch.setattr(jaccard_join, "COUNTED", 64)
+    draw = np.random.default_rng(6)
+    sets = [np.unique(draw.zipf(1.3, 8).astype(np.uint64)) for _ in range(700)] + [np.array([1 << 40], np.uint64)] * 100
+    whole, found = Counter(t for s in sets for t in s.tolist()), jaccard_join.FrequentShingles()
+    for tokens in sets:
+        found.add(tokens)
+    found.settle()
+    got = dict(zip(found.tokens.tolist(), found.counts.tolist()))
+    slack = len(sets) // 20
+    assert {t for t, c in whole.items() if c > slack} <= got.keys() and len(got) < len(whole) / 4
+    assert all(whole[t] - slack <= c <= whole[t] for t, c in got.items())
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
