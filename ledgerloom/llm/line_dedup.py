@@ -13,8 +13,9 @@ leaving out the same word position are all within one edit of each other, so
 each needs to be compared with the earliest of its key only: no pairs within a
 key are made, and keys are counted with partial sums.
 
-What is shuffled are hashes and places: words are named by 64 bits, lines by
-128 where equality decides and by 64 where a verification on the words follows.
+A line's words are one string, parted by single spaces. What is shuffled are
+hashes and places: lines are named by 128 bits where equality decides and by 64
+where a verification on the words follows.
 Texts move twice, once to look the words of the lines up that need variants and
 once to leave lines out.
 
@@ -28,44 +29,44 @@ breaks are \\n.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.text import let
 from ledgerloom.session import cut_lineage, scratch_scope
 
-NOT_WORD = r"[^\p{L}\p{N}]+"
+NOT_WORD = r"[^\p{L}\p{N}\n]+"
 PARTS = 3
 
 
-def line_words(line: Column) -> Column:
-    """Runs of letters and digits in lower case."""
-    return F.filter(F.split(F.lower(line), NOT_WORD), lambda w: w != "")
-
+def plain_lines(text: Column) -> Column:
+    """Lines of a text with their runs of letters and digits in lower case, parted by one space (and one at the ends, perhaps)."""
+    return F.split(F.regexp_replace(F.lower(text), NOT_WORD, " "), "\n")
 
-def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """doc_id, digest of its text, line (from 0), id, its other half and part keys of every line with enough words.
 
-    Lines are made and chosen within one expression: a filter on what is made
-    would be moved below it, and everything be made twice.
-    """
+def _n_words(words: Column) -> Column:
+    """Of a line that is not empty: words are parted by one space."""
+    return F.octet_length(words) - F.octet_length(F.replace(words, F.lit(" "), F.lit(""))) + 1
 
-    def named(line: Column) -> Callable[[Column], Column]:
-        def of(words: Column) -> Column:
-            keys = F.when(F.size(words) >= near_words, _part_keys(words))
-            return F.struct(F.size(words).alias("n"), line.alias("line"), F.xxhash64(words).alias("id"), _half(words).alias("half"), keys.alias("keys"))
 
-        return of
+def _ends(words: Column, front: Column, back: Column) -> tuple[Column, Column]:
+    """The first ``front`` words, and the last ``back`` ones."""
+    return tuple(F.call_function("substring_index", words, F.lit(" "), n.cast("int")) for n in (front, -back))
 
-    each = F.transform(F.split("text", "\n"), lambda raw, i: let(_hashed(line_words(raw)), named(i)))
-    chosen = F.filter(each, lambda line: line["n"] >= min_words)
-    return docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.explode(chosen).alias("l")).select("doc_id", "text_id", "l.line", "l.id", "l.half", "l.keys")
 
+def lines_of(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
+    """doc_id, digest of its text, line (from 0), id, its other half and part keys of every line with enough words.
 
-def _hashed(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+    Words are made for a whole text at a time and stay one string, so that all
+    that follows are string functions in generated code.
+    """
+    raw = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(plain_lines(F.col("text"))).alias("line", "raw"))
+    lines = raw.select("doc_id", "text_id", "line", F.trim("raw").alias("words")).where("words <> ''")
+    lines = lines.withColumn("n", _n_words(F.col("words")))
+    if min_words > 1:
+        lines = lines.where(F.col("n") >= min_words)
+    keys = F.when(F.col("n") >= near_words, _part_keys(F.col("words"), F.col("n")))
+    return lines.select("doc_id", "text_id", "line", F.xxhash64("words").alias("id"), _half(F.col("words")).alias("half"), keys.alias("keys"))
 
 
 def _half(words: Column) -> Column:
@@ -78,22 +79,18 @@ def _place() -> Column:
     return F.struct("doc_id", "text_id", "line")
 
 
-def _part_keys(words: Column) -> Column:
+def _part_keys(words: Column, n: Column) -> Column:
     """A key for each of ``PARTS`` parts: a hash of all words but those of the part, whose number the last two bits hold.
 
     Partners differ by one in length at most, so parts are laid out for the
     shorter length m, which is this line's or one less: what is before a part
     is counted from the front, what is behind it from the back.
     """
-    n = F.size(words)
 
     def of(m: Column) -> list[Column]:
         q = F.floor(m / PARTS).cast("int")
         ends = [(part * q, m - (part + 1) * q if part + 1 < PARTS else F.lit(0)) for part in range(PARTS)]
-        return [
-            F.xxhash64(m, F.slice(words, F.lit(1), front), F.slice(words, n - back + 1, back)).bitwiseAND(F.lit(~3)).bitwiseOR(F.lit(part))
-            for part, (front, back) in enumerate(ends)
-        ]
+        return [F.xxhash64(m, *_ends(words, front, back)).bitwiseAND(F.lit(~3)).bitwiseOR(F.lit(part)) for part, (front, back) in enumerate(ends)]
 
     return F.array(*of(n), *of(n - 1))
 
@@ -109,8 +106,10 @@ def _edited(n: Column, parts: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(parts, lambda part: F.concat(places(n, part), places(n - 1, part))))))
 
 
-def _without(words: Column, i: Column) -> Column:
-    return F.concat(F.slice(words, F.lit(1), i - 1), F.slice(words, i + 1, F.size(words)))
+def _without(words: Column, n: Column, i: Column) -> Column:
+    """The words without the i-th one."""
+    front, back = _ends(words, i - 1, n - i)
+    return F.trim(F.concat(front, F.lit(" "), back))
 
 
 def one_edit(a: Column, b: Column) -> Column:
@@ -126,33 +125,33 @@ def one_edit(a: Column, b: Column) -> Column:
 
 
 def _words_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, first, parts and hashed words of the wanted lines, which come as (first, id, parts); texts are read once more."""
+    """id, first, parts and words of the wanted lines, which come as (first, id, parts); texts are read once more."""
     listed = wanted.groupBy(F.col("first.doc_id").alias("of"), F.col("first.text_id").alias("of_text")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "id", "parts")).alias("lines"))
     joined = docs.select("doc_id", "text").join(listed, F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("of_text")))
-    each = joined.select("doc_id", F.col("of_text").alias("text_id"), F.split("text", "\n").alias("raw"), "lines").select("doc_id", "text_id", "raw", F.explode("lines").alias("l"))
-    words = _hashed(line_words(F.get("raw", F.col("l.line"))))
-    return each.select("l.id", F.struct("doc_id", "text_id", F.col("l.line").alias("line")).alias("first"), "l.parts", words.alias("words")).dropDuplicates(["id"])
+    # Words are looked up before lines are dealt out, which would repeat the text for each of them.
+    worded = let(plain_lines(F.col("text")), lambda plain: F.transform("lines", lambda l: F.struct(l["line"].alias("line"), l["id"].alias("id"), l["parts"].alias("parts"), F.trim(F.get(plain, l["line"])).alias("words"))))
+    each = joined.select("doc_id", F.col("of_text").alias("text_id"), F.explode(worded).alias("l"))
+    return each.select("l.id", F.struct("doc_id", "text_id", F.col("l.line").alias("line")).alias("first"), "l.parts", "l.words").dropDuplicates(["id"])
 
 
 def repeated_lines(docs: DataFrame, min_words: int = 1, near_words: int = 5) -> DataFrame:
     """(doc_id, text_id, line) of the lines to drop."""
     # Lines are named by a hash of their words from here on; equal ones are settled by their first place.
     named = cut_lineage(lines_of(docs, min_words, near_words))
-    firsts = named.groupBy("id", "half").agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
+    firsts = cut_lineage(named.groupBy("id", "half").agg(F.min(_place()).alias("first"), F.count("*").alias("n")))
 
     keys = named.where("keys is not null").select("id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
     part = F.col("key").bitwiseAND(F.lit(3)).cast("int")
     parts = keys.join(shared, "key").groupBy("id").agg(F.collect_set(part).alias("parts"))
-    places = named.groupBy("id").agg(F.min(_place()).alias("first"))
-    suspects = cut_lineage(_words_at(docs, places.join(parts, "id")))
+    suspects = cut_lineage(_words_at(docs, firsts.select("id", "first").join(parts, "id")))
 
-    positions = _edited(F.size("words"), F.col("parts"))
-    variant = F.transform(positions, lambda i: F.struct(i.alias("at"), F.xxhash64(_without(F.col("words"), i)).alias("key")))
+    counted = suspects.select("id", "words", "parts", _n_words(F.col("words")).alias("n"))
     # The line itself is the variant at 0.
-    every = F.concat(F.array(F.struct(F.lit(0).alias("at"), F.xxhash64("words").alias("key"))), variant)
+    each = counted.select("id", "words", "n", F.explode(F.concat(F.array(F.lit(0)), _edited(F.col("n"), F.col("parts")))).alias("at"))
+    variant = F.when(F.col("at") == 0, F.col("id")).otherwise(F.xxhash64(_without(F.col("words"), F.col("n"), F.col("at"))))
     # Written, since they are counted by key and then joined with the keys that occur twice.
-    variants = cut_lineage(suspects.select("id", F.explode(every).alias("v")).select("id", "v.at", "v.key"))
+    variants = cut_lineage(each.select("id", "at", variant.alias("key")))
     several = variants.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key")
     meeting = cut_lineage(variants.join(several, "key").join(suspects.select("id", "first"), "id"))
 
@@ -166,9 +165,9 @@ def repeated_lines(docs: DataFrame, min_words: int = 1, near_words: int = 5) ->
     longer = left_out.join(whole, "key").select(F.when(later, F.col("id")).otherwise(F.col("other")).alias("id"), F.when(later, F.col("other")).otherwise(F.col("id")).alias("other"))
     pairs = changed.union(longer).distinct()
 
-    texts = suspects.select("id", "words")
+    texts = suspects.select("id", _half(F.col("words")).alias("half"), F.split("words", " ").alias("words"))
     checked = pairs.join(texts, "id").join(texts.select(F.col("id").alias("other"), F.col("words").alias("other_words")), "other")
-    near = checked.where(one_edit(F.col("words"), F.col("other_words"))).select("id", _half(F.col("words")).alias("half"), F.lit(True).alias("near")).distinct()
+    near = checked.where(one_edit(F.col("words"), F.col("other_words"))).select("id", "half", F.lit(True).alias("near")).distinct()
 
     # Lines that occur once and have no partner stay without another look. The rest is written, so that the join may split a very common line.
     settled = cut_lineage(firsts.join(near, ["id", "half"], "left").where("n > 1 or near").select("id", "half", "first", "near"))

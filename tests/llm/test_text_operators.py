@@ -93,6 +93,13 @@ def test_line_dedup_odd_rows(spark):
     assert line_dedup.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+def test_lines_are_made_in_generated_code(spark):
+    docs = docs_of(spark, [(1, "ΟΔΟΣ\nΟΔΟΣ ΕΝΑ, Straße 4!\n\n -- \n" + BASE, "a"), (2, None, "a")])
+    lines = line_dedup.lines_of(docs, 1, 5)
+    assert "lambda" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.line, r.keys is None) for r in lines.orderBy("line").collect()] == [(0, True), (1, True), (4, False)]
+
+
 def test_short_lines(spark):
     rows = [(1, "Read more here\nown one\n!!\n\nfour words of menu\na nine word line that stands in one document", "a"),
             (2, "read more here!\nown two\n!!\n\nFour words, of menu\na nine word line that stands in another document", "a"),
