@@ -11,7 +11,8 @@ A trie has words (hashes) in its first level, with pointers to the contexts
 each was seen after in the second. Words, pointers and contexts are monotone
 sequences in Elias-Fano code; contexts are made monotone by the rank of their
 word, and a query is a successor search from the word's first context to its
-last. Log probabilities are quantised to 8 bits with a codebook for each shard.
+last. Each word and bigram of a shard is looked up once, and its number goes to
+all its tokens. Log probabilities are quantised to 8 bits with a codebook for each shard.
 Levels are files that the task maps into memory and removes at its end; a lost
 task builds its trie anew from the shuffle.
 
@@ -44,6 +45,7 @@ SHARD_TOKENS = 4_000_000
 LEAST_SHARDS = 48
 COUNTED = 1 << 22  # tokens that are counted at a time
 PACKED = 1 << 19  # tokens in one batch of packed rows
+LOOKED_UP = 1 << 19  # bigrams that are looked up at a time
 END, BEGIN = np.uint64(1), np.uint64(2)  # as words and contexts; hashes of words are above
 
 
@@ -204,16 +206,23 @@ class ShardTrie:
         n = (counts.values(rank + 1) - counts.values(rank)).astype(np.int64)
         return np.where(known, rank, -1), np.where(known, n, 0)
 
-    def log_numerators(self, rank: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Quantised log10 of n(c, w) + m P(w) where word and context are in the trie, and whether they are."""
+    def ranges(self, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the contexts of each word start and end in the second level, by the pointers; nowhere for unknown words."""
         _, pointers, _, level = self.levels
+        if not level.n:
+            return np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+        own = np.maximum(rank, 0)
+        return tuple(np.where(rank >= 0, pointers.values(own + after).astype(np.int64), 0) for after in (0, 1))
+
+    def log_numerators(self, rank: np.ndarray, context: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Quantised log10 of n(c, w) + m P(w) where word and context are in the trie, and whether they are; ``low`` and ``high`` are the word's range."""
+        level = self.levels[3]
         values, seen = np.zeros(len(rank)), np.zeros(len(rank), bool)
         known = np.flatnonzero(rank >= 0)
         if not len(known) or not level.n:
             return values, seen
-        own = rank[known]
-        wanted = (own.astype(np.uint64) << np.uint64(32)) | context[known]
-        at, equal = level.successor(wanted, pointers.values(own).astype(np.int64), pointers.values(own + 1).astype(np.int64))
+        wanted = (rank[known].astype(np.uint64) << np.uint64(32)) | context[known]
+        at, equal = level.successor(wanted, low[known], high[known])
         seen[known] = equal
         values[known[equal]] = self.codebook[self.codes[at[equal]]]
         return values, seen
@@ -236,7 +245,8 @@ def score_shard(table: pa.Table, totals: Totals, strength: float) -> pa.Table:
     """Sums of each document over one shard's tokens: counts, log10(n(w) + 0.1), and log10 of the model without N and V."""
     rows = {c: [np.frombuffer(b, t) for b in table.column(c).to_pylist()] for c, t in (("docs", [("id", "<i8"), ("text", "<u8")]), ("trains", "u1"), ("words", "<u8"), ("counts", "<u4"), ("contexts", "<u4"), ("owners", "<u2"))}
     keys, flags = np.concatenate(rows["docs"]), np.concatenate(rows["trains"])
-    word = np.concatenate([np.repeat(w, n) for w, n in zip(rows["words"], rows["counts"])])
+    words, which = np.unique(np.concatenate(rows["words"]), return_inverse=True)
+    which = np.repeat(which.astype(np.uint32), np.concatenate(rows["counts"]))  # of each token, its place among the words
     context = np.concatenate(rows["contexts"])
     offsets = np.cumsum([0] + [len(d) for d in rows["docs"][:-1]])
     owner = np.concatenate([o.astype(np.int64) + x for o, x in zip(rows["owners"], offsets)])
@@ -244,23 +254,34 @@ def score_shard(table: pa.Table, totals: Totals, strength: float) -> pa.Table:
     n_docs = len(keys)
     trained = (flags & 1).astype(bool)[owner]
     with tempfile.TemporaryDirectory() as folder:
-        trie = ShardTrie(folder, word[trained], context[trained], totals, strength)
+        trie = ShardTrie(folder, words[which[trained]], context[trained], totals, strength)
         del trained
-        sums = np.zeros((5, n_docs))
-        for low in range(0, len(word), 1 << 19):
-            part = slice(low, low + (1 << 19))
-            own, of = owner[part], word[part]
-            rank, n = trie.counts(of)
-            if len(totals.hot):  # known by the broadcast counts even if no training token came to this shard
-                at = np.minimum(np.searchsorted(totals.hot, of), len(totals.hot) - 1)
-                n = np.where(totals.hot[at] == of, totals.hot_counts[at], n)
-            value, seen = trie.log_numerators(rank, context[part])
-            unigram = np.log10((n + 0.1) * strength / (totals.tokens + 0.1 * (totals.types + 1)))
-            # A word is the context of the token after it; the begin has as many of those as there are ends.
-            model = np.where(seen, value, unigram) - np.log10(n + strength)
-            for i, x in enumerate((None, n > 0, of == END, np.log10(n + 0.1), model)):
-                sums[i] += np.bincount(own, weights=x, minlength=n_docs)
-        del trie
+        # Every word and every bigram is looked up once, however many tokens have it.
+        pairs, place = np.unique((which.astype(np.uint64) << np.uint64(32)) | context, return_inverse=True)
+        place = place.astype(np.uint32)
+        del context
+        rank, n = trie.counts(words)
+        starts, ends = trie.ranges(rank)
+        if len(totals.hot):  # known by the broadcast counts even if no training token came to this shard
+            at = np.minimum(np.searchsorted(totals.hot, words), len(totals.hot) - 1)
+            n = np.where(totals.hot[at] == words, totals.hot_counts[at], n)
+        unigram = np.log10((n + 0.1) * strength / (totals.tokens + 0.1 * (totals.types + 1)))
+        # A word is the context of the token after it; the begin has as many of those as there are ends.
+        denominator = np.log10(n + strength)
+        model = np.empty(len(pairs))
+        for low in range(0, len(pairs), LOOKED_UP):
+            part = pairs[low : low + LOOKED_UP]
+            of = (part >> np.uint64(32)).astype(np.int64)
+            value, seen = trie.log_numerators(rank[of], part & np.uint64(0xFFFFFFFF), starts[of], ends[of])
+            model[low : low + LOOKED_UP] = np.where(seen, value, unigram[of]) - denominator[of]
+        del trie, pairs
+    sums = np.zeros((5, n_docs))
+    per_word = (n > 0, words == END, np.log10(n + 0.1))
+    for low in range(0, len(which), LOOKED_UP):
+        part = slice(low, low + LOOKED_UP)
+        own, of = owner[part], which[part]
+        for i, x in enumerate((None, *(x[of] for x in per_word), model[place[part]])):
+            sums[i] += np.bincount(own, weights=x, minlength=n_docs)
     whole = [pa.array(s.astype(np.int64)) for s in sums[:3]]
     return pa.table([pa.array(keys["id"]), pa.array(flags >= 2), pa.array(keys["text"].view(np.int64)), *whole, pa.array(sums[3]), pa.array(sums[4])], schema=pa.schema(
         [("doc_id", pa.int64()), ("no_id", pa.bool_()), ("text_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("n_end", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]))

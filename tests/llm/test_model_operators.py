@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,24 @@ def test_language_model_odd_rows(spark):
     assert ngram_lm.score_documents(frame(spark, [])).count() == 0
 
 
+def test_each_bigram_is_looked_up_once(monkeypatch):
+    asked, search = [], EliasFano.successor
+    monkeypatch.setattr(EliasFano, "successor", lambda self, values, low, high: asked.append(len(values)) or search(self, values, low, high))
+    word, end = np.uint64(100), ngram_lm.END
+    row = {
+        "docs": np.array([(1, 5), (2, 6)], [("id", "<i8"), ("text", "<u8")]), "trains": np.array([1, 0], "u1"), "words": np.array([end, word]),
+        "counts": np.array([2, 1000], "<u4"), "contexts": np.array([7, 8] + [7] * 1000, "<u4"), "owners": np.array([0, 1] + [0] * 900 + [1] * 100, "<u2"),
+    }
+    totals = ngram_lm.Totals(901, 2, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    got = ngram_lm.score_shard(pa.table({c: [x.tobytes()] for c, x in row.items()}), totals, 50.0).to_pydict()
+    assert (got["n_tokens"], got["n_known"], got["n_end"]) == ([901, 101], [901, 101], [1, 1])
+    p = {w: math.log10((n + 0.1) / (901 + 0.1 * 3)) for w, n in (("end", 1), ("word", 900))}
+    known, unknown = math.log10((1 + 50 * 10 ** p["end"]) / 51), p["end"] + math.log10(50 / 51)
+    each = math.log10((900 + 50 * 10 ** p["word"]) / 950)
+    assert got["score"] == pytest.approx([known + 900 * each, unknown + 100 * each], rel=1e-3)
+    assert sum(asked) <= 5  # two words and three bigrams
+
+
 def test_items_found_and_clean_documents_left(spark):
     draw = random.Random(2)
     words = [f"b{i}" for i in range(500)]
