@@ -43,7 +43,7 @@ from ledgerloom.session import cut_lineage, scratch_scope
 CELL = 512  # rows of one side of a cell
 COMMON = 500  # a shingle that one of so many documents has is common
 FEWEST = 8  # documents with a common shingle, however small the table
-COUNTED = 1 << 22  # shingles that are counted at a time
+COUNTED = 1 << 19  # shingles that are counted at a time
 LEADERS = 4
 BINS, SLACK = 128, 12  # of the sketches that leaders are told by, and the percent by which these may be off
 

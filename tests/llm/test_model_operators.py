@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -269,6 +270,18 @@ def test_lossy_counts_miss_nothing_common(monkeypatch):
     assert all(whole[t] - slack <= c <= whole[t] for t, c in got.items())
 
 
+def test_lossy_counts_hold_little():
+    found = jaccard_join.FrequentShingles()
+    draw = np.random.default_rng(7)
+    tracemalloc.start()
+    for _ in range(1 << 13):
+        found.add(draw.integers(0, 1 << 63, 512).astype(np.uint64))
+    found.settle()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64e6  # of 4 million shingles
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
