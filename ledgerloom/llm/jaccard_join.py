@@ -44,6 +44,7 @@ CELL = 512  # rows of one side of a cell
 COMMON = 500  # a shingle that one of so many documents has is common
 FEWEST = 8  # documents with a common shingle, however small the table
 COUNTED = 1 << 19  # shingles that are counted at a time
+COUNTING = 16 * COMMON  # documents that a task counts at least, on average
 LEADERS = 4
 BINS, SLACK = 128, 12  # of the sketches that leaders are told by, and the percent by which these may be off
 
@@ -153,13 +154,12 @@ class FrequentShingles:
         self.waiting, self.size, self.before = [], 0, self.sets
 
 
-def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
-    """All shingles that 1 / COMMON of the documents have (FEWEST at least), and none that fewer than half as many have.
+def shingle_counts(docs: DataFrame, size: int, n_docs: int) -> DataFrame:
+    """token and n: lossy counts of every task. All documents are counted.
 
-    All documents are counted. A task leaves out what 1 / (2 COMMON) of its
-    documents or fewer have, so all tasks together miss n_docs / (2 COMMON) of
-    a shingle at most. What comes to the driver is 2 COMMON times the shingles
-    of an average text at most.
+    A task leaves out what 1 / (2 COMMON) of its documents or fewer have. One
+    of less than 2 COMMON documents could leave nothing out, so small
+    partitions are counted together, ``COUNTING`` documents a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +170,17 @@ def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
         found.settle()
         yield pa.record_batch([_signed(found.tokens), pa.array(found.counts)], names=["token", "n"])
 
-    counts = docs.select("text").mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    return docs.select("text").coalesce(max(1, n_docs // COUNTING)).mapInArrow(run, "token bigint, n bigint")
+
+
+def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
+    """All shingles that 1 / COMMON of the documents have (FEWEST at least), and none that fewer than half as many have.
+
+    All tasks together miss n_docs / (2 COMMON) of a shingle at most. What
+    comes to the driver is 2 COMMON times the shingles of an average text at
+    most.
+    """
+    counts = shingle_counts(docs, size, n_docs).groupBy("token").agg(F.sum("n").alias("n"))
     least = max(FEWEST, -(-n_docs // COMMON)) - n_docs // (2 * COMMON)
     rows = counts.where(F.col("n") >= least).select("token").toPandas()
     return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
@@ -180,9 +190,10 @@ def _members(profile: DataFrame) -> DataFrame:
     """(key, set_id) of the sets that share a shingle with another one.
 
     Keys whose least set is the same are one: near copies share many shingles,
-    and so meet once instead of once for each of them.
+    and so meet once instead of once for each of them. The shingles are dealt
+    once, for the least sets and for the join with them.
     """
-    keys = profile.select(F.explode("keys").alias("shingle"), "set_id")
+    keys = profile.select(F.explode("keys").alias("shingle"), "set_id").where("shingle is not null").repartition("shingle")
     several = keys.groupBy("shingle").agg(F.min("set_id").alias("key"), F.max("set_id").alias("other")).where("key <> other").select("shingle", "key")
     return cut_lineage(keys.join(several, "shingle").select("key", "set_id").distinct())
 
@@ -245,7 +256,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, sets: DataFra
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
     more = cut_lineage(texts.select("set_id", "text").mapInArrow(read, "set_id bigint, tokens binary").dropDuplicates(["set_id"]))
     sets = more if sets is None else sets.union(more)
-    sides = [sets.select(F.col("set_id").alias(c), F.col("tokens").alias(f"tokens_{c}")) for c in "ab"]
+    sides = [sets.select(F.col("set_id").alias(c), F.col("tokens").alias(f"tokens_{c}")).join(pairs.select(c), c, "left_semi") for c in "ab"]
     links = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(check, "u bigint, v bigint")
     return cut_lineage(links), sets
 

@@ -282,6 +282,26 @@ def test_lossy_counts_hold_little():
     assert peak < 64e6  # of 4 million shingles
 
 
+def test_small_partitions_are_counted_together(spark):
+    n = 8200
+    docs = spark.range(n).select(F.concat(F.lit("a passage of five words "), "id").alias("text")).repartition(200)
+    assert jaccard_join.shingle_counts(docs, 5, n).count() == 1
+
+
+def test_shingles_are_dealt_once(spark, monkeypatch):
+    plans = []
+
+    def run(df):
+        rows = df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return df.sparkSession.createDataFrame(rows, df.schema)
+
+    monkeypatch.setattr(jaccard_join, "cut_lineage", run)
+    profile = spark.createDataFrame([(1, [10, 11]), (2, [11, 12, 13]), (3, [13, 14]), (4, [15])], "set_id bigint, keys array<bigint>")
+    assert sorted(map(tuple, jaccard_join._members(profile).collect())) == [(1, 1), (1, 2), (2, 2), (2, 3)]
+    assert "ReusedExchange" in plans[0]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
