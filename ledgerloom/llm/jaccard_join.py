@@ -4,7 +4,10 @@ Documents with equal sets are one class. Two sets that reach the similarity
 share a shingle among the first ones of each (a prefix of n - ceil(t n) + 1
 shingles in any fixed order), so classes meet by prefix shingles. Shingles that
 are common among all documents come last in the order; which ones these are
-changes the work, never the result.
+changes the work, never the result. Sizes are cut into classes so wide that
+similar sets are of the same class or of neighbours: a prefix shingle counts
+only among sets of a class and those of the class below that may still reach
+them, so sets of other sizes never meet.
 
 Keys with the same least set are one key. First every member of a key is
 compared with a few leaders of other components, which links large groups of
@@ -15,7 +18,8 @@ pairs of different components that bitmaps and sizes do not rule out. They do
 so twice. The first time a cell suggests only pairs that would join its
 components, the most alike first: fewer pairs than it has members. Once these
 are checked, few candidates are left between different components, and the
-second time a cell suggests all of them. All suggested pairs are checked on
+second time a cell suggests all of them. Keys without a suggestion have none
+the second time either and are left out then. All suggested pairs are checked on
 their whole sets, so no link between different texts is lost and none is made
 up (sets are named by 64-bit digests of their hashed shingles).
 
@@ -27,6 +31,7 @@ document like any other; rows that repeat an id are classes by their texts.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -72,24 +77,52 @@ def sketch(tokens: np.ndarray) -> bytes:
     return np.where(first < last, mixed(least) % np.uint64(255) + np.uint64(1), np.uint64(0)).astype(np.uint8).tobytes()
 
 
+class SizeClasses:
+    """Classes of set sizes: sets of ``percent`` similarity are of the same class or of two that follow each other."""
+
+    def __init__(self, percent: int):
+        self.percent, self.edges = percent, [1]
+
+    def of(self, n: int) -> tuple[int, int]:
+        """The class of a size, and the least size of the class above."""
+        while self.edges[-1] <= n:
+            self.edges.append(100 * self.edges[-1] // self.percent + 1)
+        k = bisect.bisect_right(self.edges, n)
+        return k, self.edges[k]
+
+    def keys(self, tokens: np.ndarray) -> np.ndarray:
+        """Prefix shingles of a set, whose tokens are in the order of prefixes, named with a class.
+
+        The first shingle that two sets share leaves each of them tokens enough
+        for their overlap: ``percent`` of its own size where no class is above
+        its own, else what the least size of the class above asks for.
+        """
+        n = len(tokens)
+        k, above = self.of(n)
+        own = n - -(-self.percent * n // 100) + 1
+        short = max(0, n - -(-self.percent * (n + above) // (100 + self.percent)) + 1)
+        salts = mixed(np.array([k, k + 1], np.uint64))
+        return np.concatenate([tokens[:own] ^ salts[0], tokens[:short] ^ salts[1]])
+
+
 def _signed(tokens: np.ndarray) -> pa.Array:
     return pa.array(tokens.view(np.int64))
 
 
 def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for the empty set), bitmap, its sketch, md5 of the text, and prefix shingles of every document.
+    """doc_id, n_shingles, set_id (null for the empty set), bitmap, its sketch, md5 of the text, and prefix shingles by size class of every document.
 
     Copies of a text seen shortly before in the same task leave the keys out.
     """
 
-    def prefix(tokens: np.ndarray, late: np.ndarray) -> np.ndarray:
+    def ordered(tokens: np.ndarray, late: np.ndarray) -> np.ndarray:
         if len(late):
             last = late[np.minimum(np.searchsorted(late, tokens), len(late) - 1)] == tokens
             tokens = np.concatenate([tokens[~last], tokens[last]])
-        return tokens[: len(tokens) - (percent * len(tokens) + 99) // 100 + 1]
+        return tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, late = WordHashes(), common.value
+        hashes, late, classes = WordHashes(), common.value, SizeClasses(percent)
         seen: set[int] = set()
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
@@ -105,7 +138,7 @@ def profiles(docs: DataFrame, size: int, percent: int, common) -> DataFrame:
                         if len(seen) >= 1 << 17:
                             seen.clear()
                         seen.add(own)
-                        first = prefix(tokens, late)
+                        first = classes.keys(ordered(tokens, late))
                     counts.append(len(tokens))
                     ids.append(own)
                     whole_bits = bitmap(tokens) if len(tokens) else None
@@ -186,8 +219,8 @@ def common_shingles(docs: DataFrame, size: int, n_docs: int) -> np.ndarray:
     return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
 
 
-def _members(profile: DataFrame) -> DataFrame:
-    """(key, set_id) of the sets that share a shingle with another one.
+def _members(profile: DataFrame, **kept) -> DataFrame:
+    """(key, set_id) of the sets that share a shingle of a class with another one.
 
     Keys whose least set is the same are one: near copies share many shingles,
     and so meet once instead of once for each of them. The shingles are dealt
@@ -195,7 +228,7 @@ def _members(profile: DataFrame) -> DataFrame:
     """
     keys = profile.select(F.explode("keys").alias("shingle"), "set_id").where("shingle is not null").repartition("shingle")
     several = keys.groupBy("shingle").agg(F.min("set_id").alias("key"), F.max("set_id").alias("other")).where("key <> other").select("shingle", "key")
-    return cut_lineage(keys.join(several, "shingle").select("key", "set_id").distinct())
+    return cut_lineage(keys.join(several, "shingle").select("key", "set_id").distinct(), **kept)
 
 
 def _may_link(m: np.ndarray, n: np.ndarray, left: list[bytes], right: list[bytes], percent: int) -> np.ndarray:
@@ -270,7 +303,7 @@ def _leader_pairs(members: DataFrame) -> DataFrame:
 
 
 def _tree_pairs(members: DataFrame, classes: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs of different components that share a key, by signature trees over cells of each key's members.
+    """key, a and b: pairs of different components that share a key, by signature trees over cells of each key's members.
 
     ``members`` has key, set_id and component. A key with m cells' worth of
     members has m (m + 1) / 2 pairs of cells, each a group of its own. With
@@ -295,7 +328,7 @@ def _tree_pairs(members: DataFrame, classes: DataFrame, percent: int, forest: bo
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set_id", "component")
     sized = dealt.join(classes.select("set_id", "n_shingles", "bitmap"), "set_id").select("key", "i", "j", "own", "set_id", "component", "n_shingles", "bitmap")
-    return sized.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a bigint, b bigint").distinct()
+    return sized.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "key bigint, a bigint, b bigint")
 
 
 def _joining(p: np.ndarray, q: np.ndarray, alike: np.ndarray, groups: np.ndarray) -> np.ndarray:
@@ -348,7 +381,8 @@ def _cell_pairs(cell: pa.Table, percent: int, forest: bool) -> Iterator[pa.Recor
         p, q = p[some], q[some]
     if len(p):
         a, b = ids[p], ids[q]
-        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        key = cell.column("key")[0].as_py()
+        yield pa.record_batch([pa.array(np.full(len(a), key)), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["key", "a", "b"])
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -363,11 +397,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(docs, size, docs.count()))
-    profile = cut_lineage(profiles(docs, size, percent, common))
-    classes = cut_lineage(
-        profile.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"), F.first("sketch").alias("sketch"))
-    )
-    members = _members(profile)
+    with scratch_scope(spark):  # the prefix shingles are on disk until the members are
+        keyed = cut_lineage(profiles(docs, size, percent, common))
+        first = [F.first(c).alias(c) for c in ("n_shingles", "bitmap", "sketch")]
+        classes = cut_lineage(keyed.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), *first), outlive=True)
+        profile = cut_lineage(keyed.select("doc_id", "n_shingles", "set_id", "digest"), outlive=True)
+        members = _members(keyed, outlive=True)
 
     links, sets = None, None
     known = spark.createDataFrame([], "node bigint, component bigint")
@@ -376,7 +411,11 @@ def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         if turn == "leaders":
             pairs = _likely(_leader_pairs(grouped), classes, percent)
         else:
-            pairs = _tree_pairs(grouped, classes, percent, turn == "forest")
+            suggested = _tree_pairs(grouped, classes, percent, turn == "forest")
+            if turn == "forest":
+                suggested = cut_lineage(suggested)
+                members = members.join(suggested.select("key").distinct(), "key", "left_semi")
+            pairs = suggested.select("a", "b").distinct()
         pairs = cut_lineage(pairs)
         if not pairs.isEmpty():
             found, sets = _linked(pairs, docs, classes, sets, size, percent)

@@ -302,6 +302,44 @@ def test_shingles_are_dealt_once(spark, monkeypatch):
     assert "ReusedExchange" in plans[0]
 
 
+def test_similar_sets_share_a_key():
+    draw = np.random.default_rng(8)
+    order = draw.permutation(4000).astype(np.uint64)
+    for percent in (80, 100, 67, 33):
+        classes, met = jaccard_join.SizeClasses(percent), 0
+        for _ in range(1500):
+            m = int(draw.integers(1, 400))
+            x = draw.choice(2000, m, replace=False)
+            both = int(draw.integers(max(1, m * percent // 100), m + 1))
+            y = np.concatenate([x[:both], 2000 + np.arange(draw.integers(0, max(1, 100 * both // percent - m + 1)))])
+            if 100 * both >= percent * (m + len(y) - both):
+                met += 1
+                assert len(np.intersect1d(classes.keys(np.sort(order[x])), classes.keys(np.sort(order[y]))))
+        assert met > 300
+
+
+def test_sets_of_other_sizes_do_not_meet(spark):
+    passage = " ".join(f"shared{i}" for i in range(40))
+    docs = frame(spark, [(n, " ".join([passage, *(f"own{n}x{i}" for i in range(n - 40))])) for n in (100, 200, 400, 800)])
+    common = spark.sparkContext.broadcast(np.empty(0, np.uint64))
+    assert jaccard_join._members(jaccard_join.profiles(docs, 5, 80, common)).count() == 0
+
+
+def test_keys_without_suggestions_are_dealt_once(spark, monkeypatch):
+    dealt, deal = {}, jaccard_join._tree_pairs
+
+    def run(members, classes, percent, forest):
+        dealt[forest] = {r.set_id for r in members.select("set_id").collect()}
+        return deal(members, classes, percent, forest)
+
+    monkeypatch.setattr(jaccard_join, "_tree_pairs", run)
+    passage = " ".join(f"shared{i}" for i in range(40))
+    rows = [(n, " ".join([passage, *(f"own{n}x{i}" for i in range(100))])) for n in range(6)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(frame(spark, rows)).collect()}
+    assert got == brute_components(rows)
+    assert len(dealt[True]) == 6 and not dealt[False]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
